@@ -4,23 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoremill import testdata
-from scoremill.functions.dates import TrainingWindows, months_before, parse_date
-from scoremill.functions.dates import with_training_windows
-from scoremill.operators import density, drift, learners, metrics, scaling, search, splits
-from scoremill.operators.scoring import as_predictions, score_snapshot
-from scoremill.operators.training_set import (
-    feature_columns,
-    label_feature_join,
-    split_stats,
-    with_period,
+from scoremill.functions.dates import (
+    TrainingWindows,
+    months_before,
+    parse_date,
+    with_training_windows,
+)
+from scoremill.operators import (
+    density,
+    drift,
+    learners,
+    metrics,
+    scaling,
+    search,
+    splits,
+    training_set,
 )
+from scoremill.operators.scoring import as_predictions, score_snapshot
+from scoremill.operators.training_set import feature_columns, label_feature_join, with_period
 from scoremill.plans import monitoring, training
-from scoremill.schemas import CUSTOMER, DEBT, LABEL, LOAN, MODEL, SCORE, SNAPSHOT
-from scoremill.schemas import feature_store_schema
+from scoremill.schemas import (
+    CUSTOMER,
+    DEBT,
+    LABEL,
+    LOAN,
+    SCORE,
+    SNAPSHOT,
+    feature_store_schema,
+)
 from scoremill.session import materialise, run_folder
 from scoremill.sources import reports, stores
 
@@ -142,15 +157,13 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _training_table(spark, sf_dir).select(CUSTOMER, LOAN, LABEL, "split", "fold")
+    fold = F.coalesce("fold", F.lit(-1)).alias("fold")
+    return _training_table(spark, sf_dir).select(CUSTOMER, LOAN, LABEL, "split", fold)
 
 
 @query
-def split_stats_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_stats(_training_table(spark, sf_dir), ("period", "split"))
-
-
-QUERIES["split_stats"] = QUERIES.pop("split_stats_by_period")
+def split_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_set.split_stats(_training_table(spark, sf_dir), ("period", "split"))
 
 
 @query
@@ -250,7 +263,7 @@ def kde_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     curves = density.curves_of(
         [drift.non_negative_values(store, [DEBT]), density.series(predictions, SCORE)]
     )
-    return rounded(curves, 9)
+    return rounded(curves, 9).withColumn("x", F.round("x", 6))
 
 
 # Evaluation with the fixed score, predictions and the summary
