@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -23,6 +23,7 @@ from scoremill.schemas import (
     SNAPSHOT,
     SUMMARY,
 )
+from scoremill.session import materialise
 from scoremill.sources.reports import summary_text, write_psi_history, write_summary
 from scoremill.sources.stores import at_snapshot
 
@@ -98,11 +99,13 @@ def monitor(
     day: str | date,
     watched: Sequence[str] = (DEBT,),
     current_scope: str = "all",
+    keep: Callable[[DataFrame, str], DataFrame] = lambda df, purpose: df,
 ) -> MonitorTables:
     """Drift of the watched features against the snapshot one month earlier, with curves and counts.
 
     The current side is the whole feature store, baseline included, unless ``current_scope`` is
-    ``snapshot``.
+    ``snapshot``. ``keep`` may store the two small tables that others are derived from, so that the
+    stores are scanned once for them.
     """
     run_date = parse_date(day)
     of_model = at_snapshot(predictions.filter(F.col(MODEL) == model_name), run_date)
@@ -112,6 +115,7 @@ def monitor(
 
     current_values = non_negative_values(current, watched)
     buckets = psi_buckets(non_negative_values(baseline, watched), current_values)
+    buckets = keep(buckets, "psi-buckets")
     psi = psi_rows(psi_total(buckets), model_name, run_date)
     curves = curves_of([current_values, series(of_model, SCORE)])
     summary = monitor_summary(
@@ -123,7 +127,7 @@ def monitor(
         run_date,
         labels_now,
     )
-    return MonitorTables(buckets, psi, curves, summary)
+    return MonitorTables(buckets, psi, curves, keep(summary, "summary"))
 
 
 def run_monitoring(
@@ -140,7 +144,9 @@ def run_monitoring(
     scored = predictions.filter(F.col(MODEL) == model_name)
     if at_snapshot(scored, day).isEmpty():
         return None
-    tables = monitor(predictions, features, labels, model_name, day, watched, current_scope)
+    tables = monitor(
+        predictions, features, labels, model_name, day, watched, current_scope, keep=materialise
+    )
     keys = [F.lit(model_name).alias(MODEL), date_literal(day).alias(SNAPSHOT)]
     write_psi_history(tables.psi, os.path.join(out, "psi_results"))
     for name, table in (("psi_buckets", tables.buckets), ("kde_curves", tables.curves)):
