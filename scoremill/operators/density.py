@@ -8,6 +8,8 @@ from math import pi, sqrt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scoremill.functions.numeric import present
+
 # Points of the curve, bandwidths it reaches past the data, Scott's exponent.
 GRID_POINTS = 200
 CUT = 3.0
@@ -24,48 +26,48 @@ def kde_curves(values: DataFrame, points: int = GRID_POINTS) -> DataFrame:
     the map side: what is shuffled is one row per grid point and task. Features with fewer than two
     values, or without spread, give no curve.
     """
-    spread = values.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-    )
-    width = F.col("std") * F.pow(F.col("n").cast("double"), F.lit(SCOTT))
     grid = (
-        spread.filter((F.col("n") >= 2) & (F.col("std") > 0))
-        .withColumn("width", width)
-        .withColumn("start", F.col("low") - CUT * F.col("width"))
-        .withColumn("end", F.col("high") + CUT * F.col("width"))
-        .withColumn("step", (F.col("end") - F.col("start")) / (points - 1))
+        values.groupBy("feature")
+        .agg(
+            F.expr("count(1) AS n"),
+            F.expr("stddev_samp(value) AS std"),
+            F.expr("min(value) AS low"),
+            F.expr("max(value) AS high"),
+        )
+        .filter("n >= 2 AND std > 0")
+        .selectExpr("*", f"std * pow(CAST(n AS DOUBLE), {SCOTT}D) AS width")
+        .selectExpr("*", f"low - {CUT}D * width AS start", f"high + {CUT}D * width AS end")
+        .selectExpr("feature", "n", "width", "start", f"(end - start) / {points - 1} AS step")
+    )
+    reach = f"{REACH}D * width"
+    near = (
+        f"sequence(CAST(greatest(0, floor((value - start - {reach}) / step)) AS INT), "
+        f"CAST(least({points - 1}, ceil((value - start + {reach}) / step)) AS INT)) AS near"
     )
-    x = F.col("start") + F.col("point") * F.col("step")
-    counted = values.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("copies"))
-    offset, reach = F.col("value") - F.col("start"), REACH * F.col("width")
-    first = F.greatest(F.lit(0), F.floor((offset - reach) / F.col("step")).cast("int"))
-    last = F.least(F.lit(points - 1), F.ceil((offset + reach) / F.col("step")).cast("int"))
-    distance = (x - F.col("value")) / F.col("width")
+    distance = "((start + point * step - value) / width)"
     sums = (
+        values.groupBy("feature", "value")
+        .agg(F.expr("count(1) AS copies"))
         # One row per feature.
-        counted.join(F.broadcast(grid.select("feature", "width", "start", "step")), "feature")
-        .withColumn("point", F.explode(F.sequence(first, last)))
+        .join(F.broadcast(grid.drop("n")), "feature")
+        .selectExpr("*", near)
+        .selectExpr("*", "explode(near) AS point")
         .groupBy("feature", "point")
-        .agg(F.sum(F.col("copies") * F.exp(-0.5 * distance * distance)).alias("mass"))
+        .agg(F.expr(f"sum(copies * exp(-0.5D * {distance} * {distance})) AS mass"))
     )
-    every = grid.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    mass = F.coalesce(F.col("mass"), F.lit(0.0))
-    return every.join(sums, ["feature", "point"], "left").select(
+    every = grid.selectExpr("*", f"explode(sequence(0, {points - 1})) AS point")
+    return every.join(sums, ["feature", "point"], "left").selectExpr(
         "feature",
         "point",
-        x.alias("x"),
-        (mass / (F.col("n") * F.col("width") * sqrt(2 * pi))).alias("density"),
+        "start + point * step AS x",
+        f"coalesce(mass, 0D) / (n * width * {sqrt(2 * pi)!r}D) AS density",
     )
 
 
 def series(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """One column as long values, missing ones left out."""
-    value = F.col(column).cast("double")
-    return df.filter(value.isNotNull() & ~F.isnan(value)).select(
-        F.lit(name or column).alias("feature"), value.alias("value")
+    return df.filter(present(column)).selectExpr(
+        f"'{name or column}' AS feature", f"CAST(`{column}` AS DOUBLE) AS value"
     )
 
 

@@ -29,24 +29,25 @@ def non_negative_values(
     Features the frame does not have are left out. A single feature stays a plain projection, so
     its filter reaches the scan; several are unpivoted in the same pass.
     """
-    names = [name for name in features if name in df.columns]
+    present = set(df.columns)
+    names = [name for name in features if name in present]
     if len(names) == 1:
-        value = F.col(names[0])
-        return df.filter(present_non_negative(value)).select(
-            *keep, F.lit(names[0]).alias("feature"), value.cast("double").alias("value")
+        return df.filter(present_non_negative(names[0])).select(
+            *keep, F.expr(f"'{names[0]}' AS feature"), F.expr(f"CAST(`{names[0]}` AS DOUBLE) AS value")
         )
     if not names:
-        empty = [F.lit(None).cast("string").alias("feature"), F.lit(None).cast("double").alias("value")]
-        return df.select(*keep, *empty).limit(0)
-    kept = df.select(*keep, *(F.col(name).cast("double") for name in names))
+        return df.select(
+            *keep, F.expr("CAST(NULL AS STRING) AS feature"), F.expr("CAST(NULL AS DOUBLE) AS value")
+        ).limit(0)
+    kept = df.select(*keep, *(F.expr(f"CAST(`{name}` AS DOUBLE) AS `{name}`") for name in names))
     keys = [name for name in kept.columns if name not in names]
-    return kept.unpivot(keys, names, "feature", "value").filter(present_non_negative(F.col("value")))
+    return kept.unpivot(keys, names, "feature", "value").filter(present_non_negative("value"))
 
 
 def value_ranges(values: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Count, least and greatest value of each feature (and of each ``by`` group)."""
     return values.groupBy(*by, "feature").agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+        F.expr("count(1) AS n"), F.expr("min(value) AS low"), F.expr("max(value) AS high")
     )
 
 
@@ -56,19 +57,19 @@ def min_max_scaled(values: DataFrame, ranges: DataFrame, by: Sequence[str] = ())
     ``ranges`` has one row per feature and ``by`` group. ``by`` may only hold run dates, so the
     broadcast is bounded by the calendar times the feature list.
     """
-    scaled = F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low"))
-    joined = values.join(F.broadcast(ranges), [*by, "feature"])
-    return joined.select(*values.columns, scaled.alias("scaled"))
+    return values.join(F.broadcast(ranges), [*by, "feature"]).select(
+        *values.columns, F.expr("try_divide(value - low, high - low) AS scaled")
+    )
 
 
-def equal_width_bucket(scaled: Column, buckets: int = 10) -> Column:
+def equal_width_bucket(scaled: str, buckets: int = 10) -> Column:
     """Bucket 1..buckets of a value in [0, 1], closed on the left; 1.0 falls in the last.
 
     The value is compared with the edges ``i / buckets`` themselves: multiplying it by ``buckets``
     instead would move values that lie on an edge.
     """
-    passed = [(scaled >= F.lit(edge / buckets)).cast("int") for edge in range(1, buckets)]
-    return sum(passed, F.lit(1))
+    edges = (f"CAST({scaled} >= {edge / buckets!r}D AS INT)" for edge in range(1, buckets))
+    return F.expr(" + ".join(["1", *edges]))
 
 
 def equal_width_histogram(
@@ -77,15 +78,13 @@ def equal_width_histogram(
     """Row count of every bucket of each feature, empty buckets included, and the feature total."""
     keys = [*by, "feature"]
     scaled = min_max_scaled(values, value_ranges(values, by), by)
-    bucket = equal_width_bucket(F.col("scaled"), buckets)
-    cells = [
-        F.struct(F.lit(i).alias("bucket"), F.count_if(F.col("bucket") == i).alias("n_bucket"))
-        for i in range(1, buckets + 1)
-    ]
+    cells = ", ".join(
+        f"struct({i} AS bucket, count_if(bucket = {i}) AS n_bucket)" for i in range(1, buckets + 1)
+    )
     return (
-        scaled.withColumn("bucket", bucket)
+        scaled.select(*keys, equal_width_bucket("scaled", buckets).alias("bucket"))
         .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.array(*cells).alias("cells"))
+        .agg(F.expr("count(1) AS n"), F.expr(f"array({cells}) AS cells"))
         .select(*keys, "n", F.inline("cells"))
     )
 
@@ -93,7 +92,7 @@ def equal_width_histogram(
 def bucket_shares(values: DataFrame, by: Sequence[str] = (), buckets: int = 10) -> DataFrame:
     """Share of each bucket; an empty one gets the floor, the others are not renormalised."""
     return equal_width_histogram(values, by, buckets).select(
-        *by, "feature", "bucket", share_or_floor(F.col("n_bucket") / F.col("n")).alias("pct")
+        *by, "feature", "bucket", share_or_floor("(n_bucket / n)").alias("pct")
     )
 
 
@@ -110,8 +109,7 @@ def psi_buckets(
     for a current side that all run dates share. A side without values gives no rows.
     """
     common = list(by if actual_by is None else actual_by)
-    share_e, share_a = F.col("expected_pct"), F.col("actual_pct")
-    term = (share_a - share_e) * F.ln(share_a / share_e)
+    term = F.expr("(actual_pct - expected_pct) * ln(actual_pct / expected_pct)")
     return (
         bucket_shares(expected, by, buckets)
         .withColumnRenamed("pct", "expected_pct")
@@ -120,7 +118,7 @@ def psi_buckets(
             [*common, "feature", "bucket"],
         )
         .select(*by, "feature", "bucket", "expected_pct", "actual_pct", term.alias("psi_value"))
-        .withColumn("band", bucket_band(F.col("psi_value")))
+        .withColumn("band", bucket_band("psi_value"))
     )
 
 
@@ -129,7 +127,7 @@ def psi_total(terms: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return (
         terms.groupBy(*by, "feature")
         .agg(F.sum("psi_value").alias("psi_value"))
-        .withColumn("psi_status", psi_band(F.col("psi_value")))
+        .withColumn("psi_status", psi_band("psi_value"))
     )
 
 
@@ -140,7 +138,7 @@ def psi_history(
 
     The current side is the whole store (``all``) or the run date's own snapshot (``snapshot``).
     """
-    baseline = F.add_months(F.col(SNAPSHOT), -1).alias("baseline_date")
+    baseline = F.expr(f"add_months({SNAPSHOT}, -1) AS baseline_date")
     calendar = store.select(SNAPSHOT).distinct().select(SNAPSHOT, baseline)
     keep = [F.col(SNAPSHOT).alias("baseline_date")]
     # One row per run date: bounded by the calendar.
@@ -155,5 +153,5 @@ def psi_history(
         actual, actual_by = non_negative_values(store, features), []
     terms = psi_buckets(expected, actual, [SNAPSHOT], actual_by, buckets)
     return psi_total(terms, [SNAPSHOT]).withColumn(
-        "baseline_date", F.add_months(F.col(SNAPSHOT), -1)
+        "baseline_date", F.expr(f"add_months({SNAPSHOT}, -1)")
     )

@@ -22,34 +22,39 @@ def auc(
     """
     group = list(by)
     per_score = (
-        df.filter(present(F.col(score)) & F.col(label).isin(0, 1))
-        .groupBy(*group, F.col(score).cast("double").alias("score"))
+        df.filter(present(score))
+        .filter(f"{label} IN (0, 1)")
+        .groupBy(*group, F.expr(f"CAST({score} AS DOUBLE) AS score"))
         .agg(
-            F.count_if(F.col(label) == 1).cast("double").alias("pos"),
-            F.count_if(F.col(label) == 0).cast("double").alias("neg"),
+            F.expr(f"CAST(count_if({label} = 1) AS DOUBLE) AS pos"),
+            F.expr(f"CAST(count_if({label} = 0) AS DOUBLE) AS neg"),
         )
     )
     blocks = per_score.repartitionByRange(*group, "score").withColumn(
         "block", F.spark_partition_id()
     )
-    before = Window.unboundedPreceding
-    in_block = Window.partitionBy(*group, "block").orderBy("score").rowsBetween(before, -1)
-    neg_below = F.coalesce(F.sum("neg").over(in_block), F.lit(0.0))
+    before = (Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy(*group, "block").orderBy("score").rowsBetween(*before)
     block_sums = (
-        blocks.withColumn("pairs", F.col("pos") * (neg_below + F.col("neg") / 2))
+        blocks.withColumn("below", F.sum("neg").over(in_block))
         .groupBy(*group, "block")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("pairs").alias("pairs"))
+        .agg(
+            F.expr("sum(pos) AS pos"),
+            F.expr("sum(neg) AS neg"),
+            F.expr("sum(pos * (coalesce(below, 0D) + neg / 2)) AS pairs"),
+        )
     )
     # One row per block: bounded by the number of shuffle partitions, not by the data.
-    across = Window.partitionBy(*group or [F.lit(0)]).orderBy("block").rowsBetween(before, -1)
-    lower = F.coalesce(F.sum("neg").over(across), F.lit(0.0))
+    across = Window.partitionBy(*group or [F.lit(0)]).orderBy("block").rowsBetween(*before)
     return (
-        block_sums.withColumn("pairs", F.col("pairs") + F.col("pos") * lower)
+        block_sums.withColumn("below", F.sum("neg").over(across))
         .groupBy(*group)
         .agg(
-            F.try_divide(F.sum("pairs"), F.sum("pos") * F.sum("neg")).alias("auc"),
-            F.sum("pos").cast("bigint").alias("n_pos"),
-            F.sum("neg").cast("bigint").alias("n_neg"),
+            F.expr(
+                "try_divide(sum(pairs + pos * coalesce(below, 0D)), sum(pos) * sum(neg)) AS auc"
+            ),
+            F.expr("CAST(sum(pos) AS BIGINT) AS n_pos"),
+            F.expr("CAST(sum(neg) AS BIGINT) AS n_neg"),
         )
     )
 
@@ -57,18 +62,16 @@ def auc(
 def auc_and_gini(
     df: DataFrame, by: Sequence[str] = ("split",), label: str = LABEL, score: str = "score"
 ) -> DataFrame:
-    return auc(df, by, label, score).withColumn("gini", gini(F.col("auc")))
+    return auc(df, by, label, score).withColumn("gini", gini("auc"))
 
 
 def hard_label_auc(
     df: DataFrame, by: Sequence[str] = (), label: str = LABEL, prediction: str = "prediction"
 ) -> DataFrame:
     """AUC of 0/1 predictions, which is the mean of the two class hit rates; one plain aggregate."""
-    hit_rates = [
-        F.avg(F.when(F.col(label) == value, (F.col(prediction) == value).cast("double")))
-        for value in (0, 1)
-    ]
-    return df.groupBy(*by).agg(((hit_rates[0] + hit_rates[1]) / 2).alias("auc"))
+    hit_rate = "avg(CASE WHEN {0} = {1} THEN CAST({2} = {1} AS DOUBLE) END)".format
+    rates = (hit_rate(label, value, prediction) for value in (0, 1))
+    return df.groupBy(*by).agg(F.expr(f"({' + '.join(rates)}) / 2 AS auc"))
 
 
 def confusion_matrix(
@@ -79,16 +82,14 @@ def confusion_matrix(
 ) -> DataFrame:
     """Row counts of the four label/prediction cells of each group, empty cells included."""
     group = list(by)
-    cells = [
-        F.struct(
-            F.lit(actual).alias("label"),
-            F.lit(predicted).alias("prediction"),
-            F.count_if((F.col(label) == actual) & (F.col(prediction) == predicted)).alias("n_rows"),
-        )
+    cells = ", ".join(
+        f"struct({actual} AS label, {predicted} AS prediction, "
+        f"count_if({label} = {actual} AND {prediction} = {predicted}) AS n_rows)"
         for actual in (0, 1)
         for predicted in (0, 1)
-    ]
-    return df.groupBy(*group).agg(F.array(*cells).alias("cells")).select(*group, F.inline("cells"))
+    )
+    counted = df.groupBy(*group).agg(F.expr(f"array({cells}) AS cells"))
+    return counted.select(*group, F.inline("cells"))
 
 
 def feature_importance(spark: SparkSession, importances: Mapping[str, float]) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoremill.functions.numeric import nan_to_null
@@ -17,20 +17,13 @@ MISSING = "_missing"
 
 def scaler_stats(train: DataFrame, features: Sequence[str]) -> DataFrame:
     """Mean and population deviation of each feature, missing values left out, in one pass."""
-    measured = train.agg(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(name).alias("feature"),
-                    F.count(nan_to_null(F.col(name))).alias("n"),
-                    F.avg(nan_to_null(F.col(name))).alias("mean"),
-                    F.stddev_pop(nan_to_null(F.col(name))).alias("std"),
-                )
-                for name in features
-            )
-        ).alias("stats")
+    value = nan_to_null
+    stats = ", ".join(
+        f"struct('{name}' AS feature, count({value(name)}) AS n, avg({value(name)}) AS mean, "
+        f"stddev_pop({value(name)}) AS std)"
+        for name in features
     )
-    return measured.select(F.inline("stats"))
+    return train.agg(F.expr(f"array({stats}) AS stats")).select(F.inline("stats"))
 
 
 @dataclass(frozen=True)
@@ -44,13 +37,14 @@ class Scaler:
     def features(self) -> list[str]:
         return list(self.means)
 
-    def scaled(self, name: str) -> Column:
-        """``(x - mean) / std``; missing stays null."""
-        return (nan_to_null(F.col(name)) - self.means[name]) / self.divisors[name]
+    def scaled(self, name: str) -> str:
+        """SQL text of ``(x - mean) / std``; missing stays null."""
+        mean, divisor = f"({self.means[name]!r}D)", f"{self.divisors[name]!r}D"
+        return f"({nan_to_null(name)} - {mean}) / {divisor}"
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Replace each feature by its scaled value."""
-        return df.withColumns({name: self.scaled(name) for name in self.features})
+        return df.withColumns({name: F.expr(self.scaled(name)) for name in self.features})
 
     def stage(self) -> SQLTransformer:
         """The scaler as a pipeline stage that is saved and loaded with the model.
@@ -60,10 +54,8 @@ class Scaler:
         """
         columns = []
         for name in self.features:
-            value = f"nanvl(CAST(`{name}` AS DOUBLE), CAST(NULL AS DOUBLE))"
-            mean, divisor = f"({self.means[name]!r}D)", f"{self.divisors[name]!r}D"
-            columns.append(f"coalesce(({value} - {mean}) / {divisor}, 0D) AS `{name}{SCALED}`")
-            columns.append(f"CAST({value} IS NULL AS DOUBLE) AS `{name}{MISSING}`")
+            columns.append(f"coalesce({self.scaled(name)}, 0D) AS `{name}{SCALED}`")
+            columns.append(f"CAST({nan_to_null(name)} IS NULL AS DOUBLE) AS `{name}{MISSING}`")
         return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
 
     def inputs(self) -> list[str]:

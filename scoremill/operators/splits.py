@@ -9,7 +9,7 @@ hash and stay on one side.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,11 +20,10 @@ ROW_KEYS = (CUSTOMER, LOAN)
 LABEL_VALUES = (0, 1)
 PREFIX_DIGITS = 4
 
-Targets = Callable[[Column], Sequence[Column]]
-
 
 def row_hash(keys: Sequence[str], seed: int) -> Column:
-    return F.md5(F.concat_ws("|", *(F.col(key).cast("string") for key in keys), F.lit(str(seed))))
+    parts = ", ".join(f"CAST(`{key}` AS STRING)" for key in keys)
+    return F.expr(f"md5(concat_ws('|', {parts}, '{seed}'))")
 
 
 def stratified_split(
@@ -35,9 +34,9 @@ def stratified_split(
     seed: int = 88,
 ) -> DataFrame:
     """Add ``split``: ``test`` for the first ``ceil(test_percent %)`` of each label, else ``train``."""
-    block = _block(df, label, keys, seed, lambda n: [rows_to_test(n, test_percent)])
-    split = F.when(F.col("block") == 0, "test").when(F.col("block") == 1, "train")
-    return block.withColumn("split", split).drop("block")
+    block = _block(df, label, keys, seed, [rows_to_test(test_percent)])
+    split = "CASE block WHEN 0 THEN 'test' WHEN 1 THEN 'train' END AS split"
+    return block.select(*df.columns, F.expr(split))
 
 
 def cv_folds(
@@ -48,7 +47,7 @@ def cv_folds(
     seed: int = 88,
 ) -> DataFrame:
     """Add ``fold`` 0..folds-1: equal consecutive runs of the hash order within each label."""
-    block = _block(df, label, keys, seed, lambda n: fold_bounds(n, F.lit(0), folds))
+    block = _block(df, label, keys, seed, fold_bounds("0", folds))
     return block.withColumnRenamed("block", "fold")
 
 
@@ -64,36 +63,25 @@ def split_and_folds(
 
     Needs the ``period`` column; rows of the out-of-time period get the split ``oot``.
     """
-
-    def targets(n: Column) -> list[Column]:
-        tested = rows_to_test(n, test_percent)
-        return [tested, *fold_bounds(n, tested, folds)]
-
-    block = _block(df, label, keys, seed, targets, within=F.col("period") == "train_test")
+    tested = rows_to_test(test_percent)
+    targets = [tested, *fold_bounds(tested, folds)]
+    block = _block(df, label, keys, seed, targets, within="period = 'train_test'")
     split = (
-        F.when(F.col("period") == "oot", "oot")
-        .when(F.col("block") == 0, "test")
-        .when(F.col("block") > 0, "train")
-    )
-    return (
-        block.withColumn("split", split)
-        .withColumn("fold", F.when(F.col("split") == "train", F.col("block") - 1))
-        .drop("block")
+        "CASE WHEN period = 'oot' THEN 'oot' WHEN period <> 'train_test' THEN NULL "
+        "WHEN block = 0 THEN 'test' WHEN block > 0 THEN 'train' END AS split"
     )
+    fold = "CASE WHEN split = 'train' THEN block - 1 END AS fold"
+    return block.select("*", F.expr(split)).select(*df.columns, "split", F.expr(fold))
 
 
-def rows_to_test(n: Column, percent: int) -> Column:
-    """``ceil(n * percent / 100)`` in whole numbers."""
-    return _div(n * percent + 99, 100)
+def rows_to_test(percent: int) -> str:
+    """SQL text of ``ceil(n * percent / 100)`` in whole numbers."""
+    return f"((n * {percent} + 99) div 100)"
 
 
-def fold_bounds(n: Column, start: Column, folds: int) -> list[Column]:
-    """Inner bounds of ``folds`` equal runs over the ranks after ``start``."""
-    return [start + _div((n - start) * (fold + 1), folds) for fold in range(folds - 1)]
-
-
-def _div(number: Column, by: int) -> Column:
-    return F.floor(number / by)
+def fold_bounds(start: str, folds: int) -> list[str]:
+    """SQL text of the inner bounds of ``folds`` equal runs over the ranks after ``start``."""
+    return [f"({start} + (n - {start}) * {fold} div {folds})" for fold in range(1, folds)]
 
 
 def _block(
@@ -101,55 +89,50 @@ def _block(
     label: str,
     keys: Sequence[str],
     seed: int,
-    targets: Targets,
-    within: Column | None = None,
+    targets: Sequence[str],
+    within: str = "true",
 ) -> DataFrame:
     """Add ``block``: the number of cut-offs below the row's hash; null without a 0/1 label."""
+    labelled = f"`{label}` IN {LABEL_VALUES}"
     hashed = df.withColumn("row_hash", row_hash(keys, seed))
-    counted = hashed.filter(F.col(label).isin(*LABEL_VALUES))
-    if within is not None:
-        counted = counted.filter(within)
-    cuts = _cut_offs(counted.select(label, "row_hash"), label, targets)
-    names = [name for name in cuts.columns if name != label]
+    counted = hashed.filter(f"{labelled} AND {within}").select(label, "row_hash")
+    cuts = _cut_offs(counted, label, targets)
     # A cut-off before the first row is missing; the empty string sorts before every hash.
-    passed = sum(
-        (F.col("row_hash") > F.coalesce(F.col(name), F.lit(""))).cast("int") for name in names
+    passed = " + ".join(
+        f"CAST(row_hash > coalesce(cut_{cut}, '') AS INT)" for cut in range(len(targets))
     )
-    block = F.when(F.col(label).isin(*LABEL_VALUES), passed)
+    block = F.expr(f"CASE WHEN {labelled} THEN {passed or '0'} END AS block")
     # One row per label value, so the broadcast holds two rows whatever the input.
-    return hashed.join(F.broadcast(cuts), label, "left").select(*df.columns, block.alias("block"))
+    return hashed.join(F.broadcast(cuts), label, "left").select(*df.columns, block)
 
 
-def _cut_offs(rows: DataFrame, label: str, targets: Targets) -> DataFrame:
+def _cut_offs(rows: DataFrame, label: str, targets: Sequence[str]) -> DataFrame:
     """One row per label: the hash of the last row of each block."""
-    prefixed = rows.withColumn("prefix", F.substring("row_hash", 1, PREFIX_DIGITS))
+    prefixed = rows.selectExpr("*", f"left(row_hash, {PREFIX_DIGITS}) AS prefix")
     # At most 16**PREFIX_DIGITS counts per label reach the windows, at any input size.
     of_label = Window.partitionBy(label)
     counts = (
         prefixed.groupBy(label, "prefix")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(of_label.orderBy("prefix")))
-        .withColumn("total", F.sum("n").over(of_label))
+        .agg(F.expr("count(1) AS n_cell"))
+        .withColumn("upto", F.sum("n_cell").over(of_label.orderBy("prefix")))
+        .withColumn("n", F.sum("n_cell").over(of_label))
     )
-    wanted = targets(F.col("total"))
     cut_cells = (
-        counts.select(
-            label, "prefix", "n", "upto", F.posexplode(F.array(*wanted)).alias("cut", "target")
-        )
-        .filter((F.col("target") > F.col("upto") - F.col("n")) & (F.col("target") <= F.col("upto")))
-        .select(label, "prefix", "cut", (F.col("target") - F.col("upto") + F.col("n")).alias("rank"))
+        counts.selectExpr("*", f"posexplode(array({', '.join(targets)})) AS (cut, target)")
+        .filter("target > upto - n_cell AND target <= upto")
+        .selectExpr(label, "prefix", "cut", "target - (upto - n_cell) AS rank")
     )
     in_cell = Window.partitionBy(label, "cut").orderBy("row_hash")
     cuts = (
         prefixed.join(F.broadcast(cut_cells), [label, "prefix"])
         .groupBy(label, "cut", "rank", "row_hash")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(in_cell))
-        .filter((F.col("rank") > F.col("upto") - F.col("n")) & (F.col("rank") <= F.col("upto")))
+        .agg(F.expr("count(1) AS copies"))
+        .withColumn("upto", F.sum("copies").over(in_cell))
+        .filter("rank > upto - copies AND rank <= upto")
     )
     return cuts.groupBy(label).agg(
         *(
-            F.max(F.when(F.col("cut") == cut, F.col("row_hash"))).alias(f"cut_{cut}")
-            for cut in range(len(wanted))
+            F.expr(f"max(CASE WHEN cut = {cut} THEN row_hash END) AS cut_{cut}")
+            for cut in range(len(targets))
         )
     )

@@ -15,6 +15,7 @@ ADAPTIVE = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
