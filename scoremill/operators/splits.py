@@ -2,8 +2,8 @@
 
 Rows are put in the order of the md5 of their key and the seed; a split is then a set of cut-off
 hashes per label. Finding a cut-off takes one count per label and hash prefix, and a look inside the
-one prefix in which the cut falls. Assigning rows compares two strings, so the rows themselves are
-never sorted or shuffled. Rows that share a key (one label joined to several feature rows) share a
+one prefix in which the cut falls. Both read the keys only and leave a few hashes on the driver;
+assigning rows then compares strings, so the rows themselves are never sorted or shuffled. Rows that share a key (one label joined to several feature rows) share a
 hash and stay on one side.
 """
 
@@ -93,17 +93,18 @@ def _block(
     within: str = "true",
 ) -> DataFrame:
     """Add ``block``: the number of cut-offs below the row's hash; null without a 0/1 label."""
-    labelled = f"`{label}` IN {LABEL_VALUES}"
     hashed = df.withColumn("row_hash", row_hash(keys, seed))
-    counted = hashed.filter(f"{labelled} AND {within}").select(label, "row_hash")
-    cuts = _cut_offs(counted, label, targets)
-    # A cut-off before the first row is missing; the empty string sorts before every hash.
-    passed = " + ".join(
-        f"CAST(row_hash > coalesce(cut_{cut}, '') AS INT)" for cut in range(len(targets))
-    )
-    block = F.expr(f"CASE WHEN {labelled} THEN {passed or '0'} END AS block")
-    # One row per label value, so the broadcast holds two rows whatever the input.
-    return hashed.join(F.broadcast(cuts), label, "left").select(*df.columns, block)
+    counted = hashed.filter(f"`{label}` IN {LABEL_VALUES} AND {within}").select(label, "row_hash")
+    # One row per label value: a handful of hashes, put into the expression as literals.
+    cuts = {row[label]: row for row in _cut_offs(counted, label, targets).collect()}
+    cases = []
+    for value in LABEL_VALUES:
+        # A cut-off before the first row is missing; the empty string sorts before every hash.
+        found = cuts[value].asDict() if value in cuts else {}
+        hashes = (found.get(f"cut_{cut}") or "" for cut in range(len(targets)))
+        passed = " + ".join(f"CAST(row_hash > '{cut}' AS INT)" for cut in hashes)
+        cases.append(f"WHEN {value} THEN {passed or '0'}")
+    return hashed.select(*df.columns, F.expr(f"CASE `{label}` {' '.join(cases)} END AS block"))
 
 
 def _cut_offs(rows: DataFrame, label: str, targets: Sequence[str]) -> DataFrame:

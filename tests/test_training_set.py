@@ -132,8 +132,7 @@ def test_assigning_rows_does_not_shuffle_them(spark, tmp_path):
     labels_of(spark, [(f"k{i}", i % 2, JAN) for i in range(50)]).write.parquet(path)
     plan = splits.stratified_split(spark.read.schema(LABEL_STORE).parquet(path))
     text = plan._jdf.queryExecution().executedPlan().toString()
-    top = text[: text.index("BroadcastExchange")]
-    assert "BroadcastHashJoin" in top and "Exchange" not in top and "Window" not in top
+    assert "Exchange" not in text and "Window" not in text and "Join" not in text
 
 
 def test_known_split_of_the_provided_orders(spark, data):
