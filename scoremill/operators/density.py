@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoremill.functions.numeric import present
+from scoremill.operators.drift import by_feature
 
 # Points of the curve, bandwidths it reaches past the data, Scott's exponent.
 GRID_POINTS = 200
@@ -45,11 +46,13 @@ def kde_curves(values: DataFrame, points: int = GRID_POINTS) -> DataFrame:
         f"CAST(least({points - 1}, ceil((value - start + {reach}) / step)) AS INT)) AS near"
     )
     distance = "((start + point * step - value) / width)"
+    own_grid = by_feature(grid, ["width", "start", "step"])
     sums = (
         values.groupBy("feature", "value")
         .agg(F.expr("count(1) AS copies"))
-        # One row per feature.
-        .join(F.broadcast(grid.drop("n")), "feature")
+        .withColumn("grid", own_grid)
+        .filter("grid IS NOT NULL")
+        .selectExpr("feature", "value", "copies", "grid.*")
         .selectExpr("*", near)
         .selectExpr("*", "explode(near) AS point")
         .groupBy("feature", "point")

@@ -51,15 +51,28 @@ def value_ranges(values: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def by_feature(stats: DataFrame, columns: Sequence[str]) -> Column:
+    """Struct of the row's own feature's statistics, from a scalar subquery.
+
+    The subquery holds one entry per feature of a given list, and is computed once.
+    """
+    entries = f"map_from_entries(collect_list(struct(feature, struct({', '.join(columns)}))))"
+    return F.element_at(stats.agg(F.expr(entries)).scalar(), F.col("feature"))
+
+
 def min_max_scaled(values: DataFrame, ranges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Add ``scaled`` in [0, 1]; null where all values are the same.
 
     ``ranges`` has one row per feature and ``by`` group. ``by`` may only hold run dates, so the
     broadcast is bounded by the calendar times the feature list.
     """
-    return values.join(F.broadcast(ranges), [*by, "feature"]).select(
-        *values.columns, F.expr("try_divide(value - low, high - low) AS scaled")
-    )
+    scaled = F.expr("try_divide(value - range.low, range.high - range.low) AS scaled")
+    if by:
+        looked_up = ranges.selectExpr(*by, "feature", "struct(low, high) AS range")
+        ranged = values.join(F.broadcast(looked_up), [*by, "feature"])
+    else:
+        ranged = values.withColumn("range", by_feature(ranges, ["low", "high"]))
+    return ranged.select(*values.columns, scaled)
 
 
 def equal_width_bucket(scaled: str, buckets: int = 10) -> Column:

@@ -246,13 +246,8 @@ def psi_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def psi_history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = testdata.feature_store(spark, sf_dir)
     existing = drift.psi_history(store, current_scope="all")
-    baseline, current = (
-        drift.non_negative_values(stores.at_snapshot(store, day), [DEBT])
-        for day in (BASELINE_DATE, RUN_DATE)
-    )
-    new = drift.psi_total(drift.psi_buckets(baseline, current)).select(
-        F.lit(RUN_DATE).alias(SNAPSHOT), "*", F.lit(BASELINE_DATE).alias("baseline_date")
-    )
+    rerun = stores.in_window(store, BASELINE_DATE, RUN_DATE)
+    new = drift.psi_history(rerun, current_scope="snapshot")
     return rounded(reports.upsert(existing, new, [SNAPSHOT, "feature"]))
 
 
