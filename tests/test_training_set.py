@@ -10,6 +10,7 @@ from scoremill.functions.dates import TrainingWindows
 from scoremill.operators import splits
 from scoremill.operators.training_set import (
     feature_columns,
+    hot_customers,
     label_feature_join,
     split_stats,
     with_period,
@@ -26,14 +27,14 @@ def labels_of(spark, rows):
     return spark.createDataFrame([(c, f"L{c}", y, "d", day) for c, y, day in rows], LABEL_STORE)
 
 
-@pytest.mark.parametrize("split_hot", [True, False])
-def test_join_keeps_unmatched_labels_and_fans_out(spark, split_hot):
+@pytest.mark.parametrize("hot_rows", [2, 1000])
+def test_join_keeps_unmatched_labels_and_fans_out(spark, hot_rows):
     labels = labels_of(spark, [("a", 1, JAN), ("b", 0, JAN), (None, 0, JAN)])
     features = spark.createDataFrame(
         [("a", JAN, 1.0, 5.0), ("a", FEB, 2.0, 6.0), ("a", MAR, 3.0, None), ("z", JAN, 9.0, 9.0)],
         FEATURES,
     )
-    joined = label_feature_join(labels, features, split_hot)
+    joined = label_feature_join(labels, features, hot_rows)
     assert joined.columns == [*LABEL_STORE.fieldNames(), DEBT, "income"]
     got = Counter((r["customer_id"], r["loan_id"], r[DEBT], r["income"]) for r in joined.collect())
     assert got == Counter(
@@ -46,7 +47,9 @@ def test_join_keeps_unmatched_labels_and_fans_out(spark, split_hot):
 def test_hot_customer_on_both_sides(spark):
     labels = labels_of(spark, [("hot", i % 2, JAN) for i in range(40)] + [("c", 1, JAN)])
     features = spark.createDataFrame([("hot", JAN, float(i), 0.0) for i in range(30)], FEATURES)
-    split, plain = (label_feature_join(labels, features, s) for s in (True, False))
+    split, plain = (label_feature_join(labels, features, rows) for rows in (20, 1000))
+    assert [r[0] for r in hot_customers(features, 20).collect()] == ["hot"]
+    assert hot_customers(features, 1000) is None
     assert split.count() == plain.count() == 40 * 30 + 1
     assert split.exceptAll(plain).isEmpty()
 
