@@ -63,13 +63,16 @@ def by_feature(stats: DataFrame, columns: Sequence[str]) -> Column:
 def min_max_scaled(values: DataFrame, ranges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Add ``scaled`` in [0, 1]; null where all values are the same.
 
-    ``ranges`` has one row per feature and ``by`` group. ``by`` may only hold run dates, so the
-    broadcast is bounded by the calendar times the feature list.
+    ``ranges`` has one row per feature and ``by`` group. Grouped by dates, it is bounded by the
+    calendar times the feature list and is broadcast; for other groups Spark picks the join.
     """
     scaled = F.expr("try_divide(value - range.low, range.high - range.low) AS scaled")
     if by:
         looked_up = ranges.selectExpr(*by, "feature", "struct(low, high) AS range")
-        ranged = values.join(F.broadcast(looked_up), [*by, "feature"])
+        kinds = dict(looked_up.dtypes)
+        if all(kinds[name] == "date" for name in by):
+            looked_up = F.broadcast(looked_up)
+        ranged = values.join(looked_up, [*by, "feature"])
     else:
         ranged = values.withColumn("range", by_feature(ranges, ["low", "high"]))
     return ranged.select(*values.columns, scaled)

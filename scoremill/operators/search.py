@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import product
@@ -93,7 +94,8 @@ def random_search(
             estimator = make(candidates[number], n_rows - sizes.get(fold, 0))
             model = estimator.fit(matrix.filter(F.col("fold") != fold))
             held_out = model.transform(matrix.filter(F.col("fold") == fold))
-            return number, fold, hard_label_auc(held_out).first()["auc"]
+            auc = hard_label_auc(held_out).first()["auc"]
+            return number, fold, math.nan if auc is None else auc
 
         tasks = [(number, fold) for number in range(len(candidates)) for fold in range(folds)]
         with ThreadPool(min(parallelism, len(tasks))) as pool:
@@ -103,12 +105,15 @@ def random_search(
             sum(auc for number, _, auc in scored if number == wanted) / folds
             for wanted in range(len(candidates))
         ]
-        best = max(range(len(candidates)), key=means.__getitem__)
+        # A fold of one class has no score; its candidate comes last.
+        best = max(
+            range(len(candidates)), key=lambda i: -math.inf if math.isnan(means[i]) else means[i]
+        )
         model = make(candidates[best], n_rows).fit(matrix)
     finally:
         matrix.unpersist()
     rows = [
-        (number, fold, float(auc), {key: str(value) for key, value in candidates[number].items()})
+        (number, fold, auc, {key: str(value) for key, value in candidates[number].items()})
         for number, fold, auc in scored
     ]
     scores = spark.createDataFrame(
