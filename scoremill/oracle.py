@@ -15,8 +15,8 @@ FS = """fs AS (
   FROM orders JOIN customer ON o_custkey = c_custkey
   LEFT JOIN (
     SELECT l_orderkey, CAST(count(*) AS DOUBLE) AS n_items, sum(l_quantity) AS sum_quantity,
-           sum(l_extendedprice) AS sum_price, avg(l_discount) AS avg_discount,
-           avg(l_tax) AS avg_tax
+           round(sum(l_extendedprice), 2) AS sum_price, round(avg(l_discount), 6) AS avg_discount,
+           round(avg(l_tax), 6) AS avg_tax
     FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey)"""
 
 LS = """ls AS (
