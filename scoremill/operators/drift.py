@@ -32,13 +32,11 @@ def non_negative_values(
     present = set(df.columns)
     names = [name for name in features if name in present]
     if len(names) == 1:
-        return df.filter(present_non_negative(names[0])).select(
-            *keep, F.expr(f"'{names[0]}' AS feature"), F.expr(f"CAST(`{names[0]}` AS DOUBLE) AS value")
-        )
+        named = [f"'{names[0]}' AS feature", f"CAST(`{names[0]}` AS DOUBLE) AS value"]
+        return df.filter(present_non_negative(names[0])).select(*keep, *map(F.expr, named))
     if not names:
-        return df.select(
-            *keep, F.expr("CAST(NULL AS STRING) AS feature"), F.expr("CAST(NULL AS DOUBLE) AS value")
-        ).limit(0)
+        nothing = ["CAST(NULL AS STRING) AS feature", "CAST(NULL AS DOUBLE) AS value"]
+        return df.filter("false").select(*keep, *map(F.expr, nothing))
     kept = df.select(*keep, *(F.expr(f"CAST(`{name}` AS DOUBLE) AS `{name}`") for name in names))
     keys = [name for name in kept.columns if name not in names]
     return kept.unpivot(keys, names, "feature", "value").filter(present_non_negative("value"))

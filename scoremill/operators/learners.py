@@ -6,7 +6,7 @@ does not reproduce its numbers; parameters without a counterpart are named in ``
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -15,7 +15,6 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from scoremill.operators.scaling import MISSING, SCALED, Scaler
 from scoremill.schemas import LABEL

@@ -2,9 +2,9 @@
 
 Rows are put in the order of the md5 of their key and the seed; a split is then a set of cut-off
 hashes per label. Finding a cut-off takes one count per label and hash prefix, and a look inside the
-one prefix in which the cut falls. Both read the keys only and leave a few hashes on the driver;
-assigning rows then compares strings, so the rows themselves are never sorted or shuffled. Rows that share a key (one label joined to several feature rows) share a
-hash and stay on one side.
+one prefix in which the cut falls. Both read the keys only and leave a few hashes on the driver.
+Assigning rows then compares strings, so the rows themselves are never sorted or shuffled. Rows that
+share a key (one label joined to several feature rows) share a hash and stay on one side.
 """
 
 from __future__ import annotations

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from datetime import date
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +22,6 @@ from scoremill.operators.training_set import (
     label_feature_join,
     with_period,
 )
-from scoremill.schemas import LABEL
 from scoremill.session import materialise
 from scoremill.sources.artefacts import Artefact
 from scoremill.sources.stores import in_window
