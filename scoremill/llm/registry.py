@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scoremill.llm import host_rules, licenses
+from scoremill.llm.host_rules import op7_host_rules
+from scoremill.llm.licenses import op5_license_scan
 from scoremill.llm.sentencepiece_codec import op2_sentencepiece
 from scoremill.llm.token_files import op9_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op5_license_scan": op5_license_scan,
+    "op7_host_rules": op7_host_rules,
     "op9_token_files": op9_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_license_scan": licenses.SQL,
+    "op7_host_rules": host_rules.SQL,
+}
