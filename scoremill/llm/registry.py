@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from scoremill.llm import host_rules, licenses
+from scoremill.llm.chat_format import op8_chat_format
 from scoremill.llm.host_rules import op7_host_rules
 from scoremill.llm.licenses import op5_license_scan
 from scoremill.llm.sentencepiece_codec import op2_sentencepiece
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op5_license_scan": op5_license_scan,
     "op7_host_rules": op7_host_rules,
+    "op8_chat_format": op8_chat_format,
     "op9_token_files": op9_token_files,
 }
 
