@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from scoremill.llm import host_rules, licenses
 from scoremill.llm.chat_format import op8_chat_format
 from scoremill.llm.host_rules import op7_host_rules
+from scoremill.llm.language_id import op4_language_id
 from scoremill.llm.licenses import op5_license_scan
+from scoremill.llm.quality_classifier import op1_quality_classifier
 from scoremill.llm.sentencepiece_codec import op2_sentencepiece
 from scoremill.llm.token_files import op9_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_sentencepiece": op2_sentencepiece,
+    "op4_language_id": op4_language_id,
     "op5_license_scan": op5_license_scan,
     "op7_host_rules": op7_host_rules,
     "op8_chat_format": op8_chat_format,
