@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scoremill.llm import host_rules, licenses
 from scoremill.llm.chat_format import op8_chat_format
+from scoremill.llm.decontamination import op3_decontamination
 from scoremill.llm.host_rules import op7_host_rules
 from scoremill.llm.language_id import op4_language_id
 from scoremill.llm.licenses import op5_license_scan
@@ -18,6 +19,7 @@ from scoremill.llm.token_files import op9_token_files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_decontamination": op3_decontamination,
     "op4_language_id": op4_language_id,
     "op5_license_scan": op5_license_scan,
     "op7_host_rules": op7_host_rules,
