@@ -12,6 +12,7 @@ from scoremill.llm.decontamination import op3_decontamination
 from scoremill.llm.host_rules import op7_host_rules
 from scoremill.llm.language_id import op4_language_id
 from scoremill.llm.licenses import op5_license_scan
+from scoremill.llm.near_duplicates import op10_near_duplicates
 from scoremill.llm.quality_classifier import op1_quality_classifier
 from scoremill.llm.sentencepiece_codec import op2_sentencepiece
 from scoremill.llm.token_files import op9_token_files
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_host_rules": op7_host_rules,
     "op8_chat_format": op8_chat_format,
     "op9_token_files": op9_token_files,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {
