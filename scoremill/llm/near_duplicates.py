@@ -12,8 +12,8 @@ Two things keep the work in proportion. In every node all classes are first comp
 (its pivot), and linked classes form components; afterwards only nodes that still hold several components
 go on, and only pairs across components are compared, since others can't change the result. And a pair is
 only confirmed on the full sets if its 1-bit sketches agree as far as those of a similar pair do (six
-standard deviations are allowed for). A node that is still large at ``DEPTH`` is compared pair by pair
-between components, in blocks.
+standard deviations are allowed for). What is still in a large node at ``DEPTH`` is joined exactly, by the
+rare shingles that a similar pair has to share.
 """
 
 from __future__ import annotations
@@ -26,16 +26,15 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from scoremill.llm.common import HashOfWord, per_batch, shingle_set, table, word_hashes
 from scoremill.session import materialise
 
-TOKENS, TREES, SMALL, DEPTH = 128, 32, 12, 6
+TOKENS, TREES, SMALL, DEPTH = 128, 32, 12, 3
 SPREAD = 1_000_003
 #: Classes whose texts are fetched by a broadcast of their ids; beyond it the join is shuffled.
 BROADCAST_CLASSES = 200_000
-#: Classes of a large node that are compared with the rest of it by one task.
-BLOCK = 256
 
 _loaded: dict = {}
 
@@ -129,7 +128,7 @@ class Join:
             if large.isEmpty():
                 break
             if depth == DEPTH:
-                self.link(self.remaining_pairs(large))
+                self.link(self.rare_pairs(large))
             else:
                 rows = self.branches(large)
         return self.labels.join(self.classes.select("c", "set_id"), "c").select("set_id", F.col("label").alias("component"))
@@ -194,24 +193,41 @@ class Join:
         small = nodes.where(F.col("n").between(3, SMALL))
         return pivots.unionByName(self.pairs_between(small, small.where(F.col("c") != F.col("pivot.c")))).distinct()
 
-    def pairs_between(self, left: DataFrame, right: DataFrame, *also: str) -> DataFrame:
+    def pairs_between(self, left: DataFrame, right: DataFrame) -> DataFrame:
         """Likely pairs of one node but two components, smaller class first."""
-        one = left.select("node", *also, F.col("c").alias("a"), F.col("sketch").alias("s"), F.col("component").alias("x"))
-        two = right.select("node", *also, F.col("c").alias("b"), F.col("sketch").alias("t"), F.col("component").alias("y"))
-        pairs = one.join(two, ["node", *also]).where((F.col("x") != F.col("y")) & self.likely("s", "t"))
+        one = left.select("node", F.col("c").alias("a"), F.col("sketch").alias("s"), F.col("component").alias("x"))
+        two = right.select("node", F.col("c").alias("b"), F.col("sketch").alias("t"), F.col("component").alias("y"))
+        pairs = one.join(two, "node").where((F.col("x") != F.col("y")) & self.likely("s", "t"))
         pairs = pairs.where(F.col("a") != F.col("b"))
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-    def remaining_pairs(self, large: DataFrame) -> DataFrame:
-        """Across components of nodes that didn't get small: blocks of the lesser components by all."""
-        sizes = large.groupBy("node", "component").count()
-        first = sizes.groupBy("node").agg(F.max(F.struct("count", "component")).alias("most"))
-        first = first.select("node", F.col("most.component").alias("main"), F.col("most.count").alias("main_n"))
-        marked = materialise(large.join(first, "node"), "large-nodes")
-        blocks = F.greatest(F.lit(1), F.ceil((F.col("n") - F.col("main_n")) / BLOCK)).cast("int")
-        lesser = marked.where(F.col("component") != F.col("main")).withColumn("block", F.pmod(F.xxhash64("c"), blocks))
-        every = marked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
-        return self.pairs_between(lesser, every, "block").distinct()
+    def rare_pairs(self, large: DataFrame) -> DataFrame:
+        """All pairs of nodes that stayed large which may be similar, across components, by rare shingles.
+
+        With the shingles of each class in one order, rarest first, the first one that a pair shares is
+        followed by all others it shares. So a similar pair has one early in both. Under a shingle, classes
+        of its largest component meet only those of other components.
+        """
+        sets = self.sets(large.select("c").distinct())
+        placed = sets.select("c", F.size("members").alias("n"), F.explode("members").alias("shingle"))
+        counts = placed.groupBy("shingle").agg(F.count("*").alias("common"))
+        counts = materialise(counts.where(F.col("common") > 1), "shingle-counts")
+        ranked = placed.join(counts, "shingle", "left").fillna(1, ["common"])
+        order = Window.partitionBy("c").orderBy("common", "shingle")
+        ranked = ranked.withColumn("at", F.row_number().over(order) - 1)
+        early = ranked.where((100 * F.col("at") <= (100 - self.percent) * F.col("n")) & (F.col("common") > 1))
+        early = early.join(large.select("c", "component").distinct(), "c")
+        early = materialise(early.select("shingle", "c", "component", (F.col("n") - F.col("at")).alias("left"), "n"), "early")
+        sizes = early.groupBy("shingle", "component").count()
+        most = sizes.groupBy("shingle").agg(F.max(F.struct("count", "component")).alias("most"), F.count("*").alias("k"))
+        most = materialise(most.where("k > 1").select("shingle", F.col("most.component").alias("main")), "shingle-mains")
+        early = materialise(early.join(most, "shingle"), "early-open")
+        one, two = early.alias("one"), early.where(F.col("component") != F.col("main")).alias("two")
+        shared = F.least("one.left", "two.left")
+        enough = (100 + self.percent) * shared >= self.percent * (F.col("one.n") + F.col("two.n"))
+        across = F.col("one.component") != F.col("two.component")
+        pairs = one.join(two, (F.col("one.shingle") == F.col("two.shingle")) & across & enough)
+        return pairs.select(F.least("one.c", "two.c").alias("a"), F.greatest("one.c", "two.c").alias("b")).distinct()
 
     # Confirmation and components
 
