@@ -13,6 +13,7 @@ from scoremill.llm.host_rules import op7_host_rules
 from scoremill.llm.language_id import op4_language_id
 from scoremill.llm.licenses import op5_license_scan
 from scoremill.llm.near_duplicates import op10_near_duplicates
+from scoremill.llm.pitman_yor import op6_pitman_yor
 from scoremill.llm.quality_classifier import op1_quality_classifier
 from scoremill.llm.sentencepiece_codec import op2_sentencepiece
 from scoremill.llm.token_files import op9_token_files
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_language_id": op4_language_id,
     "op5_license_scan": op5_license_scan,
+    "op6_pitman_yor": op6_pitman_yor,
     "op7_host_rules": op7_host_rules,
     "op8_chat_format": op8_chat_format,
     "op9_token_files": op9_token_files,
