@@ -9,6 +9,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoremill.session import materialise
+
 #: White space between words: space and the five ASCII controls 9 to 13.
 BLANK = r"[\x20\x09-\x0D]+"
 
@@ -70,6 +72,28 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
     return np.unique(mixed(runs))
 
 
+#: Keys of rows up to this number are broadcast (16 bytes each), more are joined by a shuffle.
+BROADCAST_KEYS = 1_000_000
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id and text are not among ``keys (doc_id, text_key)``; nulls are values."""
+    return _by_key(docs, keys, "left_anti")
+
+
+def matching(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id and text are among ``keys (doc_id, text_key)``."""
+    return _by_key(docs, keys, "left_semi")
+
+
+def _by_key(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    keys = materialise(keys.select(F.col("doc_id").alias("_key_id"), F.col("text_key").alias("_key_text")), "keys")
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    same = docs["doc_id"].eqNullSafe(F.col("_key_id")) & (F.xxhash64(docs["text"]) == F.col("_key_text"))
+    return docs.join(keys, same, how)
+
+
 def per_batch(kept: dict, make: Callable, *key):
     """One object for each Python worker and key: models are loaded once, not for each batch."""
     if key not in kept:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoremill.llm.common import table
+from scoremill.llm.common import table, without
 from scoremill.session import materialise
 
 WINDOW = 8
@@ -151,10 +151,7 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents in which an item is found."""
-    hits = materialise(find(docs, benchmark).select("doc_id", "text_key").distinct(), "contaminated")
-    hits = hits.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"))
-    same = docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(docs["text"]) == F.col("_t"))
-    return docs.join(hits, same, "left_anti")
+    return without(docs, find(docs, benchmark).select("doc_id", "text_key").distinct())
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

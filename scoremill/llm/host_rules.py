@@ -129,6 +129,21 @@ def judge(docs: DataFrame, host: str = "source", text: str = "text") -> DataFram
     return joined.withColumn("distrusted", distrusted).withColumn("kept", kept)
 
 
+def filter_documents(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their columns as they are.
+
+    The rows are stored once with their flags, between the rules and the verdicts of the hosts.
+    """
+    wrapped = docs.select(F.struct("*").alias("_row"), F.col(host).alias("_host"), F.col(text).alias("_text"))
+    checked = rule_counts(wrapped, "_text").select("_row", "_host", base_failed().alias("base"), soft_failed().alias("soft"))
+    checked = materialise(checked, "host-rules")
+    flags = checked.select("_host", (F.col("base") | F.col("soft")).alias("failed"))
+    verdicts = materialise(host_verdicts(flags, "_host"), "host-rules").where("distrusted").select("host", "distrusted")
+    joined = checked.join(verdicts, F.col("_host").eqNullSafe(F.col("host")), "left")
+    gone = F.col("base") | (F.col("soft") & F.coalesce("distrusted", F.lit(False)))
+    return joined.where(~gone).select("_row.*")
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return judge(docs).select(

@@ -214,6 +214,15 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     return docs.withColumn("_p", predicted(F.col(text))).select(*rest, "_p.lang_pred", "_p.score")
 
 
+def filter_documents(docs: DataFrame, model: Model | None, least: float = 0.4) -> DataFrame:
+    """Rows of ``docs`` with a language of at least that probability; without a model all rows."""
+    if model is None:
+        return docs
+    wrapped = docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text"))
+    told = predict(wrapped, model, "_text")
+    return told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("_row.*")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = learn(docs.select("doc_id", "text", "lang"))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scoremill.llm.common import HashOfWord, per_batch, shingle_set, table, word_hashes
+from scoremill.llm.common import HashOfWord, matching, per_batch, shingle_set, table, without, word_hashes
 from scoremill.session import materialise
 
 TOKENS, TREES, SMALL, DEPTH = 128, 32, 12, 3
@@ -74,7 +74,7 @@ def _known() -> HashOfWord:
 
 
 def describe(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n_shingles, set_id, tokens, sketch`` of each document; no set for texts without words."""
+    """``doc_id, text_key, n_shingles, set_id, tokens, sketch`` of each document; no set without words."""
 
     def describe_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         minwise = Minwise()
@@ -88,11 +88,11 @@ def describe(docs: DataFrame, size: int) -> DataFrame:
                 else:
                     rows.append((0, None, None, None))
             out = pd.DataFrame(rows, columns=["n_shingles", "set_id", "tokens", "sketch"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+            yield pd.concat([batch[["doc_id", "text_key"]].reset_index(drop=True), out], axis=1)
 
-    schema = "doc_id long, n_shingles long, set_id binary, tokens array<int>, sketch array<long>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(describe_all, schema)
+    schema = "doc_id long, text_key long, n_shingles long, set_id binary, tokens array<int>, sketch array<long>"
+    named = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
+    return named.mapInPandas(describe_all, schema)
 
 
 # Links
@@ -104,7 +104,7 @@ class Join:
     def __init__(self, docs: DataFrame, size: int, percent: int):
         self.docs, self.size, self.percent = docs, size, percent
         described = materialise(describe(docs, size), "shingles")
-        self.members = described.select("doc_id", "n_shingles", "set_id")
+        self.members = described.select("doc_id", "text_key", "n_shingles", "set_id")
         classes = described.where(F.col("set_id").isNotNull()).groupBy("set_id")
         classes = classes.agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
         # The ids are those of the written rows: a class has the same one in every later pass.
@@ -292,7 +292,7 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def find(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs (doc_id, text)``.
+    """``doc_id, text_key, n_shingles, component_id, kept`` of every row of ``docs (doc_id, text)``.
 
     Documents are linked if their sets of ``size``-word shingles (A-Z in lower case; a shorter text is one
     shingle) have ``100 * intersection >= percent * union``. ``component_id`` is the smallest ``doc_id``
@@ -309,11 +309,27 @@ def find(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     by_class = by_class.select("set_id", "component").join(lowest, "component").select("set_id", "component_id")
     by_class = materialise(by_class, "class-components")
     alone = join.members.where(F.col("set_id").isNull())
-    alone = alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = alone.select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"))
     placed = join.members.where(F.col("set_id").isNotNull()).join(by_class, "set_id")
-    placed = placed.select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    placed = placed.select("doc_id", "text_key", "n_shingles", "component_id").unionByName(alone)
     return placed.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component: the one of the smallest id, one row of it.
+
+    Documents without words all stay, and so do those of a component without any id.
+    """
+    found = materialise(find(docs, size, percent), "found")
+    repeated = found.where("kept AND n_shingles > 0").groupBy("doc_id", "text_key").count().where("count > 1")
+    repeated = materialise(repeated.select("doc_id", "text_key"), "repeated")
+    kept = without(docs, found.where("NOT kept").select("doc_id", "text_key").distinct())
+    if repeated.isEmpty():
+        return kept
+    again = matching(kept, repeated).dropDuplicates(["doc_id", "text"])
+    return without(kept, repeated).unionByName(again)
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find(table(spark, sf_dir, "documents"), size=4, percent=80)
+    found = find(table(spark, sf_dir, "documents"), size=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
