@@ -42,7 +42,7 @@ def template(text: Column, values: bool = False) -> Column:
     """Template words of a text; with ``values`` each placeholder is followed by what it replaced."""
     kept = "$0" if values else ""
     out = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{MARKS}{POINT}]+", " ")
-    out = F.regexp_replace(out, r"(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{L}*", NAME + kept)
+    out = F.regexp_replace(out, r"(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{Ll}+(?!\p{L})", NAME + kept)
     out = F.lower(out)
     out = F.regexp_replace(out, r"(?<=\p{N})[.,:/](?=\p{N})", POINT)
     out = F.regexp_replace(out, rf"\p{{N}}[\p{{N}}{POINT}]*", f" {NUMBER}{kept} ")
