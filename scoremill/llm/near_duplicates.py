@@ -32,6 +32,8 @@ from scoremill.llm.common import HashOfWord, matching, per_batch, shingle_set, t
 from scoremill.session import materialise
 
 TOKENS, TREES, SMALL, DEPTH = 128, 32, 12, 3
+#: Columns of the sketch, 64 bits each.
+SKETCH = [f"s{k}" for k in range(TOKENS // 64)]
 SPREAD = 1_000_003
 #: Classes whose texts are fetched by a broadcast of their ids; beyond it the join is shuffled.
 BROADCAST_CLASSES = 200_000
@@ -106,7 +108,7 @@ class Join:
         described = materialise(describe(docs, size), "shingles")
         self.members = described.select("doc_id", "text_key", "n_shingles", "set_id")
         classes = described.where(F.col("set_id").isNotNull()).groupBy("set_id")
-        classes = classes.agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
+        classes = classes.agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"), *[F.first("sketch")[k].alias(s) for k, s in enumerate(SKETCH)])
         # The ids are those of the written rows: a class has the same one in every later pass.
         self.classes = materialise(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
         self.tested = self.edges = self.spark.createDataFrame([], "a long, b long")
@@ -128,7 +130,9 @@ class Join:
             if large.isEmpty():
                 break
             if depth == DEPTH:
-                self.link(self.rare_pairs(large))
+                ranked = self.ranked(large)
+                self.link(self.central_pairs(large, ranked))
+                self.link(self.rare_pairs(self.open_nodes(large), ranked))
             else:
                 rows = self.branches(large)
         return self.labels.join(self.classes.select("c", "set_id"), "c").select("set_id", F.col("label").alias("component"))
@@ -141,21 +145,22 @@ class Join:
         random = np.random.default_rng(5)
         chosen = [(tree, i) for tree in range(TREES) for i in range(TOKENS) if random.random() < self.chance()]
         names = [F.xxhash64(F.lit(tree), F.lit(i), F.col("tokens")[i]) for tree, i in chosen]
-        return self.classes.select(F.explode(F.array(*names)).alias("node"), "c", "sketch")
+        return self.classes.select(F.explode(F.array(*names)).alias("node"), "c", *SKETCH)
 
     def branches(self, large: DataFrame) -> DataFrame:
         """Children of large nodes."""
         chosen = F.expr(
             f"filter(sequence(0, {TOKENS - 1}), i -> pmod(xxhash64(node, i), {SPREAD}) < {round(self.chance() * SPREAD)})"
         )
-        rows = large.select("node", "c", "sketch").join(self.classes.select("c", "tokens"), "c")
-        rows = rows.select("node", "c", "sketch", "tokens", F.explode(chosen).alias("i"))
-        return rows.select(F.expr("xxhash64(node, i, tokens[i])").alias("node"), "c", "sketch")
+        rows = large.select("node", "c", *SKETCH).join(self.classes.select("c", "tokens"), "c")
+        rows = rows.select("node", "c", *SKETCH, "tokens", F.explode(chosen).alias("i"))
+        return rows.select(F.expr("xxhash64(node, i, tokens[i])").alias("node"), "c", *SKETCH)
 
     def grouped(self, rows: DataFrame) -> DataFrame:
         """Rows of nodes with several classes, with the node's size and pivot."""
-        nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct("c", "sketch")).alias("pivot"))
-        nodes = materialise(nodes.where(F.col("n") > 1), "nodes")
+        nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("c").alias("pivot")).where(F.col("n") > 1)
+        own = self.classes.select(F.col("c").alias("pivot"), *[F.col(s).alias(f"pivot_{s}") for s in SKETCH])
+        nodes = materialise(materialise(nodes, "nodes").join(own, "pivot"), "pivots")
         return materialise(rows.join(nodes, "node"), "node-members")
 
     def open_nodes(self, nodes: DataFrame) -> DataFrame:
@@ -174,12 +179,12 @@ class Join:
         """Whether two sketches differ no more than those of a similar pair may."""
         share = (1 - self.percent / 100) / 2
         most = int(TOKENS * share + 6 * (TOKENS * share * (1 - share)) ** 0.5)
-        words = [F.bit_count(F.expr(f"{left}[{k}] ^ {right}[{k}]")) for k in range(TOKENS // 64)]
+        words = [F.bit_count(F.expr(f"{left}{s} ^ {right}{s}")) for s in SKETCH]
         return reduce(Column.__add__, words) <= most
 
     def pivot_pairs(self, nodes: DataFrame) -> DataFrame:
-        pairs = nodes.where((F.col("c") != F.col("pivot.c")) & self.likely("sketch", "pivot.sketch"))
-        return pairs.withColumn("a", F.col("pivot.c"))
+        pairs = nodes.where((F.col("c") != F.col("pivot")) & self.likely("", "pivot_"))
+        return pairs.withColumn("a", F.col("pivot"))
 
     def first_pivots(self, nodes: DataFrame) -> DataFrame:
         """Each class with the first of its likely pivots."""
@@ -191,30 +196,46 @@ class Join:
         pivots = self.pivot_pairs(nodes).select("a", F.col("c").alias("b"), "component").distinct()
         pivots = pivots.join(own, "a", "left").where(F.coalesce("of_a", "a") != F.col("component")).select("a", "b")
         small = nodes.where(F.col("n").between(3, SMALL))
-        return pivots.unionByName(self.pairs_between(small, small.where(F.col("c") != F.col("pivot.c")))).distinct()
+        return pivots.unionByName(self.pairs_between(small, small.where(F.col("c") != F.col("pivot")))).distinct()
 
     def pairs_between(self, left: DataFrame, right: DataFrame) -> DataFrame:
         """Likely pairs of one node but two components, smaller class first."""
-        one = left.select("node", F.col("c").alias("a"), F.col("sketch").alias("s"), F.col("component").alias("x"))
-        two = right.select("node", F.col("c").alias("b"), F.col("sketch").alias("t"), F.col("component").alias("y"))
-        pairs = one.join(two, "node").where((F.col("x") != F.col("y")) & self.likely("s", "t"))
+        one, two = (
+            side.select("node", F.col("c").alias(c), F.col("component").alias(f"{c}_of"), *[F.col(s).alias(f"{c}_{s}") for s in SKETCH])
+            for side, c in ((left, "a"), (right, "b"))
+        )
+        pairs = one.join(two, "node").where((F.col("a_of") != F.col("b_of")) & self.likely("a_", "b_"))
         pairs = pairs.where(F.col("a") != F.col("b"))
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-    def rare_pairs(self, large: DataFrame) -> DataFrame:
-        """All pairs of nodes that stayed large which may be similar, across components, by rare shingles.
-
-        With the shingles of each class in one order, rarest first, the first one that a pair shares is
-        followed by all others it shares. So a similar pair has one early in both. Under a shingle, classes
-        of its largest component meet only those of other components.
-        """
+    def ranked(self, large: DataFrame) -> DataFrame:
+        """``c, n, shingle, common, at`` of classes in large nodes: their shingles, rarest here first."""
         sets = self.sets(large.select("c").distinct())
         placed = sets.select("c", F.size("members").alias("n"), F.explode("members").alias("shingle"))
         counts = placed.groupBy("shingle").agg(F.count("*").alias("common"))
         counts = materialise(counts.where(F.col("common") > 1), "shingle-counts")
         ranked = placed.join(counts, "shingle", "left").fillna(1, ["common"])
         order = Window.partitionBy("c").orderBy("common", "shingle")
-        ranked = ranked.withColumn("at", F.row_number().over(order) - 1)
+        return ranked.withColumn("at", F.row_number().over(order) - 1)
+
+    def central_pairs(self, large: DataFrame, ranked: DataFrame) -> DataFrame:
+        """Each class with the most central one of a node, whose shingles are the most common there.
+
+        Unequal copies of one text are closer to it than to each other; this links most of them.
+        """
+        weights = materialise(ranked.groupBy("c").agg(F.avg("common").alias("weight")), "weights")
+        weighted = materialise(large.select("node", "c").join(weights, "c"), "weighted")
+        centres = weighted.groupBy("node").agg(F.max_by("c", F.struct("weight", "c")).alias("centre"))
+        pairs = weighted.join(materialise(centres, "centres"), "node").where("c <> centre")
+        return pairs.select(F.least("c", "centre").alias("a"), F.greatest("c", "centre").alias("b")).distinct()
+
+    def rare_pairs(self, large: DataFrame, ranked: DataFrame) -> DataFrame:
+        """All pairs of nodes that stayed large which may be similar, across components, by rare shingles.
+
+        With the shingles of each class in one order, rarest first, the first one that a pair shares is
+        followed by all others it shares. So a similar pair has one early in both. Under a shingle, classes
+        of its largest component meet only those of other components.
+        """
         early = ranked.where((100 * F.col("at") <= (100 - self.percent) * F.col("n")) & (F.col("common") > 1))
         early = early.join(large.select("c", "component").distinct(), "c")
         early = materialise(early.select("shingle", "c", "component", (F.col("n") - F.col("at")).alias("left"), "n"), "early")
