@@ -39,6 +39,12 @@ KEYS_PER_PART = 200_000
 #: Characters of text that a worker takes apart at a time.
 CHARS_AT_ONCE = 2_000_000
 
+#: What is cut off behind letters: the tokenizer's pattern starts a token there.
+PUNCTUATION = ".,;:!?%|$&*#)"
+
+#: Stands in for the ids of a word next to other white space than one space.
+UNSAFE = ""
+
 _loaded: dict = {}
 
 
@@ -84,7 +90,7 @@ class WordwiseTokenizer:
     between two other characters. Texts with other white space around a cut go to the library whole.
     """
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 1_400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -94,8 +100,9 @@ class WordwiseTokenizer:
         self.after_space = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.after_space[i] = token.startswith("\u0120")  # how byte-level tokenizers write a space
-        #: Ids of a word with the space before it, by the word; empty if it can't be cut off there.
-        self.known: dict[str, bytes] = {}
+        #: Ids of a word with the space before it, by the word; ``UNSAFE`` if it can't be cut off.
+        self.known: dict[str, bytes | str] = {}
+        self.tails: dict[str, bytes] = {}
         self.limit = limit
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
@@ -103,39 +110,57 @@ class WordwiseTokenizer:
         split = [text.split(" ") if text else [""] for text in texts]
         starts = [parts.pop(0) for parts in split]
         found = [list(map(self.known.get, parts)) for parts in split]
-        open_ = [i for i, packed in enumerate(found) if None in packed]
-        if open_:
-            new = set()
-            for i in open_:
-                new.update(w for w, x in zip(split[i], found[i], strict=True) if x is None)
+        gaps = [[i for i, ids in enumerate(packed) if ids is None] for packed in found]
+        new = {parts[i] for parts, own in zip(split, gaps, strict=True) for i in own}
+        if new:
             if len(self.known) + len(new) > self.limit:
                 self.known.clear()
-                new = set(chain.from_iterable(split[i] for i in open_))
             self._learn(list(new))
-            for i in open_:
-                found[i] = list(map(self.known.__getitem__, split[i]))
+            for parts, packed, own in zip(split, found, gaps, strict=True):
+                for i in own:
+                    packed[i] = self.known[parts[i]]
         out = []
-        firsts = self._whole(starts)
-        for text, start, first, packed in zip(texts, starts, firsts, found, strict=True):
-            if packed and (b"" in packed or not start or start[-1].isspace()):
+        for text, start, first, packed in zip(texts, starts, self._whole(starts), found, strict=True):
+            try:
+                rest = b"".join(packed)
+            except TypeError:  # an unsafe word stands as a str
+                rest = None
+            if packed and (rest is None or not start or start[-1].isspace()):
                 out += self._whole([text])
             else:
-                out.append(first + b"".join(packed))
+                out.append(first + rest)
         return out
 
     def _learn(self, new: list[str]) -> None:
-        """Encode words as one text; ids that begin with a space tell where each of them starts."""
-        self.known.update(dict.fromkeys(new, b""))
-        safe = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
+        """Encode words as one text; ids that begin with a space tell where each of them starts.
+
+        Punctuation behind letters starts a token, so it is encoded apart: fewer words are new then.
+        """
+        plain, cut = set(), []
+        for word in new:
+            letters = word.rstrip(PUNCTUATION)
+            if len(letters) < len(word) and letters.isalpha():
+                cut.append((word, letters, word[len(letters) :]))
+                if letters not in self.known:
+                    plain.add(letters)
+            elif word and not word[0].isspace() and not word[-1].isspace():
+                plain.add(word)
+            else:
+                self.known[word] = UNSAFE
+        safe = list(plain)
         for at in range(0, len(safe), 2_000):
             some = safe[at : at + 2_000]
             ids = np.frombuffer(self._whole([" " + " ".join(some)])[0], self.kind)
             borders = np.flatnonzero(self.after_space[ids])
             if len(borders) == len(some):
-                cut = [ids[a:b].tobytes() for a, b in zip(borders, [*borders[1:], None], strict=True)]
+                found = [ids[a:b].tobytes() for a, b in zip(borders, [*borders[1:], None], strict=True)]
             else:  # a special token among them took a space
-                cut = self._whole([f" {w}" for w in some])
-            self.known.update(zip(some, cut, strict=True))
+                found = self._whole([f" {w}" for w in some])
+            self.known.update(zip(some, found, strict=True))
+        tails = {tail for _, _, tail in cut} - self.tails.keys()
+        self.tails.update(zip(tails, self._whole(list(tails)), strict=True))
+        for word, letters, tail in cut:
+            self.known[word] = self.known[letters] + self.tails[tail]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
