@@ -64,7 +64,8 @@ def min_max_scaled(values: DataFrame, ranges: DataFrame, by: Sequence[str] = ())
     ``ranges`` has one row per feature and ``by`` group. Grouped by dates, it is bounded by the
     calendar times the feature list and is broadcast; for other groups Spark picks the join.
     """
-    scaled = F.expr("try_divide(value - range.low, range.high - range.low) AS scaled")
+    # An infinite end of the range leaves NaN, which is in no bucket.
+    scaled = F.expr("nanvl(try_divide(value - range.low, range.high - range.low), NULL) AS scaled")
     if by:
         looked_up = ranges.selectExpr(*by, "feature", "struct(low, high) AS range")
         kinds = dict(looked_up.dtypes)

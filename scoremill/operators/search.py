@@ -105,6 +105,8 @@ def random_search(
             sum(auc for number, _, auc in scored if number == wanted) / folds
             for wanted in range(len(candidates))
         ]
+        if all(map(math.isnan, means)):
+            raise ValueError("no candidate has a score: a fold is empty or holds one class only")
         # A fold of one class has no score; its candidate comes last.
         best = max(
             range(len(candidates)), key=lambda i: -math.inf if math.isnan(means[i]) else means[i]

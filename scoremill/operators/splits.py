@@ -3,8 +3,12 @@
 Rows are put in the order of the md5 of their key and the seed; a split is then a set of cut-off
 hashes per label. Finding a cut-off takes one count per label and hash prefix, and a look inside the
 one prefix in which the cut falls. Both read the keys only and leave a few hashes on the driver.
-Assigning rows then compares strings, so the rows themselves are never sorted or shuffled. Rows that
-share a key (one label joined to several feature rows) share a hash and stay on one side.
+Assigning rows then compares strings, so the rows themselves are never sorted or shuffled.
+
+Rows that share a key (one label joined to several feature rows) follow each other in the order of the
+md5 of their other columns, so shares are exact after such a join, too. With ``grouped`` they have one
+hash and stay on one side, whatever that does to the shares. Rows that are equal in every column are told
+apart, by numbering, only where a cut falls between them.
 """
 
 from __future__ import annotations
@@ -21,9 +25,14 @@ LABEL_VALUES = (0, 1)
 PREFIX_DIGITS = 4
 
 
-def row_hash(keys: Sequence[str], seed: int) -> Column:
+def row_hash(keys: Sequence[str], seed: int, others: Sequence[str] = ()) -> Column:
+    """md5 of the keys and the seed, followed by the md5 of the other columns if there are any."""
     parts = ", ".join(f"CAST(`{key}` AS STRING)" for key in keys)
-    return F.expr(f"md5(concat_ws('|', {parts}, '{seed}'))")
+    first = f"md5(concat_ws('|', {parts}, '{seed}'))"
+    if not others:
+        return F.expr(first)
+    shown = ", ".join(f"coalesce(CAST(`{name}` AS STRING), '')" for name in others)
+    return F.expr(f"concat({first}, md5(concat_ws('|', {shown})))")
 
 
 def stratified_split(
@@ -32,9 +41,10 @@ def stratified_split(
     keys: Sequence[str] = ROW_KEYS,
     test_percent: int = 20,
     seed: int = 88,
+    grouped: bool = False,
 ) -> DataFrame:
     """Add ``split``: ``test`` for the first ``ceil(test_percent %)`` of each label, else ``train``."""
-    block = _block(df, label, keys, seed, [rows_to_test(test_percent)])
+    block = _block(df, label, keys, seed, [rows_to_test(test_percent)], grouped)
     split = "CASE block WHEN 0 THEN 'test' WHEN 1 THEN 'train' END AS split"
     return block.select(*df.columns, F.expr(split))
 
@@ -45,9 +55,10 @@ def cv_folds(
     label: str = LABEL,
     keys: Sequence[str] = ROW_KEYS,
     seed: int = 88,
+    grouped: bool = False,
 ) -> DataFrame:
     """Add ``fold`` 0..folds-1: equal consecutive runs of the hash order within each label."""
-    block = _block(df, label, keys, seed, fold_bounds("0", folds))
+    block = _block(df, label, keys, seed, fold_bounds("0", folds), grouped)
     return block.withColumnRenamed("block", "fold")
 
 
@@ -58,6 +69,7 @@ def split_and_folds(
     keys: Sequence[str] = ROW_KEYS,
     test_percent: int = 20,
     seed: int = 88,
+    grouped: bool = False,
 ) -> DataFrame:
     """Split of the ``train_test`` period plus folds of its training part, from one set of cut-offs.
 
@@ -65,9 +77,9 @@ def split_and_folds(
     """
     tested = rows_to_test(test_percent)
     targets = [tested, *fold_bounds(tested, folds)]
-    block = _block(df, label, keys, seed, targets, within="period = 'train_test'")
+    block = _block(df, label, keys, seed, targets, grouped, within="period <=> 'train_test'")
     split = (
-        "CASE WHEN period = 'oot' THEN 'oot' WHEN period <> 'train_test' THEN NULL "
+        "CASE WHEN period = 'oot' THEN 'oot' WHEN NOT period <=> 'train_test' THEN NULL "
         "WHEN block = 0 THEN 'test' WHEN block > 0 THEN 'train' END AS split"
     )
     fold = "CASE WHEN split = 'train' THEN block - 1 END AS fold"
@@ -90,25 +102,51 @@ def _block(
     keys: Sequence[str],
     seed: int,
     targets: Sequence[str],
+    grouped: bool,
     within: str = "true",
 ) -> DataFrame:
-    """Add ``block``: the number of cut-offs below the row's hash; null without a 0/1 label."""
-    hashed = df.withColumn("row_hash", row_hash(keys, seed))
-    counted = hashed.filter(f"`{label}` IN {LABEL_VALUES} AND {within}").select(label, "row_hash")
-    # One row per label value: a handful of hashes, put into the expression as literals.
-    cuts = {row[label]: row for row in _cut_offs(counted, label, targets).collect()}
+    """Add ``block``: the number of cut-offs before the row; null without a label.
+
+    Raises ``ValueError`` for labels other than 0 and 1.
+    """
+    others = [] if grouped else [name for name in df.columns if name not in keys]
+    hashed = df.withColumn("row_hash", row_hash(keys, seed, others))
+    counted = hashed.filter(f"`{label}` IS NOT NULL AND {within}").select(label, "row_hash")
+    # One row per label value and cut: a handful of hashes, put into the expression as literals.
+    found = _cut_offs(counted, label, targets).collect()
+    unknown = {row[label] for row in found} - set(LABEL_VALUES)
+    if unknown:
+        raise ValueError(f"labels must be 0 or 1, found {sorted(unknown)}")
+    shared = [] if grouped else [row for row in found if row["rank"] < row["copies"]]
+    numbered = _numbered(hashed, label, within, shared)
     cases = []
     for value in LABEL_VALUES:
-        # A cut-off before the first row is missing; the empty string sorts before every hash.
-        found = cuts[value].asDict() if value in cuts else {}
-        hashes = (found.get(f"cut_{cut}") or "" for cut in range(len(targets)))
-        passed = " + ".join(f"CAST(row_hash > '{cut}' AS INT)" for cut in hashes)
-        cases.append(f"WHEN {value} THEN {passed or '0'}")
-    return hashed.select(*df.columns, F.expr(f"CASE `{label}` {' '.join(cases)} END AS block"))
+        passed = []
+        for cut in range(len(targets)):
+            # A cut-off before the first row is missing; the empty string sorts before every hash.
+            own = next((row for row in found if row[label] == value and row["cut"] == cut), None)
+            after = f"row_hash > '{own['row_hash'] if own else ''}'"
+            if own in shared:
+                after = f"({after} OR (row_hash = '{own['row_hash']}' AND copy > {own['rank']}))"
+            passed.append(f"CAST({after} AS INT)")
+        cases.append(f"WHEN {value} THEN {' + '.join(passed) or '0'}")
+    return numbered.select(*df.columns, F.expr(f"CASE `{label}` {' '.join(cases)} END AS block"))
+
+
+def _numbered(hashed: DataFrame, label: str, within: str, shared: Sequence) -> DataFrame:
+    """Number the rows that are equal to the last row before a cut; there are seldom any."""
+    if not shared:
+        return hashed
+    hashes = ", ".join(sorted({f"'{row['row_hash']}'" for row in shared}))
+    equal = f"`{label}` IS NOT NULL AND {within} AND row_hash IN ({hashes})"
+    order = Window.partitionBy(label, "row_hash").orderBy(F.lit(1))
+    there = hashed.filter(equal).withColumn("copy", F.row_number().over(order))
+    return hashed.filter(f"NOT coalesce({equal}, false)").withColumn("copy", F.lit(0)).unionByName(there)
 
 
 def _cut_offs(rows: DataFrame, label: str, targets: Sequence[str]) -> DataFrame:
-    """One row per label: the hash of the last row of each block."""
+    """The last row before each cut: its hash, how many rows share it and how many of them are before.
+    """
     prefixed = rows.selectExpr("*", f"left(row_hash, {PREFIX_DIGITS}) AS prefix")
     # At most 16**PREFIX_DIGITS counts per label reach the windows, at any input size.
     of_label = Window.partitionBy(label)
@@ -124,16 +162,11 @@ def _cut_offs(rows: DataFrame, label: str, targets: Sequence[str]) -> DataFrame:
         .selectExpr(label, "prefix", "cut", "target - (upto - n_cell) AS rank")
     )
     in_cell = Window.partitionBy(label, "cut").orderBy("row_hash")
-    cuts = (
+    return (
         prefixed.join(F.broadcast(cut_cells), [label, "prefix"])
         .groupBy(label, "cut", "rank", "row_hash")
         .agg(F.expr("count(1) AS copies"))
         .withColumn("upto", F.sum("copies").over(in_cell))
         .filter("rank > upto - copies AND rank <= upto")
-    )
-    return cuts.groupBy(label).agg(
-        *(
-            F.expr(f"max(CASE WHEN cut = {cut} THEN row_hash END) AS cut_{cut}")
-            for cut in range(len(targets))
-        )
+        .selectExpr(label, "cut", "row_hash", "copies", "rank - (upto - copies) AS rank")
     )

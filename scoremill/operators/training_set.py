@@ -12,50 +12,22 @@ from scoremill.functions.dates import TrainingWindows
 from scoremill.schemas import CUSTOMER, LABEL, LABEL_STORE, SNAPSHOT
 
 
-# A customer with this many feature rows is more than one join task should take.
-HOT_ROWS = 1_000_000
-HOT_SAMPLE = 10_000
-
-
-def label_feature_join(
-    labels: DataFrame, features: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def label_feature_join(labels: DataFrame, features: DataFrame) -> DataFrame:
     """Left join of labels to every feature row of the same customer.
 
     The feature date is dropped, so a customer with several feature snapshots fans out and a label
     without features keeps one row of nulls.
 
-    Adaptive execution splits a hot key of a left join on its left side only. Customers that are hot
-    on the feature side are therefore joined apart from the others: their labels all have features,
-    so an inner join gives the same rows, and that one is split on either side.
-    """
-    facts = features.drop(SNAPSHOT)
-    hot = hot_customers(features, hot_rows)
-    if hot is None:
-        return labels.join(facts, CUSTOMER, "left")
-    # At most one row per ``hot_rows`` feature rows.
-    hot = F.broadcast(hot)
-    others = labels.join(hot, CUSTOMER, "left_anti").join(
-        facts.join(hot, CUSTOMER, "left_anti"), CUSTOMER, "left"
-    )
-    apart = labels.join(hot, CUSTOMER, "left_semi").join(
-        facts.join(hot, CUSTOMER, "left_semi"), CUSTOMER
-    )
-    return others.unionByName(apart)
-
-
-def hot_customers(features: DataFrame, hot_rows: int) -> DataFrame | None:
-    """Customers with about ``hot_rows`` feature rows or more; None if there are none.
-
-    Found from a sample of the key column. The answer only decides which of two equal plans is
-    taken: no row is left out for being in the sample or not. The keys are fixed here, as literals,
-    because both halves of the join have to agree on them.
+    Only features of customers that have a label here take part: their keys are few when the labels
+    are those of a window, and Spark broadcasts them then. Adaptive execution splits a hot key of a
+    left join on its left side only, so labels with features are joined by an inner join, which it
+    splits on either side, and labels without any are added to it.
     """
-    share = min(1.0, HOT_SAMPLE / hot_rows)
-    seen = features.select(CUSTOMER).filter(f"{CUSTOMER} IS NOT NULL").sample(share, seed=1)
-    counts = seen.groupBy(CUSTOMER).agg(F.expr("count(1) AS n_seen"))
-    keys = counts.filter(f"n_seen >= {hot_rows * share}").select(CUSTOMER).collect()
-    return features.sparkSession.createDataFrame(keys, f"{CUSTOMER} string") if keys else None
+    wanted = labels.select(CUSTOMER).distinct()
+    facts = features.drop(SNAPSHOT).join(wanted, CUSTOMER, "left_semi")
+    known = features.select(CUSTOMER).join(wanted, CUSTOMER, "left_semi").distinct()
+    without = labels.join(known, CUSTOMER, "left_anti")
+    return labels.join(facts, CUSTOMER).unionByName(without, allowMissingColumns=True)
 
 
 def with_period(df: DataFrame, windows: TrainingWindows) -> DataFrame:

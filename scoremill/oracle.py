@@ -287,6 +287,21 @@ FROM ranked""",
         FS, LS, SPLIT, select="""SELECT customer_id, loan_id, label, split, coalesce(fold, -1) AS fold
 FROM rows_split"""
     ),
+    "split_folds_fanout": statement(
+        FS,
+        LS,
+        f"""joined AS (
+  SELECT label, CASE WHEN ls.snapshot_date >= DATE '2001-05-01' THEN 'oot' ELSE 'train_test' END AS period
+  FROM ls LEFT JOIN fs ON fs.o_custkey = ls.o_custkey WHERE ls.{WINDOW}),
+sizes AS (SELECT period, label, count(*) AS n, (count(*) * 20 + 99) // 100 AS n_test FROM joined GROUP BY period, label),
+parts AS (
+  SELECT period, label, 'oot' AS split, -1 AS fold, n AS n_rows FROM sizes WHERE period = 'oot'
+  UNION ALL SELECT period, label, 'test', -1, n_test FROM sizes WHERE period <> 'oot'
+  UNION ALL SELECT period, label, 'train', f, (n - n_test) * (f + 1) // 3 - (n - n_test) * f // 3
+    FROM sizes CROSS JOIN (VALUES (0), (1), (2)) AS folds(f) WHERE period <> 'oot')""",
+        select="SELECT period, label, split, CAST(fold AS INTEGER) AS fold, CAST(n_rows AS BIGINT) AS n_rows "
+        "FROM parts WHERE n_rows > 0",
+    ),
     "split_stats": statement(
         FS,
         LS,
@@ -411,7 +426,7 @@ FROM points p JOIN vals v ON v.feature = p.feature GROUP BY p.feature, p.point,
         select="SELECT snapshot_date, round(2 * auc - 1, 3) AS gini FROM ("
         + auc_of(
             f"""SELECT fs.snapshot_date, label, {SCORE} AS score
-        FROM fs JOIN ls ON ls.customer_id = fs.customer_id""",
+        FROM fs JOIN ls ON ls.customer_id = fs.customer_id AND ls.snapshot_date = fs.snapshot_date""",
             "snapshot_date",
         )
         + ")",
@@ -452,17 +467,17 @@ WHERE pred.snapshot_date = DATE '2001-06-01' AND ls.snapshot_date = DATE '2001-0
         PREDICTIONS,
         "psi AS (SELECT sum(psi_value) AS psi FROM terms)",
         f"""metrics AS (
-  SELECT 'feature' AS metric, 'outstanding_debt' AS value
-  UNION ALL SELECT 'psi_value', printf('%.4f', psi) FROM psi
-  UNION ALL SELECT 'psi_status', {BAND.format("psi")} FROM psi
-  UNION ALL SELECT 'predictions', CAST(count(*) AS VARCHAR) FROM pred
+  SELECT 'outstanding_debt' AS feature, 'feature' AS metric, 'outstanding_debt' AS value
+  UNION ALL SELECT 'outstanding_debt', 'psi_value', printf('%.4f', psi) FROM psi
+  UNION ALL SELECT 'outstanding_debt', 'psi_status', {BAND.format("psi")} FROM psi
+  UNION ALL SELECT NULL, 'predictions', CAST(count(*) AS VARCHAR) FROM pred
     WHERE snapshot_date = DATE '2001-06-01'
-  UNION ALL SELECT 'features', CAST(count(*) AS VARCHAR) FROM fs
-  UNION ALL SELECT 'labels', CAST(count(*) AS VARCHAR)
+  UNION ALL SELECT NULL, 'features', CAST(count(*) AS VARCHAR) FROM fs
+  UNION ALL SELECT NULL, 'labels', CAST(count(*) AS VARCHAR)
     FROM pred JOIN ls ON ls.customer_id = pred.customer_id
     WHERE pred.snapshot_date = DATE '2001-06-01' AND ls.snapshot_date = DATE '2001-06-01')""",
         select="""SELECT 'model_2001_06_01' AS model_name, DATE '2001-06-01' AS snapshot_date,
-  metric, value FROM metrics""",
+  feature, metric, value FROM metrics""",
     ),
     "prediction_sink_roundtrip": statement(
         FS,

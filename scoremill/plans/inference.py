@@ -5,17 +5,27 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from scoremill.functions.dates import parse_date
 from scoremill.operators.scoring import score_snapshot
+from scoremill.schemas import MODEL, SNAPSHOT
 from scoremill.sources.artefacts import load_artefact
-from scoremill.sources.reports import write_predictions
+from scoremill.sources.reports import clear_partition, read_predictions, write_predictions
+from scoremill.sources.stores import at_snapshot
 
 
 def infer(
     features: DataFrame, bank: str, model_name: str, day: str | date, predictions_root: str
 ) -> DataFrame:
-    """Score the snapshot and replace its partition of the prediction store."""
-    artefact = load_artefact(features.sparkSession, bank, model_name)
+    """Score the snapshot, replace its partition of the prediction store and return that partition.
+
+    The partition goes first: a rerun without rows leaves no old ones.
+    """
+    spark = features.sparkSession
+    artefact = load_artefact(spark, bank, model_name)
     predictions = score_snapshot(features, artefact.model, model_name, day)
+    clear_partition(spark, predictions_root, {MODEL: model_name, SNAPSHOT: parse_date(day)})
     write_predictions(predictions, predictions_root)
-    return predictions
+    stored = read_predictions(spark, predictions_root)
+    return at_snapshot(stored.filter(F.col(MODEL) == model_name), day)

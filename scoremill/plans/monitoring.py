@@ -24,7 +24,12 @@ from scoremill.schemas import (
     SUMMARY,
 )
 from scoremill.session import materialise
-from scoremill.sources.reports import summary_text, write_psi_history, write_summary
+from scoremill.sources.reports import (
+    clear_partition,
+    summary_text,
+    write_psi_history,
+    write_summary,
+)
 from scoremill.sources.stores import at_snapshot
 
 
@@ -39,8 +44,8 @@ class MonitorTables:
 
 
 def prediction_label_join(predictions: DataFrame, labels: DataFrame) -> DataFrame:
-    """Predictions with the label of the same customer; both sides are of one snapshot already."""
-    return predictions.join(labels.select(CUSTOMER, LABEL), CUSTOMER)
+    """Predictions with the label of the same customer and snapshot."""
+    return predictions.join(labels.select(CUSTOMER, SNAPSHOT, LABEL), [CUSTOMER, SNAPSHOT])
 
 
 def psi_rows(totals: DataFrame, model_name: str, day: str | date) -> DataFrame:
@@ -65,7 +70,7 @@ def monitor_summary(
     day: str | date,
     labels: DataFrame,
 ) -> DataFrame:
-    """One row per metric.
+    """One row per metric; drift metrics name their feature, the others have none.
 
     Metrics of a part that was not computed are absent: drift without a baseline, and the label
     count when the snapshot has no labels at all.
@@ -83,11 +88,13 @@ def monitor_summary(
     labelled = labels.agg(F.count(F.lit(1)).alias("n_labels")).filter("n_labels > 0")
     counted = merged.agg(F.count(F.lit(1)).alias("n"))
     merged_volume = labelled.select(
-        F.lit("labels").alias("metric"), counted.scalar().cast("string").alias("value")
+        F.lit(None).cast("string").alias("feature"),
+        F.lit("labels").alias("metric"),
+        counted.scalar().cast("string").alias("value"),
     )
     metrics = drift.unionByName(volumes).unionByName(merged_volume)
     return metrics.select(
-        F.lit(model_name).alias(MODEL), date_literal(day).alias(SNAPSHOT), "metric", "value"
+        F.lit(model_name).alias(MODEL), date_literal(day).alias(SNAPSHOT), "feature", "metric", "value"
     ).select(SUMMARY.fieldNames())
 
 
@@ -150,19 +157,24 @@ def run_monitoring(
     keys = [F.lit(model_name).alias(MODEL), date_literal(day).alias(SNAPSHOT)]
     write_psi_history(tables.psi, os.path.join(out, "psi_results"))
     for name, table in (("psi_buckets", tables.buckets), ("kde_curves", tables.curves)):
-        _write_run(table.select(*keys, "*"), os.path.join(out, name))
+        root = os.path.join(out, name)
+        # A run without rows replaces earlier ones, too.
+        clear_partition(predictions.sparkSession, root, {MODEL: model_name, SNAPSHOT: parse_date(day)})
+        _write_run(table.select(*keys, "*"), root)
     write_summary(tables.summary, os.path.join(out, "summary"))
     _write_run(summary_text(tables.summary), os.path.join(out, "summary_text"), "text")
     return tables
 
 
 def _metric(name: str, value: Column) -> Column:
-    return F.struct(F.lit(name).alias("metric"), value.alias("value"))
+    return F.struct(
+        F.col("feature_name").alias("feature"), F.lit(name).alias("metric"), value.alias("value")
+    )
 
 
 def _volume(df: DataFrame, metric: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).cast("string").alias("value")).select(
-        F.lit(metric).alias("metric"), "value"
+        F.lit(None).cast("string").alias("feature"), F.lit(metric).alias("metric"), "value"
     )
 
 

@@ -24,8 +24,9 @@ from scoremill.operators import (
     splits,
     training_set,
 )
-from scoremill.operators.scoring import as_predictions, score_snapshot
+from scoremill.operators.scoring import as_predictions
 from scoremill.operators.training_set import feature_columns, label_feature_join, with_period
+from scoremill.plans.inference import infer
 from scoremill.plans import monitoring, training
 from scoremill.schemas import (
     CUSTOMER,
@@ -38,6 +39,7 @@ from scoremill.schemas import (
 )
 from scoremill.session import materialise, run_folder
 from scoremill.sources import reports, stores
+from scoremill.sources.artefacts import save_artefact
 
 RUN_DATE = parse_date("2001-06-01")
 BASELINE_DATE = months_before(RUN_DATE, 1)
@@ -149,6 +151,18 @@ def train_join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(label_feature_join(labels, features))
 
 
+@query
+def split_folds_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of splits and folds where a label has several joined rows."""
+    joined = training.training_table(
+        testdata.label_store(spark, sf_dir, "o_custkey"),
+        testdata.feature_store(spark, sf_dir, "o_custkey"),
+        TrainingWindows.at(RUN_DATE),
+    )
+    keys = ["period", LABEL, "split", F.coalesce("fold", F.lit(-1)).alias("fold")]
+    return joined.groupBy(*keys).agg(F.count("*").alias("n_rows"))
+
+
 @query
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = testdata.label_store(spark, sf_dir)
@@ -375,17 +389,21 @@ def feature_importance_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def random_search_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _train_on_orders(spark, sf_dir, "gbt", n_iter=2).search.scores
+    """Every candidate of the logistic search, in three folds."""
+    return _train_on_orders(spark, sf_dir, "logreg", n_iter=24).search.scores
 
 
 @query
 def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _train_on_orders(spark, sf_dir, "logreg", n_iter=2).artefact.record
+    one = [{"C": 1, "penalty": "l2", "max_iter": 100}]
+    return _train_on_orders(spark, sf_dir, "logreg", candidates=one).artefact.record
 
 
 @query
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = [{"C": 1, "penalty": "l2", "max_iter": 100}]
     artefact = _train_on_orders(spark, sf_dir, "logreg", candidates=one).artefact
+    bank = run_folder(spark, "model-bank")
+    save_artefact(artefact, bank)
     features = testdata.feature_store(spark, sf_dir)
-    return score_snapshot(features, artefact.model, artefact.version, RUN_DATE)
+    return infer(features, bank, artefact.version, RUN_DATE, run_folder(spark, "model-predictions"))

@@ -52,6 +52,7 @@ SUMMARY = T.StructType(
     [
         T.StructField(MODEL, T.StringType()),
         T.StructField(SNAPSHOT, T.DateType()),
+        T.StructField("feature", T.StringType()),
         T.StructField("metric", T.StringType()),
         T.StructField("value", T.StringType()),
     ]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scoremill.functions.dates import formatted_date
 from scoremill.schemas import MODEL, PREDICTIONS, PSI_RESULTS, SNAPSHOT, SUMMARY
+from scoremill.session import materialise
 from scoremill.sources.stores import scan_store
 
 BY_RUN = (MODEL, SNAPSHOT)
@@ -19,8 +20,15 @@ def write_predictions(df: DataFrame, root: str) -> None:
     _overwrite_partitions(df.select(PREDICTIONS.fieldNames()), root, BY_RUN, "parquet")
 
 
+def clear_partition(spark: SparkSession, root: str, values: dict[str, object]) -> None:
+    """Remove one partition of a store, so that a run that has no rows leaves none behind."""
+    folder = "/".join([root, *(f"{name}={value}" for name, value in values.items())])
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_predictions(spark: SparkSession, root: str) -> DataFrame:
-    return scan_store(spark, root, PREDICTIONS)
+    return scan_store(spark, root, PREDICTIONS, missing_ok=True)
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -32,20 +40,19 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
 def write_psi_history(df: DataFrame, root: str) -> None:
     """Add drift rows to the CSV history, replacing rows of the same model, feature and date.
 
-    Each run date is a partition, so an upsert rewrites that date alone and never the files that
-    are being read.
+    Partitions are runs, a model and a date, so the files don't grow with the number of features. What
+    the run's partitions hold for other features is stored apart first, since they are rewritten.
     """
-    _overwrite_partitions(
-        df.select(PSI_RESULTS.fieldNames()),
-        root,
-        (MODEL, "feature_name", SNAPSHOT),
-        "csv",
-        header=True,
-    )
+    runs = df.select(*BY_RUN).distinct()
+    earlier = read_psi_history(df.sparkSession, root).join(runs, list(BY_RUN), "left_semi")
+    merged = upsert(earlier, df.select(PSI_RESULTS.fieldNames()), [*BY_RUN, "feature_name"])
+    # The file format knows columns by their place only.
+    merged = materialise(merged.select(PSI_RESULTS.fieldNames()), "psi-history")
+    _overwrite_partitions(merged, root, BY_RUN, "csv", header=True)
 
 
 def read_psi_history(spark: SparkSession, root: str) -> DataFrame:
-    return scan_store(spark, root, PSI_RESULTS, "csv", header=True)
+    return scan_store(spark, root, PSI_RESULTS, "csv", missing_ok=True, header=True)
 
 
 def write_summary(df: DataFrame, root: str) -> None:
@@ -53,7 +60,7 @@ def write_summary(df: DataFrame, root: str) -> None:
 
 
 def read_summary(spark: SparkSession, root: str) -> DataFrame:
-    return scan_store(spark, root, SUMMARY)
+    return scan_store(spark, root, SUMMARY, missing_ok=True)
 
 
 def summary_text(summary: DataFrame) -> DataFrame:
@@ -70,11 +77,13 @@ def summary_text(summary: DataFrame) -> DataFrame:
     metrics = ["feature", "psi_value", "psi_status", "predictions", "features", "labels"]
     order = F.array_position(F.array(*map(F.lit, metrics)), F.col("metric"))
     stability = F.col("metric").isin("feature", "psi_value", "psi_status")
+    # Lines of one feature stay together.
+    placed = F.struct(F.coalesce("feature", F.lit("")).alias("of"), order.alias("at"), line.alias("line"))
     grouped = summary.groupBy(MODEL, SNAPSHOT).agg(
-        F.array_sort(F.collect_list(F.when(stability, F.struct(order, line)))).alias("stability"),
-        F.array_sort(F.collect_list(F.when(~stability, F.struct(order, line)))).alias("volumes"),
+        F.array_sort(F.collect_list(F.when(stability, placed))).alias("stability"),
+        F.array_sort(F.collect_list(F.when(~stability, placed))).alias("volumes"),
     )
-    texts = {name: F.transform(F.col(name), lambda x: x["col2"]) for name in ("stability", "volumes")}
+    texts = {name: F.transform(F.col(name), lambda x: x["line"]) for name in ("stability", "volumes")}
     head = F.array(
         F.lit("Model Monitoring Summary"),
         F.lit("========================"),

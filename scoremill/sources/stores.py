@@ -18,18 +18,19 @@ def scan_store(
     root: str,
     schema: T.StructType,
     file_format: str = "parquet",
+    missing_ok: bool = False,
     **options: object,
 ) -> DataFrame:
     """Every file below ``root`` as one table, columns in schema order.
 
-    The declared schema makes zero-byte files read as empty; a store that is not there yet is an
-    empty table of the same schema.
+    The declared schema makes zero-byte files read as empty. With ``missing_ok`` a store that is not
+    there yet is an empty table of the same schema; otherwise it raises, as an input has to be there.
     """
     try:
         stored = spark.read.schema(schema).options(**options).load(root, format=file_format)
         return stored.select(schema.fieldNames())
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not missing_ok or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 

@@ -160,3 +160,8 @@ def test_known_curve_of_the_provided_customers(spark, data):
     curve = density.kde_curves(drift.non_negative_values(customers, [DEBT])).collect()
     assert len(curve) == 200
     assert round(min(r["x"] for r in curve), 3) == -2085.402
+
+
+def test_infinite_values_are_in_no_bucket(values):
+    cells = drift.equal_width_histogram(values([0.0, 1.0, float("inf")])).collect()
+    assert sum(r["n_bucket"] for r in cells) == 2 and cells[0]["n"] == 3

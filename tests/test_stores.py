@@ -2,6 +2,8 @@ import os
 from datetime import date
 
 
+import pytest
+from pyspark.errors import AnalysisException
 from scoremill.schemas import (
     DEBT,
     LABEL_STORE,
@@ -49,7 +51,9 @@ def test_zero_byte_files_are_empty(spark, tmp_path):
 
 
 def test_missing_store_is_an_empty_table(spark, tmp_path):
-    store = stores.scan_store(spark, str(tmp_path / "nothing"), LABEL_STORE)
+    with pytest.raises(AnalysisException):
+        stores.scan_store(spark, str(tmp_path / "nothing"), LABEL_STORE)
+    store = stores.scan_store(spark, str(tmp_path / "nothing"), LABEL_STORE, missing_ok=True)
     assert store.schema == LABEL_STORE and store.isEmpty()
 
 
@@ -101,8 +105,11 @@ def test_summary_text_leaves_out_what_was_not_computed(spark):
         ("features", "20"),
         ("labels", "9"),
     ]
-    rows = [("m", JAN, *metric) for metric in full] + [("m", FEB, *metric) for metric in full[3:5]]
+    rows = [("m", JAN, DEBT if at < 3 else None, *metric) for at, metric in enumerate(full)]
+    rows += [("m", JAN, "income", "feature", "income"), ("m", JAN, "income", "psi_value", "0.0001")]
+    rows += [("m", FEB, None, *metric) for metric in full[3:5]]
     texts = {r[SNAPSHOT]: r["text"] for r in reports.summary_text(spark.createDataFrame(rows, SUMMARY)).collect()}
-    assert "- PSI Value: 0.0968\n- Status: Low risk" in texts[JAN]
+    assert f"- Feature: {DEBT}\n- PSI Value: 0.0968\n- Status: Low risk" in texts[JAN]
+    assert "- Feature: income\n- PSI Value: 0.0001" in texts[JAN]
     assert texts[JAN].endswith("Data Volumes:\n- Predictions: 10\n- Features: 20\n- Labels (for AUC): 9")
     assert "PSI" not in texts[FEB] and texts[FEB].endswith("- Predictions: 10\n- Features: 20")

@@ -10,7 +10,6 @@ from scoremill.functions.dates import TrainingWindows
 from scoremill.operators import splits
 from scoremill.operators.training_set import (
     feature_columns,
-    hot_customers,
     label_feature_join,
     split_stats,
     with_period,
@@ -27,14 +26,13 @@ def labels_of(spark, rows):
     return spark.createDataFrame([(c, f"L{c}", y, "d", day) for c, y, day in rows], LABEL_STORE)
 
 
-@pytest.mark.parametrize("hot_rows", [2, 1000])
-def test_join_keeps_unmatched_labels_and_fans_out(spark, hot_rows):
+def test_join_keeps_unmatched_labels_and_fans_out(spark):
     labels = labels_of(spark, [("a", 1, JAN), ("b", 0, JAN), (None, 0, JAN)])
     features = spark.createDataFrame(
         [("a", JAN, 1.0, 5.0), ("a", FEB, 2.0, 6.0), ("a", MAR, 3.0, None), ("z", JAN, 9.0, 9.0)],
         FEATURES,
     )
-    joined = label_feature_join(labels, features, hot_rows)
+    joined = label_feature_join(labels, features)
     assert joined.columns == [*LABEL_STORE.fieldNames(), DEBT, "income"]
     got = Counter((r["customer_id"], r["loan_id"], r[DEBT], r["income"]) for r in joined.collect())
     assert got == Counter(
@@ -47,11 +45,9 @@ def test_join_keeps_unmatched_labels_and_fans_out(spark, hot_rows):
 def test_hot_customer_on_both_sides(spark):
     labels = labels_of(spark, [("hot", i % 2, JAN) for i in range(40)] + [("c", 1, JAN)])
     features = spark.createDataFrame([("hot", JAN, float(i), 0.0) for i in range(30)], FEATURES)
-    split, plain = (label_feature_join(labels, features, rows) for rows in (20, 1000))
-    assert [r[0] for r in hot_customers(features, 20).collect()] == ["hot"]
-    assert hot_customers(features, 1000) is None
-    assert split.count() == plain.count() == 40 * 30 + 1
-    assert split.exceptAll(plain).isEmpty()
+    joined = label_feature_join(labels, features)
+    assert joined.count() == 40 * 30 + 1
+    assert joined.distinct().count() == 2 * 30 + 1
 
 
 def test_feature_columns_are_numeric_and_not_keys(spark):
@@ -110,11 +106,35 @@ def test_folds_differ_by_one_row_at_most(spark):
 def test_copies_of_a_label_stay_on_one_side(spark):
     """A third of all rows are copies of one label; they share its side, and no row is lost."""
     rows = [(f"k{i}", 0, JAN) for i in range(200)] + [("hot", 0, JAN)] * 100
-    split = splits.stratified_split(labels_of(spark, rows)).collect()
+    split = splits.stratified_split(labels_of(spark, rows), grouped=True).collect()
     assert len(split) == 300
     assert len({r["split"] for r in split if r["customer_id"] == "hot"}) == 1
 
 
+@pytest.mark.parametrize("equal", [True, False])
+def test_shares_are_exact_after_a_fan_out(spark, equal):
+    """One label has 400 of 500 joined rows, which may even be equal in every column."""
+    rows = [(f"k{i}", 0, JAN, float(i)) for i in range(100)]
+    rows += [("hot", 0, JAN, 0.0 if equal else float(i)) for i in range(400)]
+    schema = "customer_id string, label int, snapshot_date date, debt double"
+    frame = spark.createDataFrame(rows, schema).selectExpr("*", "concat('L', customer_id) AS loan_id")
+    frame = frame.withColumn("period", F.lit("train_test"))
+    counts = Counter((r["split"], r["fold"]) for r in splits.split_and_folds(frame).collect())
+    assert counts == {("test", None): 100, ("train", 0): 133, ("train", 1): 133, ("train", 2): 134}
+
+
+def test_rows_outside_the_windows_get_no_split(spark):
+    frame = labels_of(spark, [(f"k{i}", i % 2, JAN) for i in range(20)])
+    frame = frame.withColumn("period", F.lit(None).cast("string"))
+    assert splits.split_and_folds(frame).filter("split IS NOT NULL OR fold IS NOT NULL").isEmpty()
+
+
+def test_other_labels_are_refused(spark):
+    frame = labels_of(spark, [("a", 1, JAN), ("b", 2, JAN)])
+    with pytest.raises(ValueError, match="0 or 1"):
+        splits.stratified_split(frame)
+
+
 def test_rows_without_a_label_are_kept_without_a_split(spark):
     frame = labels_of(spark, [("a", 1, JAN), ("b", None, JAN), ("c", 0, JAN)])
     got = {r["customer_id"]: r["split"] for r in splits.stratified_split(frame).collect()}
