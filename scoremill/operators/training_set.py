@@ -18,13 +18,12 @@ def label_feature_join(labels: DataFrame, features: DataFrame) -> DataFrame:
     The feature date is dropped, so a customer with several feature snapshots fans out and a label
     without features keeps one row of nulls.
 
-    Only features of customers that have a label here take part: their keys are few when the labels
-    are those of a window, and Spark broadcasts them then. Adaptive execution splits a hot key of a
-    left join on its left side only, so labels with features are joined by an inner join, which it
-    splits on either side, and labels without any are added to it.
+    Labels with features take an inner join: Spark broadcasts the labels when they are few, as those of
+    a window are, and then the features stay where they are; else adaptive execution splits a hot
+    customer on either side, which it doesn't in a left join. Labels without any feature are added.
     """
+    facts = features.drop(SNAPSHOT)
     wanted = labels.select(CUSTOMER).distinct()
-    facts = features.drop(SNAPSHOT).join(wanted, CUSTOMER, "left_semi")
     known = features.select(CUSTOMER).join(wanted, CUSTOMER, "left_semi").distinct()
     without = labels.join(known, CUSTOMER, "left_anti")
     return labels.join(facts, CUSTOMER).unionByName(without, allowMissingColumns=True)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from scoremill.operators import density, metrics
 from scoremill.operators.training_set import label_feature_join
+from scoremill.oracle import ORACLE
+from scoremill.registry import QUERIES
 from scoremill.schemas import DEBT, LABEL_STORE
 
 FITTED = {
@@ -27,13 +29,13 @@ def plan_of(df):
 
 
 def test_every_query_has_sql_but_the_fitted_ones():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == FITTED
-    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+    assert set(QUERIES) - set(ORACLE) == FITTED
+    assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - FITTED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - FITTED))
 def test_no_all_pairs_and_no_python_in_the_plan(spark, data, name):
-    text = plan_of(entry_points.queries()[name](spark, data.replace("0.01", "0.001")))
+    text = plan_of(QUERIES[name](spark, data.replace("0.01", "0.001")))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
         assert unwanted not in text
 
@@ -43,7 +45,7 @@ def test_entry_gives_the_known_value(spark, data):
 
 
 def test_drift_reads_the_one_feature_it_needs(spark, data):
-    text = plan_of(entry_points.queries()["psi_total"](spark, data))
+    text = plan_of(QUERIES["psi_total"](spark, data))
     assert "lineitem" not in text
     schemas = set(re.findall(r"ReadSchema: struct<([^>]*)>", text))
     assert schemas == {
