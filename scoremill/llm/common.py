@@ -32,7 +32,7 @@ def words(text: Column) -> Column:
 class HashOfWord(dict):
     """64-bit hash of each word (bytes) asked for; forgets all when it holds too many."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

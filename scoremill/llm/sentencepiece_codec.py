@@ -46,7 +46,7 @@ class Codec:
     with a character map, or with pieces set by the user.
     """
 
-    def __init__(self, model_path: str, fragments: int = 400_000):
+    def __init__(self, model_path: str, fragments: int = 250_000):
         from sentencepiece import sentencepiece_model_pb2
 
         with open(model_path, "rb") as file:
