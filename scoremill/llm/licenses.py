@@ -1,7 +1,7 @@
 """Licence recognition by sentences: known sentences become identifiers, rules match their order.
 
-A text is cut into sentences; each is normalised and, if it is a known licence sentence, replaced by
-its identifier. What is left is a short sequence of identifiers. Licence rules are tried on it in order,
+A text is cut into sentences, over line ends within a paragraph; each is normalised and, if it is a known
+licence sentence, replaced by its identifier. Lines of a sentence that isn't known are looked up one by one. What is left is a short sequence of identifiers. Licence rules are tried on it in order,
 longer ones first; a rule that matches takes its identifiers away, so a header is not counted again by
 the rule for one of its sentences. All of it happens within the row, in built-in functions.
 """
@@ -56,20 +56,111 @@ RULES = [
     ("All-Rights-Reserved", ["reserved"]),
 ]
 
+#: The sentences of the unabridged licences and their notices, in normal form; ``SENTENCES`` has short ones.
+FULL_SENTENCES = {
+    "the asf licenses this file to you under the apache license version 2 0 the license": "apache_under",
+    "apache license version 2 0 january 2004 http www apache org licenses": "apache_under",
+    "apache license version 2 0 january 2004 https www apache org licenses": "apache_under",
+    "you may obtain a copy of the license at http www apache org licenses license 2 0": "apache_copy",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "apache_copy",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+    "documentation files the software to deal in the software without restriction including without limitation the "
+    "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+    "persons to whom the software is furnished to do so subject to the following conditions": "mit_grant",
+    "the above copyright notice and this permission notice shall be included in all copies or substantial portions "
+    "of the software": "mit_notice",
+    "the above copyright notice and this permission notice including the next paragraph shall be included in all "
+    "copies or substantial portions of the software": "mit_notice",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+    "warranties of merchantability fitness for a particular purpose and noninfringement": "as_is",
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+    "following conditions are met": "bsd_grant",
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following "
+    "disclaimer": "bsd_source",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+    "following disclaimer in the documentation and or other materials provided with the distribution": "bsd_binary",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+    "free software foundation": "gpl_terms",
+    "gnu general public license version 3 29 june 2007": "gpl3_under",
+    "gnu general public license version 2 june 1991": "gpl2_under",
+    "this is free and unencumbered software released into the public domain": "public_domain",
+}
+for _n in "23":
+    _terms = "you can redistribute it and or modify it under the terms of the gnu general public license "
+    _by = "as published by the free software foundation"
+    _later = f"either version {_n} of the license or at your option any later version"
+    FULL_SENTENCES |= {
+        f"{_terms}version {_n} {_by}": f"gpl{_n}_under",
+        f"{_terms}{_by} version {_n} of the license": f"gpl{_n}_under",
+        f"{_terms}{_by} version {_n}": f"gpl{_n}_under",
+        f"{_terms}{_by} {_later}": f"gpl{_n}_under",
+        _later: f"gpl{_n}_either",
+        f"version {_n} of the license": f"gpl{_n}_either",
+    }
+for _kind, _id in (("attribution", "ccby"), ("attribution sharealike", "ccbysa"), ("attribution noncommercial", "ccbync")):
+    FULL_SENTENCES |= {
+        f"licensed under {_the} creative commons {_kind} 4 0 international license{_short}": f"{_id}_under"
+        for _the in ("a", "the")
+        for _short in ("", f" {'cc by' + (_id[4:] and ' ' + _id[4:])} 4 0")
+    }
+
+#: Rules of identifiers that only ``FULL_SENTENCES`` has, tried after ``RULES``.
+FULL_RULES = [("GPL-3.0", ["gpl_terms", "gpl3_either"]), ("GPL-2.0", ["gpl_terms", "gpl2_either"])]
+
+#: The BSD endorsement clause has a name in it, which may end its first half with a full stop (``Inc.``).
+ENDORSEMENT = (
+    r"^(neither the names? of .+ |)nor the names? of (its|the|their|any|other) contributors (may|can) be used to endorse or "
+    r"promote products derived from this software without (specific )?prior written permission$|"
+    r"^the names? of .+ (may not|must not) be used to endorse or promote products derived from this software without "
+    r"(specific )?prior written permission$"
+)
+
+#: What may stand before a known sentence: its number in a list, or what is licensed.
+LEAD_IN = (
+    r"^[0-9a-z]{1,2} (?=redistributions |neither |the names? of )|"
+    r"^(?:this|the) (?:[a-z0-9]+ ){1,6}(?:is|are) (?=licensed under |released under )"
+)
+
+#: Copyright lines at the head of a paragraph.
+HEAD = r"^(?:[^a-z0-9\n]*(?:copyright|\(c\)|\u00a9|all rights reserved)[^\n]*\n)+"
+
 #: No known sentence is shorter.
 SHORTEST = min(map(len, SENTENCES))
 
-#: Sentences end at line ends and at a full stop, question or exclamation mark before white space.
-SENTENCE_END = r"\n|[.!?:;]+(?=\s|$)"
+#: Sentences end at blank lines (of a comment, too) and at a full stop, question or exclamation mark before white space.
+SENTENCE_END = r"\n(?:[ \t\r\x0b\f*#/;%|-]*\n)+|[.!?:;]+(?=\s|$)"
+
+
+def _plain(sentence: Column) -> Column:
+    return F.trim(F.regexp_replace(sentence, "[^a-z0-9]+", " "))
 
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of a text's licence sentences, in order; empty for null."""
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
+    short, known = (
+        F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair]) for sentences in (SENTENCES, SENTENCES | FULL_SENTENCES)
+    )
+
+    def of_lines(part: Column) -> Column:
+        lines = F.filter(F.split(part, "\n"), lambda s: F.length(s) >= SHORTEST)
+        return F.filter(F.transform(lines, lambda s: short[_plain(s)]), lambda x: x.isNotNull())
+
+    def of_plain(plain: Column) -> Column:
+        rest = F.regexp_replace(plain, LEAD_IN, "")
+        endorsement = plain.endswith("prior written permission") & rest.rlike(ENDORSEMENT)
+        return F.coalesce(known[plain], known[rest], F.when(endorsement, "bsd_endorse"))
+
+    def of_sentence(sentence: Column) -> Column:
+        own = of_plain(_plain(F.regexp_replace(sentence, HEAD, "")))
+        found = F.transform(F.array(own), lambda x: F.struct(x.alias("id")))
+        head = F.when(sentence.contains("\n"), of_lines(F.regexp_extract(sentence, HEAD, 0))).otherwise(F.array().cast("array<string>"))
+        return F.flatten(
+            F.transform(found, lambda x: F.when(x["id"].isNotNull(), F.concat(head, F.array(x["id"]))).otherwise(of_lines(sentence)))
+        )
+
     sentences = F.split(F.lower(F.coalesce(text, F.lit(""))), SENTENCE_END)
     long_enough = F.filter(sentences, lambda s: F.length(s) >= SHORTEST)
-    plain = F.transform(long_enough, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    return F.filter(F.transform(plain, lambda s: known[s]), lambda x: x.isNotNull())
+    return F.flatten(F.transform(long_enough, of_sentence))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -88,7 +179,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         F.array().cast("array<string>").alias("_found"),
     )
     has_any = F.col("sentences") != ""
-    for licence, ids in RULES:
+    for licence, ids in RULES + FULL_RULES:
         hit = has_any & F.contains("_left", F.lit(">" + ">".join(ids) + ">"))
         out = out.select(
             *rest,

@@ -73,6 +73,79 @@ def test_licenses(docs, tmp_path):
     assert by_id[5] == "CC-BY-NC-4.0, All-Rights-Reserved"
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some Author
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE."""
+
+BSD = """Copyright (c) 2020, Some Author
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_3 = """3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+APACHE = """ * Copyright 2020 Some Author
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software"""
+
+GPL = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} either version {2} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,"""
+
+
+def test_unabridged_licenses(docs):
+    texts = {
+        1: (MIT, "MIT", "mit_grant > mit_notice > as_is"),
+        2: (BSD, "BSD-2-Clause", "bsd_grant > bsd_source > bsd_binary"),
+        3: (BSD + BSD_3.format("the copyright holder"), "BSD-3-Clause", "bsd_grant > bsd_source > bsd_binary > bsd_endorse"),
+        4: (BSD + BSD_3.format("Example Inc."), "BSD-3-Clause", "bsd_grant > bsd_source > bsd_binary > bsd_endorse"),
+        5: (BSD.replace("1. ", "(a) ").replace("2. ", "(b) "), "BSD-2-Clause", "bsd_grant > bsd_source > bsd_binary"),
+        6: (APACHE, "Apache-2.0", "apache_under > apache_comply > apache_copy"),
+        7: (GPL.format(":", ",", 3), "GPL-3.0", "gpl3_under"),
+        8: (GPL.format(";", ";", 2), "GPL-2.0", "gpl_terms > gpl2_either"),
+        9: ("This project is licensed\nunder the MIT License.", "MIT", "mit_under"),
+        10: (GPL.format(";", ";", 2).replace("General", "Library General"), "", "gpl2_either"),
+        11: ("All rights reserved\n" + BSD.split("\n\n")[1] + "\n", "All-Rights-Reserved", "reserved > bsd_grant"),
+        12: ("# GNU GENERAL PUBLIC LICENSE\r\n#  Version 3, 29 June 2007\r\n#\r\n# Everyone", "GPL-3.0", "gpl3_under"),
+        13: ("This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0", "ccbysa_under"),
+    }
+    found = L.scan(docs([(i, "Some prose before.\n\n" + t[0]) for i, t in texts.items()])).collect()
+    assert {r["doc_id"]: (r["licenses"], r["sentences"]) for r in found} == {i: t[1:] for i, t in texts.items()}
+
+
 ITEMS = [
     (1, "If a farmer sells 12 eggs for 3.50 dollars and buys 12 hens, how many eggs can be sold for the hens"),
     (2, "Name the capital city of the largest country that lies wholly in the southern half of the world"),
