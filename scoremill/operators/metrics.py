@@ -16,18 +16,26 @@ def auc(
 ) -> DataFrame:
     """ROC AUC per group with tied scores counted half; null where one class is absent.
 
+    Rows without a score (null, NaN) or with a label other than 0 and 1 have no place in it: ``n_excluded``
+    counts them, and ``complete`` fails where there are any.
+
     Rows are first counted per distinct score, which folds hot scores on the map side. The distinct
     scores are range-partitioned, so blocks are even whatever the score distribution; each block
     counts its own pairs, and only one row per block goes on to the running total across blocks.
     """
     group = list(by)
+    usable = present(score) & F.expr(f"coalesce({label} IN (0, 1), false)")
     per_score = (
-        df.filter(present(score))
-        .filter(f"{label} IN (0, 1)")
-        .groupBy(*group, F.expr(f"CAST({score} AS DOUBLE) AS score"))
+        df.select(
+            *group,
+            F.when(usable, F.expr(f"CAST({score} AS DOUBLE)")).alias("score"),
+            F.when(usable, F.col(label)).alias("_label"),
+        )
+        .groupBy(*group, "score")
         .agg(
-            F.expr(f"CAST(count_if({label} = 1) AS DOUBLE) AS pos"),
-            F.expr(f"CAST(count_if({label} = 0) AS DOUBLE) AS neg"),
+            F.expr("CAST(count_if(_label = 1) AS DOUBLE) AS pos"),
+            F.expr("CAST(count_if(_label = 0) AS DOUBLE) AS neg"),
+            F.expr("count_if(_label IS NULL) AS excluded"),
         )
     )
     blocks = per_score.repartitionByRange(*group, "score").withColumn(
@@ -41,6 +49,7 @@ def auc(
         .agg(
             F.expr("sum(pos) AS pos"),
             F.expr("sum(neg) AS neg"),
+            F.expr("sum(excluded) AS excluded"),
             F.expr("sum(pos * (coalesce(below, 0D) + neg / 2)) AS pairs"),
         )
     )
@@ -55,10 +64,19 @@ def auc(
             ),
             F.expr("CAST(sum(pos) AS BIGINT) AS n_pos"),
             F.expr("CAST(sum(neg) AS BIGINT) AS n_neg"),
+            F.expr("sum(excluded) AS n_excluded"),
         )
     )
 
 
+def complete(measured: DataFrame) -> DataFrame:
+    """``measured`` without ``n_excluded``; running it fails if a row was left out of the figures."""
+    return measured.filter(
+        "CASE WHEN n_excluded > 0 THEN raise_error(concat(n_excluded, "
+        "' rows have no score or a label other than 0 and 1')) ELSE true END"
+    ).drop("n_excluded")
+
+
 def auc_and_gini(
     df: DataFrame, by: Sequence[str] = ("split",), label: str = LABEL, score: str = "score"
 ) -> DataFrame:
@@ -80,7 +98,10 @@ def confusion_matrix(
     label: str = LABEL,
     prediction: str = "prediction",
 ) -> DataFrame:
-    """Row counts of the four label/prediction cells of each group, empty cells included."""
+    """Row counts of the four label/prediction cells of each group, empty cells included.
+
+    Running it fails on rows that belong to no cell: null, NaN and values other than 0 and 1.
+    """
     group = list(by)
     cells = ", ".join(
         f"struct({actual} AS label, {predicted} AS prediction, "
@@ -88,7 +109,15 @@ def confusion_matrix(
         for actual in (0, 1)
         for predicted in (0, 1)
     )
-    counted = df.groupBy(*group).agg(F.expr(f"array({cells}) AS cells"))
+    inside = f"{label} IN (0, 1) AND {prediction} IN (0, 1)"
+    counted = df.groupBy(*group).agg(
+        F.expr(f"array({cells}) AS cells"),
+        F.expr(f"count_if(NOT coalesce({inside}, false)) AS outside"),
+    )
+    counted = counted.filter(
+        "CASE WHEN outside > 0 THEN raise_error(concat(outside, "
+        "' rows have a label or prediction other than 0 and 1')) ELSE true END"
+    )
     return counted.select(*group, F.inline("cells"))
 
 

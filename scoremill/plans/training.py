@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from scoremill.functions.dates import TrainingWindows
 from scoremill.functions.names import model_version
 from scoremill.operators.learners import SPACES, UNMAPPED, Params, Preparation, with_score
-from scoremill.operators.metrics import auc_and_gini
+from scoremill.operators.metrics import auc_and_gini, complete
 from scoremill.operators.scaling import fit_scaler
 from scoremill.operators.search import SearchResult, random_search, sample_candidates
 from scoremill.operators.splits import split_and_folds
@@ -127,9 +127,12 @@ def train(
 
 
 def evaluate(scored: DataFrame) -> DataFrame:
-    """Rows, label rate, AUC and Gini of each split; the class counts come with the AUC."""
+    """Rows, label rate, AUC and Gini of each split; the class counts come with the AUC.
+
+    Running it fails if a row has no score or a label other than 0 and 1.
+    """
     n_rows = F.col("n_pos") + F.col("n_neg")
-    return auc_and_gini(scored.filter(F.col("split").isNotNull())).select(
+    return complete(auc_and_gini(scored.filter(F.col("split").isNotNull()))).select(
         "split",
         n_rows.alias("n_rows"),
         F.round(F.col("n_pos") / n_rows, 2).alias("label_rate"),

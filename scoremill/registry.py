@@ -291,13 +291,13 @@ def _labelled_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def auc_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(metrics.auc(_fixed_scored(spark, sf_dir)))
+    return rounded(metrics.complete(metrics.auc(_fixed_scored(spark, sf_dir))))
 
 
 @query
 def gini(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_month = metrics.auc_and_gini(_labelled_predictions(spark, sf_dir), [SNAPSHOT])
-    return by_month.select(SNAPSHOT, "gini")
+    return metrics.complete(by_month).select(SNAPSHOT, "gini")
 
 
 @query
@@ -371,14 +371,14 @@ def _fit_on_quality(spark: SparkSession, sf_dir: str, learner: str, params: dict
 @query
 def gbt_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, scored = _fit_on_quality(spark, sf_dir, "gbt", SMALL_GBT)
-    return metrics.auc_and_gini(scored)
+    return metrics.complete(metrics.auc_and_gini(scored))
 
 
 @query
 def logreg_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = {"C": 1, "penalty": "l2", "max_iter": 100}
     _, _, scored = _fit_on_quality(spark, sf_dir, "logreg", params)
-    return metrics.auc_and_gini(scored)
+    return metrics.complete(metrics.auc_and_gini(scored))
 
 
 @query

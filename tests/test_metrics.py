@@ -6,6 +6,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
 from scoremill import testdata
 from scoremill.operators import metrics
+from scoremill.plans.training import evaluate
 
 SCHEMA = "split string, label int, score double"
 
@@ -51,6 +52,24 @@ def test_without_groups_and_with_missing_scores(spark):
     assert (row["auc"], row["n_pos"], row["n_neg"]) == (1.0, 1, 1)
 
 
+def test_rows_without_score_or_label_are_counted_and_refused(spark):
+    rows = [("s", 1, 0.9), ("s", 0, 0.1), ("s", 1, None), ("s", 0, float("nan")), ("s", None, 0.4), ("t", 2, 0.3)]
+    measured = metrics.auc(spark.createDataFrame(rows, SCHEMA))
+    assert {r["split"]: (r["n_pos"], r["n_excluded"]) for r in measured.collect()} == {"s": (1, 3), "t": (0, 1)}
+    for refused in (metrics.complete(measured), evaluate(spark.createDataFrame(rows, SCHEMA))):
+        with pytest.raises(Exception, match="no score or a label other"):
+            refused.collect()
+    sound = metrics.complete(metrics.auc(spark.createDataFrame(rows[:2], SCHEMA)))
+    assert sound.columns == ["split", "auc", "n_pos", "n_neg"] and sound.first()["auc"] == 1.0
+
+
+@pytest.mark.parametrize("row", [("s", 2, 1.0), ("s", None, 1.0), ("s", 1, None), ("s", 1, float("nan"))])
+def test_confusion_matrix_refuses_rows_of_no_cell(spark, row):
+    frame = spark.createDataFrame([("s", 1, 1.0), row], "split string, label int, prediction double")
+    with pytest.raises(Exception, match="other than 0 and 1"):
+        metrics.confusion_matrix(frame).collect()
+
+
 def test_known_auc_equals_the_library_evaluator(spark, data):
     customers = testdata.table(spark, data, "customer").selectExpr(
         "c_acctbal AS score", "CAST(c_mktsegment = 'BUILDING' AS INT) AS label"
