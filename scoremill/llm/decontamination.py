@@ -4,9 +4,10 @@ Texts become templates: numbers, units behind a number, and capitalised words in
 into typed placeholders, the rest into lower-case words without punctuation. Runs of ``WINDOW`` template
 words are hashed and joined with those of the benchmark. Where a matched run holds placeholders, the
 document's values are laid beside the item's along the same alignment: if one value of the item stands
-for two in the document, or two for one, the runs with placeholders don't count.
+for two in the document, or two for one, the runs with placeholders don't count. Scripts without spaces are cut into characters.
 
-An item is found in a document when ``SHARE`` of its runs are. Only built-in functions are used. The
+An item is found in a document when ``SHARE`` of its runs are. Items without a run of enough literal words are
+looked for as they stand, by runs of their words, values and arithmetic signs, and found when all of these are. Only built-in functions are used. The
 benchmark's runs are broadcast if there are at most ``BROADCAST_ROWS`` of them, else the join is shuffled.
 """
 
@@ -19,8 +20,10 @@ from scoremill.llm.common import table, without
 from scoremill.session import materialise
 
 WINDOW = 8
-#: Items of fewer words aren't looked for: so few words occur anywhere.
+#: Items of fewer words have no templates: so few words occur anywhere.
 SHORTEST = 5
+#: Words, values and signs of an item that is looked for as it stands, at least.
+SHORTEST_EXACT = 3
 #: Words in a run that are no placeholders, at least.
 LITERALS = 4
 SHARE = 0.3
@@ -36,6 +39,9 @@ UNITS = (
     "seconds second minutes minute hours hour days day weeks week months month years year "
     "dollars dollar cents euros euro degrees mph kmh kb mb gb"
 ).split()
+#: Scripts that put no spaces between words: each character is a word, with its marks.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\u30FC]\p{M}*"
+SIGNS = "+*/=<>^%\u00d7\u00f7"
 
 
 def template(text: Column, values: bool = False) -> Column:
@@ -49,6 +55,16 @@ def template(text: Column, values: bool = False) -> Column:
     unit = "$2" if values else ""
     out = F.regexp_replace(out, rf"({NUMBER}[\p{{N}}{POINT}]*) +({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"$1 {UNIT}{unit}")
     out = F.regexp_replace(out, rf"[^\p{{L}}\p{{N}}\p{{M}}{MARKS}{POINT}]+", " ")
+    out = F.regexp_replace(out, UNSPACED, " $0 ")
+    return F.filter(F.split(out, " "), lambda word: word != "")
+
+
+def exact_words(text: Column) -> Column:
+    """Words of a text in lower case, its numbers and its arithmetic signs."""
+    out = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), f"[{MARKS}{POINT}]+", " "))
+    out = F.regexp_replace(out, r"(?<=\p{N})[.,:/](?=\p{N})", POINT)
+    out = F.regexp_replace(out, rf"[^\p{{L}}\p{{N}}\p{{M}}{POINT}{SIGNS}]+", " ")
+    out = F.regexp_replace(out, rf"[{SIGNS}]|{UNSPACED}", " $0 ")
     return F.filter(F.split(out, " "), lambda word: word != "")
 
 
@@ -64,33 +80,43 @@ def _is_slot(word: Column) -> Column:
     return F.substring(word, 1, 1).isin(*MARKS)
 
 
-def benchmark_runs(benchmark: DataFrame) -> DataFrame:
-    """``item_id, size, place, run, slots, n_runs`` of every run that is looked for."""
-    items = benchmark.select("item_id", template(F.col("text")).alias("_w"))
-    items = items.where(F.size("_w") >= SHORTEST)
+def _own_runs(items: DataFrame, words: str, shortest: int, exact: bool) -> DataFrame:
     by_size = []
-    for size in range(SHORTEST, WINDOW + 1):
-        own = items.where(F.size("_w") >= size if size == WINDOW else F.size("_w") == size)
-        own = own.select("item_id", "_w", F.posexplode(_runs("_w", size)).alias("place", "run"))
-        slots = F.size(F.filter(F.slice("_w", F.col("place") + 1, size), _is_slot))
-        by_size.append(own.select("item_id", F.lit(size).alias("size"), "place", "run", slots.alias("slots")))
+    for size in range(shortest, WINDOW + 1):
+        own = items.where(F.size(words) >= size if size == WINDOW else F.size(words) == size)
+        own = own.select("item_id", "item_key", words, F.posexplode(_runs(words, size)).alias("place", "run"))
+        slots = F.size(F.filter(F.slice(words, F.col("place") + 1, size), _is_slot))
+        shape = [F.lit(exact).alias("exact"), F.lit(size).alias("size")]
+        by_size.append(own.select("item_id", "item_key", *shape, "place", "run", slots.alias("slots")))
     runs = by_size[0]
     for more in by_size[1:]:
         runs = runs.unionByName(more)
+    return runs
+
+
+def benchmark_runs(benchmark: DataFrame) -> DataFrame:
+    """``item_id, item_key, exact, size, place, run, slots, n_runs`` of every run that is looked for."""
+    text = F.col("text")
+    items = benchmark.select("item_id", F.xxhash64("text").alias("item_key"), template(text).alias("_w"), exact_words(text).alias("_e"))
+    items = materialise(items.distinct(), "items")
+    runs = _own_runs(items, "_w", SHORTEST, False)
     runs = runs.where(F.col("size") - F.col("slots") >= F.least(F.lit(LITERALS), F.col("size")))
-    counts = runs.groupBy(F.col("item_id").alias("_i")).agg(F.countDistinct("run").alias("n_runs"))
-    return materialise(runs.join(counts, F.col("item_id").eqNullSafe(F.col("_i"))).drop("_i"), "benchmark")
+    templates = runs.select(F.col("item_id").alias("_i"), F.col("item_key").alias("_k")).distinct()
+    same = F.col("item_id").eqNullSafe(F.col("_i")) & (F.col("item_key") == F.col("_k"))
+    runs = runs.unionByName(_own_runs(items.join(templates, same, "left_anti"), "_e", SHORTEST_EXACT, True))
+    counts = runs.groupBy(F.col("item_id").alias("_i"), F.col("item_key").alias("_k")).agg(F.countDistinct("run").alias("n_runs"))
+    return materialise(runs.join(counts, same).drop("_i", "_k"), "benchmark")
 
 
 def matched_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """Runs of documents that occur in the benchmark: ``doc_id, text_key, at`` beside the item's."""
-    shapes = [r["size"] for r in runs.select("size").distinct().collect()]  # a handful
-    words = docs.select("doc_id", _key(docs), template(F.col("text")).alias("_w"))
+    shapes = [(r["exact"], r["size"]) for r in runs.select("exact", "size").distinct().collect()]  # a handful
     small = runs.count() <= BROADCAST_ROWS
     found = None
-    for size in sorted(shapes) or [WINDOW]:
+    for exact, size in sorted(shapes) or [(False, WINDOW)]:
+        words = docs.select("doc_id", _key(docs), (exact_words if exact else template)(F.col("text")).alias("_w"))
         placed = words.select("doc_id", "text_key", F.posexplode(_runs("_w", size)).alias("at", "run"))
-        wanted = runs.where(F.col("size") == size)
+        wanted = runs.where((F.col("exact") == exact) & (F.col("size") == size))
         joined = placed.join(F.broadcast(wanted) if small else wanted, "run")
         found = joined if found is None else found.unionByName(joined)
     return found
@@ -101,9 +127,9 @@ def _key(docs: DataFrame) -> Column:
 
 
 def inconsistent_slots(docs: DataFrame, benchmark: DataFrame, found: DataFrame) -> DataFrame:
-    """Alignments ``doc_id, text_key, item_id, shift`` whose values contradict each other."""
+    """Alignments ``doc_id, text_key, item_id, item_key, shift`` whose values contradict each other."""
     shift = (F.col("at") - F.col("place")).alias("shift")
-    slotted = found.where(F.col("slots") > 0).select("doc_id", "text_key", "item_id", shift, "place", "size").distinct()
+    slotted = found.where(F.col("slots") > 0).select("doc_id", "text_key", "item_id", "item_key", shift, "place", "size").distinct()
     slotted = materialise(slotted, "slots")
     keys = slotted.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct()
     own = docs.select("doc_id", _key(docs), "text")
@@ -112,16 +138,17 @@ def inconsistent_slots(docs: DataFrame, benchmark: DataFrame, found: DataFrame)
         F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), template(F.col("text"), True).alias("_w")
     )
     places = slotted.select(
-        "doc_id", "text_key", "item_id", "shift", F.explode(F.expr("sequence(place, place + size - 1)")).alias("place")
+        "doc_id", "text_key", "item_id", "item_key", "shift", F.explode(F.expr("sequence(place, place + size - 1)")).alias("place")
     ).distinct()
     said = places.join(own, places["doc_id"].eqNullSafe(F.col("_d")) & (places["text_key"] == F.col("_t")))
     said = said.select(
-        "doc_id", "text_key", "item_id", "shift", "place", F.get("_w", F.col("place") + F.col("shift")).alias("_said")
+        "doc_id", "text_key", "item_id", "item_key", "shift", "place", F.get("_w", F.col("place") + F.col("shift")).alias("_said")
     ).where(_is_slot(F.col("_said")))
-    asked = benchmark.select(F.col("item_id").alias("_i"), F.posexplode(template(F.col("text"), True)).alias("_p", "_asked"))
+    asked = benchmark.distinct().select(F.col("item_id").alias("_i"), F.xxhash64("text").alias("_k"), F.posexplode(template(F.col("text"), True)).alias("_p", "_asked"))
     asked = asked.where(_is_slot(F.col("_asked")))
-    pairs = said.join(asked, said["item_id"].eqNullSafe(F.col("_i")) & (F.col("place") == F.col("_p")))
-    each = pairs.groupBy("doc_id", "text_key", "item_id", "shift").agg(
+    same = said["item_id"].eqNullSafe(F.col("_i")) & (F.col("item_key") == F.col("_k")) & (F.col("place") == F.col("_p"))
+    pairs = said.join(asked, same)
+    each = pairs.groupBy("doc_id", "text_key", "item_id", "item_key", "shift").agg(
         F.countDistinct("_said", "_asked").alias("both"),
         F.countDistinct("_said").alias("said"),
         F.countDistinct("_asked").alias("asked"),
@@ -132,7 +159,7 @@ def inconsistent_slots(docs: DataFrame, benchmark: DataFrame, found: DataFrame)
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, text_key, item_id, n_found, n_runs``: items found in documents, one row each.
 
-    ``n_found`` counts an item's distinct runs. Null and empty texts hold no item and are none; rows that
+    ``n_found`` counts an item's distinct runs; texts that share an ``item_id`` are items each. Null and empty texts hold no item and are none; rows that
     repeat in id and text give one row; a null ``doc_id`` or ``item_id`` is a value like others. Other
     columns are ignored. An empty benchmark finds nothing.
     """
@@ -142,10 +169,11 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bad = inconsistent_slots(docs, benchmark.select("item_id", "text"), found)
     bad = bad.select(*[F.col(c).alias(f"_{c}") for c in bad.columns])
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("item_id").eqNullSafe(F.col("_item_id"))
-    same = same & (F.col("text_key") == F.col("_text_key")) & (F.col("at") - F.col("place") == F.col("_shift"))
+    same = same & (F.col("text_key") == F.col("_text_key")) & (F.col("item_key") == F.col("_item_key"))
+    same = same & (F.col("at") - F.col("place") == F.col("_shift"))
     good = found.join(bad, same & (F.col("slots") > 0), "left_anti")
-    each = good.groupBy("doc_id", "text_key", "item_id", "n_runs").agg(F.countDistinct("run").alias("n_found"))
-    each = each.where(F.col("n_found") >= SHARE * F.col("n_runs"))
+    each = good.groupBy("doc_id", "text_key", "item_id", "item_key", "exact", "n_runs").agg(F.countDistinct("run").alias("n_found"))
+    each = each.where(F.col("n_found") >= F.when(F.col("exact"), 1.0).otherwise(SHARE) * F.col("n_runs"))
     return each.select("doc_id", "text_key", "item_id", "n_found", "n_runs")
 
 

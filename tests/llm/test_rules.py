@@ -185,3 +185,18 @@ def test_joins_beyond_the_broadcast_bound(docs, items, monkeypatch):
 def test_empty_tables(docs, items):
     assert D.find(docs([]), items).count() == 0
     assert D.decontaminate(docs([(1, ITEMS[1][1])]), items.limit(0)).count() == 1
+
+
+def found_in(spark, docs, items, texts):
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in D.find(docs(texts), benchmark).collect()}
+
+
+def test_finds_items_without_literal_runs(spark, docs, prose):
+    items = [
+        (1, "Compute 12 + 7 * 3 - 4 / 2"), (2, "Who wrote Hamlet?"), (3, "\u65e5\u672c\u306e\u9996\u90fd\u306f\u3069\u3053\u3067\u3059\u304b\u3002"),
+        (4, "12 + 7 = ?"), (5, ITEMS[0][1]), (5, "3 cats, 4 dogs, 5 hens, 6 pigs?"), (None, "What is love"), (None, ITEMS[1][1]),
+    ]
+    texts = [(i, f"{prose(i)}. {text} {prose(40 + i)}") for i, (_, text) in enumerate(items)]
+    texts += [(10, "compute 12 + 7 * 3 - 5 / 2"), (11, "12 - 7 = 5"), (12, "Who wrote it?"), (13, "\u65e5\u672c\u3067\u3059"), (14, prose(14))]
+    assert found_in(spark, docs, items, texts) == {(i, item) for i, (item, _) in enumerate(items)}
