@@ -3,8 +3,8 @@
 Texts become templates: numbers, units behind a number, and capitalised words inside a sentence turn
 into typed placeholders, the rest into lower-case words without punctuation. Runs of ``WINDOW`` template
 words are hashed and joined with those of the benchmark. Where a matched run holds placeholders, the
-document's values are laid beside the item's along the same alignment: if one value of the item stands
-for two in the document, or two for one, the runs with placeholders don't count. Scripts without spaces are cut into characters.
+document's values are laid beside the item's along the same alignment: where one value of the item stands
+for two in the document, the runs that hold it don't count. Scripts without spaces are cut into characters.
 
 An item is found in a document when ``SHARE`` of its runs are. Items without a run of enough literal words are
 looked for as they stand, by runs of their words, values and arithmetic signs, and found when all of these are. Only built-in functions are used. The
@@ -32,13 +32,46 @@ BROADCAST_ROWS = 500_000
 #: Private characters that mark number, unit and name, and a separator within a number.
 NUMBER, UNIT, NAME, POINT = map(chr, range(0xE000, 0xE004))
 MARKS = f"{NUMBER}{UNIT}{NAME}"
-#: Units that may follow a number.
-UNITS = (
-    "percent mm cm m km meters metres kilometers kilometres miles mile feet foot inches inch yards "
-    "mg g kg grams gram kilograms kilogram pounds pound ounces ounce tons ml l liters litres liter litre "
-    "seconds second minutes minute hours hour days day weeks week months month years year "
-    "dollars dollar cents euros euro degrees mph kmh kb mb gb"
-).split()
+#: Units that may follow a number; words of a line mean the same unit.
+SAME_UNIT = [
+    line.split()
+    for line in """
+    percent
+    mm millimeter millimeters millimetre millimetres
+    cm centimeter centimeters centimetre centimetres
+    m meter meters metre metres
+    km kilometer kilometers kilometre kilometres
+    mile miles mi
+    foot feet ft
+    inch inches
+    yard yards yd
+    mg milligram milligrams
+    g gram grams
+    kg kilogram kilograms
+    pound pounds lb lbs
+    ounce ounces oz
+    ton tons
+    ml milliliter milliliters millilitre millilitres
+    l liter liters litre litres
+    second seconds sec secs s
+    minute minutes min mins
+    hour hours hr hrs h
+    day days
+    week weeks
+    month months
+    year years
+    dollar dollars
+    cent cents
+    euro euros
+    degree degrees
+    mph
+    kmh
+    kb
+    mb
+    gb
+    """.strip().splitlines()
+]
+UNITS = [unit for line in SAME_UNIT for unit in line]
 #: Scripts that put no spaces between words: each character is a word, with its marks.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\u30FC]\p{M}*"
 SIGNS = "+*/=<>^%\u00d7\u00f7"
@@ -68,6 +101,12 @@ def exact_words(text: Column) -> Column:
     return F.filter(F.split(out, " "), lambda word: word != "")
 
 
+def _value(word: Column) -> Column:
+    """A placeholder's value, units by the first word of their line."""
+    same = F.create_map(*[F.lit(x) for line in SAME_UNIT for unit in line for x in (UNIT + unit, UNIT + line[0])])
+    return F.coalesce(F.element_at(same, word), word)
+
+
 def _runs(words: str, size: int) -> Column:
     picked = ", ".join(f"{words}[i + {k}]" for k in range(size))
     return F.expr(
@@ -127,7 +166,7 @@ def _key(docs: DataFrame) -> Column:
 
 
 def inconsistent_slots(docs: DataFrame, benchmark: DataFrame, found: DataFrame) -> DataFrame:
-    """Alignments ``doc_id, text_key, item_id, item_key, shift`` whose values contradict each other."""
+    """Slots ``doc_id, text_key, item_id, item_key, shift, place`` whose item value stands for two in the document."""
     shift = (F.col("at") - F.col("place")).alias("shift")
     slotted = found.where(F.col("slots") > 0).select("doc_id", "text_key", "item_id", "item_key", shift, "place", "size").distinct()
     slotted = materialise(slotted, "slots")
@@ -147,13 +186,12 @@ def inconsistent_slots(docs: DataFrame, benchmark: DataFrame, found: DataFrame)
     asked = benchmark.distinct().select(F.col("item_id").alias("_i"), F.xxhash64("text").alias("_k"), F.posexplode(template(F.col("text"), True)).alias("_p", "_asked"))
     asked = asked.where(_is_slot(F.col("_asked")))
     same = said["item_id"].eqNullSafe(F.col("_i")) & (F.col("item_key") == F.col("_k")) & (F.col("place") == F.col("_p"))
-    pairs = said.join(asked, same)
-    each = pairs.groupBy("doc_id", "text_key", "item_id", "item_key", "shift").agg(
-        F.countDistinct("_said", "_asked").alias("both"),
-        F.countDistinct("_said").alias("said"),
-        F.countDistinct("_asked").alias("asked"),
+    pairs = said.join(asked, same).withColumn("_said", _value(F.col("_said"))).withColumn("_asked", _value(F.col("_asked")))
+    each = pairs.groupBy("doc_id", "text_key", "item_id", "item_key", "shift", "_asked").agg(
+        F.countDistinct("_said").alias("said"), F.collect_set("place").alias("places")
     )
-    return each.where((F.col("both") > F.col("said")) | (F.col("both") > F.col("asked"))).drop("both", "said", "asked")
+    each = each.where(F.col("said") > 1)
+    return each.select("doc_id", "text_key", "item_id", "item_key", "shift", F.explode("places").alias("place"))
 
 
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -171,7 +209,8 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("item_id").eqNullSafe(F.col("_item_id"))
     same = same & (F.col("text_key") == F.col("_text_key")) & (F.col("item_key") == F.col("_item_key"))
     same = same & (F.col("at") - F.col("place") == F.col("_shift"))
-    good = found.join(bad, same & (F.col("slots") > 0), "left_anti")
+    holds = F.col("_place").between(F.col("place"), F.col("place") + F.col("size") - 1)
+    good = found.join(bad, same & holds & (F.col("slots") > 0), "left_anti")
     each = good.groupBy("doc_id", "text_key", "item_id", "item_key", "exact", "n_runs").agg(F.countDistinct("run").alias("n_found"))
     each = each.where(F.col("n_found") >= F.when(F.col("exact"), 1.0).otherwise(SHARE) * F.col("n_runs"))
     return each.select("doc_id", "text_key", "item_id", "n_found", "n_runs")

@@ -200,3 +200,20 @@ def test_finds_items_without_literal_runs(spark, docs, prose):
     texts = [(i, f"{prose(i)}. {text} {prose(40 + i)}") for i, (_, text) in enumerate(items)]
     texts += [(10, "compute 12 + 7 * 3 - 5 / 2"), (11, "12 - 7 = 5"), (12, "Who wrote it?"), (13, "\u65e5\u672c\u3067\u3059"), (14, prose(14))]
     assert found_in(spark, docs, items, texts) == {(i, item) for i, (item, _) in enumerate(items)}
+
+
+def test_slots_are_refused_one_by_one(spark, docs, prose):
+    apples = "A boy has 3 apples and 5 pears, then how many fruits are there"
+    hours = "The train takes 1 hour to reach us and then 3 hours to go back"
+    long_ = f"Take 7 eggs and then 7 more eggs from the box, {prose(60, 30)} and for 2 euros buy some bread and milk there today"
+    items = [(1, apples), (2, hours), (3, long_)]
+    texts = [
+        (1, apples.replace("3", "4").replace("5", "4")), (2, hours.replace("1 hour", "2 hours").replace("3 hours", "4 h")),
+        (3, hours.replace("1 hour", "2 hours").replace("3 hours", "4 days")), (4, long_.replace("7 eggs", "8 eggs").replace("2 euros", "6 dollars")),
+    ]
+    assert found_in(spark, docs, items, texts) == {(1, 1), (2, 2), (4, 3)}
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole = {r["doc_id"]: (r["n_found"], r["n_runs"]) for r in D.find(docs(texts), benchmark).collect()}
+    runs = D.benchmark_runs(benchmark).where("item_id = 3")
+    held = runs.where("place <= 5").count()
+    assert whole[4] == (whole[4][1] - held, runs.select("run").distinct().count())
