@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from scoremill import registry
 from scoremill.operators import learners
 from scoremill.operators.metrics import auc
 from scoremill.operators.scoring import score_snapshot
@@ -142,3 +143,18 @@ def test_failures_are_raised(planted):
     labels, features = planted
     with pytest.raises(Exception):
         train(labels.filter("label = 1"), features, TRAIN_DATE, "unknown learner")
+
+
+def test_run_record_comes_from_the_whole_search(spark, data, monkeypatch):
+    asked = {}
+
+    def remember(labels, features, train_date, learner, **options):
+        asked.update(options, learner=learner)
+        raise StopIteration
+
+    monkeypatch.setattr(registry.training, "train", remember)
+    with pytest.raises(StopIteration):
+        registry.run_record(spark, data)
+    space = learners.SPACES[asked["learner"]]
+    assert asked.get("candidates") is None
+    assert len(sample_candidates(space, asked["n_iter"])) == len(sample_candidates(space, 10_000))
