@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from scoremill.llm import host_rules, licenses
+from scoremill.llm.bpe_codec import op11_bpe_codec
 from scoremill.llm.chat_format import op8_chat_format
 from scoremill.llm.decontamination import op3_decontamination
 from scoremill.llm.host_rules import op7_host_rules
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_token_files": op9_token_files,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_bpe_codec": op11_bpe_codec,
 }
 
 ORACLE: dict[str, str] = {
