@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from scoremill.llm import host_rules, licenses
 from scoremill.llm.bpe_codec import op11_bpe_codec
 from scoremill.llm.chat_format import op8_chat_format
+from scoremill.llm.conversation_repair import op13_conversation_repair
 from scoremill.llm.decontamination import op3_decontamination
 from scoremill.llm.host_rules import op7_host_rules
 from scoremill.llm.language_id import op4_language_id
@@ -17,6 +18,7 @@ from scoremill.llm.near_duplicates import op10_near_duplicates
 from scoremill.llm.pitman_yor import op6_pitman_yor
 from scoremill.llm.quality_classifier import op1_quality_classifier
 from scoremill.llm.sentencepiece_codec import op2_sentencepiece
+from scoremill.llm.spelling_variants import op12_spelling_variants
 from scoremill.llm.token_files import op9_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -31,6 +33,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_bpe_codec": op11_bpe_codec,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {

@@ -1,0 +1,137 @@
+"""Spelling variants by the trie frontier against all pairs of words."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from scoremill.llm import spelling_variants as S
+
+A_TO_Z = {code: code + 32 for code in range(65, 91)}
+
+
+def plain_words(rows, shortest=5, least=3):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(A_TO_Z)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {word: n for word, n in counts.items() if len(word) >= shortest and n >= least}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) == len(short) + 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def brute_force(counts):
+    by_length = {}
+    for word in counts:
+        by_length.setdefault(len(word), []).append(word)
+    form, out = {}, {}
+    for word, n in counts.items():
+        near = [v for k in (-1, 0, 1) for v in by_length.get(len(word) + k, ()) if one_edit(word, v)]
+        best = min(near, key=lambda v: (-counts[v], v), default=None)
+        if best is not None and counts[best] >= 2 * n:
+            form[word] = best
+        out[word] = [form.get(word), n, len(near), counts[best] if word in form else None]
+    for word, row in out.items():
+        root = word
+        while root in form:
+            root = form[root]
+        row.insert(1, root)
+    return {word: tuple(row) for word, row in out.items()}
+
+
+def result(df):
+    rows = df.select("word", "form", "root", "n", "n_near", "form_n").collect()
+    assert len(rows) == len({r["word"] for r in rows})
+    return {r["word"]: tuple(r)[1:] for r in rows}
+
+
+def of_counts(spark, counts):
+    return result(S.spelling_variants(spark.createDataFrame(list(counts.items()), "word string, n long")))
+
+
+@pytest.mark.parametrize("letters, longest", [("ab", 9), ("abc", 7), ("aéÿz", 20), ("ab", 40)])
+def test_dense_words_equal_all_pairs(spark, letters, longest):
+    draw = random.Random(longest)
+    words = {"".join(draw.choices(letters, k=draw.randrange(5, longest))) for _ in range(250)}
+    for word in list(words)[:120]:  # near words of long words, too
+        at = draw.randrange(len(word))
+        words |= {word[:at] + word[at + 1 :], word[:at] + draw.choice(letters) + word[at + 1 :],
+                  word[:at] + draw.choice(letters) + word[at:]}
+    counts = {word: draw.choice([3, 4, 7, 14, 30, 61]) for word in words if len(word) >= 5}
+    assert of_counts(spark, counts) == brute_force(counts)
+
+
+def test_long_words_at_every_place(spark):
+    word = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(300))
+    counts = {word: 100}
+    for i in range(0, 300, 13):
+        counts |= {word[:i] + word[i + 1 :]: 3, word[:i] + "é" + word[i:]: 4, word[:i] + "ÿ" + word[i + 1 :]: 5}
+    assert of_counts(spark, counts) == brute_force(counts)
+
+
+def test_chains_of_forms_end_at_one_root(spark):
+    chain = {"a" * i + "b" * (40 - i): 3 * 2**i for i in range(12)}
+    found = of_counts(spark, chain)
+    assert found == brute_force(chain)
+    assert {row[1] for row in found.values()} == {"a" * 11 + "b" * 29}
+
+
+def test_ties_take_the_smallest_word(spark):
+    counts = {"abcde": 3, "abcdf": 9, "abcdé": 9, "abxde": 9}
+    assert of_counts(spark, counts)["abcde"] == ("abcdf", "abcdf", 3, 3, 9)
+    assert of_counts(spark, counts) == brute_force(counts)
+
+
+def test_counts_of_texts_with_nulls_repeats_and_clashes(spark, monkeypatch):
+    monkeypatch.setattr(S, "CHARS_AT_ONCE", 50)
+    rows = [(1, "Garden garden GARDEN"), (1, "Garden garden GARDEN"), (None, "garden hÉllo hÉllo"), (None, None),
+            (2, ""), (3, "x" * 500 + " " + "garden " * 60), (4, "naïve÷naïve×naïve"), (-5, "12 %% --")]
+    docs = spark.createDataFrame([(*r, "n") for r in rows], "doc_id long, text string, word string")
+    found = {r["word"]: r["n"] for r in S.count_words(docs, least=1).collect()}
+    assert found == plain_words(rows, least=1)
+    assert result(S.spelling_variants(S.count_words(docs))) == brute_force(plain_words(rows))
+
+
+def test_no_rows_give_no_rows(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert S.spelling_variants(S.count_words(empty)).collect() == []
+
+
+def test_damage_hits_about_one_in_97():
+    runs = [f"word{chr(97 + i % 26)}{i}" for i in range(20_000)]
+    hit = sum(S.damaged(7, run) != run for run in runs)
+    assert 120 < hit < 300
+
+
+def test_query_over_the_given_documents(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()
+    counts = plain_words([tuple(r) for r in docs])
+    found = result(S.op12_spelling_variants(spark, data))
+    assert {word: row[2] for word, row in found.items()} == counts
+    draw = random.Random(3)
+    some = draw.sample(sorted(counts), 150)
+    expected = brute_force_of(some, counts)
+    assert {word: (found[word][0], *found[word][2:]) for word in some} == expected
+    for word, (form, root, *_) in found.items():
+        assert root == (found[form][1] if form else word)
+
+
+def brute_force_of(some, counts):
+    out = {}
+    for word in some:
+        near = [v for v in counts if abs(len(v) - len(word)) <= 1 and one_edit(word, v)]
+        best = min(near, key=lambda v: (-counts[v], v), default=None)
+        chosen = best if best is not None and counts[best] >= 2 * counts[word] else None
+        out[word] = (chosen, counts[word], len(near), counts[chosen] if chosen else None)
+    return out
