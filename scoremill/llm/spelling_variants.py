@@ -25,7 +25,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +41,11 @@ DAMAGED_ONE_IN = 97
 SHORTEST, LEAST = 5, 3
 
 #: Characters of a text looked at in one go, and distinct words a task counts before it passes them on.
-CHARS_AT_ONCE, WORDS_AT_ONCE = 1_000_000, 200_000
+CHARS_AT_ONCE, WORDS_AT_ONCE = 1_000_000, 100_000
+#: Rows of texts that are Python objects at a time.
+ROWS_AT_ONCE = 256
 #: Code points of words that are turned into states or edges in one go.
-CODES_AT_ONCE = 200_000
+CODES_AT_ONCE = 50_000
 
 LEFT, RIGHT = np.uint64(0x51), np.uint64(0xA7)
 BASE = 0x9E3779B97F4A7C15
@@ -82,12 +83,11 @@ def count_words(docs: DataFrame, shortest: int = SHORTEST, least: int = LEAST) -
     count each. Words are counted in the task first, so a word of a third of all rows is a few rows in the shuffle.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for batch in batches:
-            missing = batch["doc_id"].isna()
-            for doc_id, gone, text in zip(batch["doc_id"], missing, batch["text"], strict=True):
-                prefix = zlib.crc32(b":" if gone else f"{int(doc_id)}:".encode())
+            for doc_id, text in _python_rows(batch):
+                prefix = zlib.crc32(b":" if doc_id is None else f"{doc_id}:".encode())
                 for part in _slices(text) if text else ():
                     for run, n in Counter(RUN.findall(part)).items():
                         run = run.lower() if run.isascii() else run.translate(LOWER)
@@ -103,12 +103,18 @@ def count_words(docs: DataFrame, shortest: int = SHORTEST, least: int = LEAST) -
         if total:
             yield _counted(total)
 
-    counts = docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(count, "word string, n long")
+    counts = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, "word string, n long")
     return counts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-def _counted(total: Counter) -> pd.DataFrame:
-    return pd.DataFrame({"word": list(total.keys()), "n": list(total.values())})
+def _python_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+        part = batch.slice(at, ROWS_AT_ONCE)
+        yield from zip(*(column.to_pylist() for column in part.columns), strict=True)
+
+
+def _counted(total: Counter) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"word": list(total.keys()), "n": pa.array(list(total.values()), pa.int64())})
 
 
 # Trie
