@@ -1,7 +1,8 @@
-"""The two classifiers, addressed by the parameter names users know from their Python originals.
+"""The classifiers, addressed by the parameter names users know from their Python originals.
 
-The tree learner is MLlib's gradient-boosted trees. It behaves like the original boosted trees but
-does not reproduce its numbers; parameters without a counterpart are named in ``UNMAPPED``.
+``boosted`` are the package's own second-order trees with all nine parameters of the original search
+(``operators/boosting.py``). ``gbt`` are MLlib's gradient-boosted trees, which behave alike but have no
+counterpart of the parameters named in ``UNMAPPED``.
 """
 
 from __future__ import annotations
@@ -34,12 +35,17 @@ GBT_SPACE: dict[str, list] = {
     "gamma": [0, 0.1],
     "min_child_weight": [1, 3, 5],
 }
+BOOSTED_SPACE: dict[str, list] = {
+    **GBT_SPACE,
+    "reg_alpha": [0, 0.1, 1],
+    "reg_lambda": [1, 1.5, 2],
+}
 LOGREG_SPACE: dict[str, list] = {
     "C": [0.01, 0.1, 1, 10],
     "penalty": ["l1", "l2"],
     "max_iter": [100, 200, 300],
 }
-UNMAPPED = {"gbt": ["reg_alpha", "reg_lambda"], "logreg": ["solver"]}
+UNMAPPED = {"boosted": [], "gbt": ["reg_alpha", "reg_lambda"], "logreg": ["solver"]}
 
 
 def gbt(params: Params, n_rows: int) -> Estimator:
@@ -71,7 +77,7 @@ def logreg(params: Params, n_rows: int) -> Estimator:
 
 
 LEARNERS = {"gbt": gbt, "logreg": logreg}
-SPACES = {"gbt": GBT_SPACE, "logreg": LOGREG_SPACE}
+SPACES = {"boosted": BOOSTED_SPACE, "gbt": GBT_SPACE, "logreg": LOGREG_SPACE}
 
 
 @dataclass(frozen=True)
@@ -93,7 +99,9 @@ class Preparation:
 
 
 def with_score(predictions: DataFrame, name: str = "score") -> DataFrame:
-    """Add the probability of class 1 as a plain double."""
+    """Add the probability of class 1 as a plain double; models that are an expression have done so."""
+    if name in predictions.columns and "probability" not in predictions.columns:
+        return predictions
     return predictions.withColumn(name, vector_to_array("probability")[1])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
@@ -14,6 +14,9 @@ from pyspark.ml.base import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scoremill.operators import boosting
+from scoremill.operators.boosting import BoostedModel, Fit
+from scoremill.operators.expressions import boosted_margin, scoring_stage
 from scoremill.operators.learners import INPUTS, LEARNERS, Params
 from scoremill.operators.metrics import hard_label_auc
 from scoremill.schemas import LABEL
@@ -68,6 +71,7 @@ class SearchResult:
     params: dict[str, object]
     score: float
     scores: DataFrame
+    trees: BoostedModel | None = None
 
 
 def random_search(
@@ -101,24 +105,75 @@ def random_search(
         with ThreadPool(min(parallelism, len(tasks))) as pool:
             scored = pool.map(inheritable_thread_target(spark)(fit_and_score), tasks)
 
-        means = [
-            sum(auc for number, _, auc in scored if number == wanted) / folds
-            for wanted in range(len(candidates))
-        ]
-        if all(map(math.isnan, means)):
-            raise ValueError("no candidate has a score: a fold is empty or holds one class only")
-        # A fold of one class has no score; its candidate comes last.
-        best = max(
-            range(len(candidates)), key=lambda i: -math.inf if math.isnan(means[i]) else means[i]
-        )
+        best, mean = _best(scored, len(candidates), folds)
         model = make(candidates[best], n_rows).fit(matrix)
     finally:
         matrix.unpersist()
+    return SearchResult(model, dict(candidates[best]), mean, _scores(train, scored, candidates))
+
+
+def _best(scored: Sequence[tuple[int, int, float]], n_candidates: int, folds: int) -> tuple[int, float]:
+    """The candidate of the best mean score, the first of equals."""
+    means = [sum(auc for number, _, auc in scored if number == wanted) / folds for wanted in range(n_candidates)]
+    if all(map(math.isnan, means)):
+        raise ValueError("no candidate has a score: a fold is empty or holds one class only")
+    # A fold of one class has no score; its candidate comes last.
+    best = max(range(n_candidates), key=lambda i: -math.inf if math.isnan(means[i]) else means[i])
+    return best, means[best]
+
+
+def _scores(
+    train: DataFrame, scored: Sequence[tuple[int, int, float]], candidates: Sequence[Params]
+) -> DataFrame:
     rows = [
         (number, fold, auc, {key: str(value) for key, value in candidates[number].items()})
         for number, fold, auc in scored
     ]
-    scores = spark.createDataFrame(
+    return train.sparkSession.createDataFrame(
         rows, "candidate int, fold int, auc double, params map<string,string>"
     )
-    return SearchResult(model, dict(candidates[best]), means[best], scores)
+
+
+def boosted_search(
+    train: DataFrame,
+    features: Sequence[str],
+    keys: Sequence[str],
+    candidates: Sequence[Params],
+    folds: int = 3,
+    max_bins: int = boosting.MAX_BINS,
+) -> SearchResult:
+    """Cross-validate boosted trees on ``train(label, fold, keys, features)`` and refit the best.
+
+    All candidates and folds grow in the same passes over one binned matrix. Candidates that differ in the number of
+    trees only are one fit: the smaller model is the beginning of the larger. A fit is scored by the AUC of its hard
+    0/1 predictions, from four counts of the rows it left out.
+    """
+    matrix = boosting.binned(train, features, keys, "fold", max_bins=max_bins)
+    wanted = [boosting.Params.of(candidate) for candidate in candidates]
+    longest: dict[tuple, boosting.Params] = {}
+    for params in wanted:
+        for fold in range(folds):
+            known = longest.setdefault((replace(params, n_estimators=0), fold), params)
+            if params.n_estimators > known.n_estimators:
+                longest[replace(params, n_estimators=0), fold] = params
+    fits = {key: Fit(params, key[1]) for key, params in longest.items()}
+    grown = dict(zip(fits, boosting.boost(matrix, list(fits.values())), strict=True))
+
+    tasks = [(number, fold) for number in range(len(wanted)) for fold in range(folds)]
+    models = []
+    for number, fold in tasks:
+        params = wanted[number]
+        whole = grown[replace(params, n_estimators=0), fold]
+        models.append(BoostedModel(whole.features, params, whole.trees[: params.n_estimators]))
+    counted = boosting.held_out_counts(matrix, [Fit(wanted[n], fold) for n, fold in tasks], models).collect()
+    counts = {(row["fit"], row["y"], row["predicted"]): row["n"] for row in counted}
+
+    def hit_rate(fit: int, label: int) -> float:
+        hit, missed = (counts.get((fit, label, p), 0) for p in (label, 1 - label))
+        return hit / (hit + missed) if hit + missed else math.nan
+
+    scored = [(n, fold, (hit_rate(i, 0) + hit_rate(i, 1)) / 2) for i, (n, fold) in enumerate(tasks)]
+    best, mean = _best(scored, len(wanted), folds)
+    trees = boosting.boost(matrix, [Fit(wanted[best])])[0]
+    stage = scoring_stage(boosted_margin(trees))
+    return SearchResult(stage, dict(candidates[best]), mean, _scores(train, scored, candidates), trees)

@@ -5,6 +5,10 @@ They are written plainly (global ranks, cross joins with grids) and apart from t
 
 from __future__ import annotations
 
+from scoremill.operators.expressions import boosted_margin, probability
+from scoremill.oracle_boosting import boosting
+from scoremill.sources.artefacts import stored_model
+
 # Derived stores
 
 FS = """fs AS (
@@ -201,6 +205,7 @@ GBT_SPACE = {
     "gamma": ["0", "0.1"],
     "min_child_weight": ["1", "3", "5"],
 }
+BOOSTED_SPACE = {**GBT_SPACE, "reg_alpha": ["0", "0.1", "1"], "reg_lambda": ["1", "1.5", "2"]}
 LOGREG_SPACE = {
     "C": ["0.01", "0.1", "1", "10"],
     "penalty": ["l1", "l2"],
@@ -222,6 +227,63 @@ points AS (
   FROM spread CROSS JOIN range(0, 200) AS g(p))"""
 
 
+# Boosted trees
+
+TEXT_FEATURES = ["n_chars", "n_words", "n_lines", "non_letter_share", "upper_share"]
+QUALITY = """quality AS (
+  SELECT *, rank() OVER (PARTITION BY label ORDER BY md5(customer_id || '|' || loan_id || '|88')) AS rk,
+         count(*) OVER (PARTITION BY label) AS n
+  FROM (
+    SELECT CAST(doc_id AS VARCHAR) AS customer_id, 'D' || CAST(doc_id AS VARCHAR) AS loan_id, quality AS label,
+           CAST(n_chars AS DOUBLE) AS n_chars,
+           CAST(len(string_split_regex(text, '\\s+')) AS DOUBLE) AS n_words,
+           CAST(len(string_split(text, chr(10))) AS DOUBLE) AS n_lines,
+           1 - length(regexp_replace(text, '\\P{L}+', '', 'g')) / CAST(greatest(length(text), 1) AS DOUBLE)
+             AS non_letter_share,
+           length(regexp_replace(text, '\\P{Lu}+', '', 'g')) / CAST(greatest(length(text), 1) AS DOUBLE)
+             AS upper_share
+    FROM documents JOIN labels USING (doc_id))),
+quality_rows AS (
+  SELECT *, row_number() OVER (ORDER BY customer_id) AS rid,
+         CASE WHEN rk <= (n * 20 + 99) // 100 THEN 'test' ELSE 'train' END AS split FROM quality)"""
+QUALITY_ROWS = f"""SELECT rid, label AS y, NULL AS fold, split = 'train' AS in_fit,
+  customer_id || '|' || loan_id AS key_text, {", ".join(TEXT_FEATURES)} FROM quality_rows"""
+ORDER_ROWS = f"""SELECT row_number() OVER (ORDER BY customer_id) AS rid, label AS y, fold, true AS in_fit,
+  customer_id || '|' || loan_id AS key_text, {", ".join(FEATURES)} FROM rows_split WHERE split = 'train'"""
+# The parameter sets of the queries, stated again.
+ROUND = {"n_estimators": 1, "max_depth": 2, "learning_rate": 0.3, "reg_lambda": 1, "min_child_weight": 5}
+SMALL_BOOSTED = {
+    "n_estimators": 8, "max_depth": 2, "learning_rate": 0.3, "subsample": 0.8, "colsample_bytree": 0.8,
+    "gamma": 0.1, "min_child_weight": 3, "reg_alpha": 0.1, "reg_lambda": 1.5,
+}
+FEW_CANDIDATES = [
+    {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.3, "subsample": 0.8, "colsample_bytree": 0.6},
+    {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.3, "subsample": 0.8, "colsample_bytree": 0.6},
+    {"n_estimators": 2, "max_depth": 1, "learning_rate": 0.1, "reg_alpha": 1, "reg_lambda": 2},
+]
+QUALITY_MODEL = boosting(QUALITY_ROWS, TEXT_FEATURES, [(SMALL_BOOSTED, None)])
+QUALITY_SCORED = """scored AS (
+  SELECT split, label, round(1 / (1 + exp(-margin)), 9) AS score,
+         CAST(1 / (1 + exp(-margin)) > 0.5 AS INTEGER) AS prediction
+  FROM margins JOIN quality_rows USING (rid))"""
+
+# Training dates
+
+BACKFILL = """months AS (SELECT DISTINCT snapshot_date AS d FROM ls),
+dates AS (
+  SELECT d AS train_date FROM months UNION SELECT CAST(d + INTERVAL 14 DAY AS DATE) FROM months
+  UNION SELECT last_day(d) FROM months WHERE month(d) % 2 = 0),
+calendars AS (SELECT * FROM (VALUES ('', 1, 3), ('notebook ', 2, 4)) AS v(prefix, oot, tt)),
+bounds AS (
+  SELECT train_date, prefix, CAST(train_date - to_months(oot) AS DATE) AS oot_start, tt FROM dates CROSS JOIN calendars),
+periods AS (
+  SELECT train_date, prefix || 'oot' AS period, oot_start AS start_date,
+         CAST(train_date - INTERVAL 1 DAY AS DATE) AS end_date FROM bounds
+  UNION ALL
+  SELECT train_date, prefix || 'train_test', CAST(oot_start - to_months(tt) AS DATE),
+         CAST(oot_start - INTERVAL 1 DAY AS DATE) FROM bounds)"""
+
+
 def statement(*ctes: str, select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
 
@@ -487,4 +549,84 @@ WHERE pred.snapshot_date = DATE '2001-06-01' AND ls.snapshot_date = DATE '2001-0
              ELSE model_predictions END, 6) AS model_predictions
 FROM pred""",
     ),
+    "hp_grid_boosted": statement(
+        FS, LS, SPLIT, sampled_grid(BOOSTED_SPACE, 100), select="SELECT * FROM plan"
+    ),
+    "training_backfill": statement(
+        LS,
+        BACKFILL,
+        """by_class AS (
+  SELECT train_date, period, label, count(*) AS n, min(snapshot_date) AS lo, max(snapshot_date) AS hi
+  FROM periods JOIN ls ON snapshot_date BETWEEN start_date AND end_date GROUP BY train_date, period, label),
+stats AS (
+  SELECT train_date, period, sum(n) AS n, sum(n) FILTER (label = 1) AS pos, min(lo) AS lo, max(hi) AS hi,
+         sum(CASE WHEN ends_with(period, 'train_test') THEN (n * 20 + 99) // 100 ELSE 0 END) AS tested
+  FROM by_class GROUP BY train_date, period)""",
+        select="""SELECT train_date, period, start_date, end_date, CAST(coalesce(n, 0) AS BIGINT) AS n_rows,
+  CAST(coalesce(pos, 0) AS BIGINT) AS n_pos, CAST(coalesce(tested, 0) AS BIGINT) AS n_test,
+  round(coalesce(pos, 0) / n, 2) AS label_rate, lo AS first_date, hi AS last_date
+FROM periods LEFT JOIN stats USING (train_date, period)""",
+    ),
+    "training_backfill_rows": statement(
+        LS,
+        BACKFILL,
+        select="""SELECT train_date, period, customer_id, loan_id, label, snapshot_date
+FROM periods JOIN ls ON snapshot_date BETWEEN start_date AND end_date WHERE period IN ('oot', 'train_test')""",
+    ),
+    "boosted_tree": statement(
+        FS,
+        LS,
+        SPLIT,
+        boosting(ORDER_ROWS, FEATURES, [(ROUND, None)]),
+        select="""SELECT CAST(0 AS INTEGER) AS tree, CAST(v.node AS INTEGER) AS node, s.name AS feature,
+  round(s.cut, 6) AS cut, s.ml = 1 AS missing_left, round(s.gain, 6) AS gain,
+  CASE WHEN s.node IS NULL THEN round(v.weight, 6) END AS weight, round(v.cover, 6) AS cover
+FROM v0 v LEFT JOIN (
+  SELECT splits.*, name, edges[bin + 1] AS cut FROM splits JOIN named USING (f) JOIN cuts USING (f)) s
+  ON s.node = v.node""",
+    ),
+    "boosted_fit_score": statement(
+        QUALITY,
+        QUALITY_MODEL,
+        QUALITY_SCORED,
+        select="SELECT split, round(auc, 6) AS auc, n_pos, n_neg, round(2 * auc - 1, 3) AS gini FROM ("
+        + auc_of("SELECT split, label, score FROM scored", "split")
+        + ")",
+    ),
+    "boosted_confusion": statement(
+        QUALITY,
+        QUALITY_MODEL,
+        QUALITY_SCORED,
+        select="""SELECT split, l AS label, p AS prediction,
+  count(*) FILTER (s.label = l AND s.prediction = p) AS n_rows
+FROM scored s CROSS JOIN (VALUES (0), (1)) AS a(l) CROSS JOIN (VALUES (0), (1)) AS b(p)
+GROUP BY split, l, p""",
+    ),
+    "boosted_importance_rank": statement(
+        QUALITY,
+        QUALITY_MODEL,
+        """gains AS (SELECT name, coalesce(avg(gain), 0) AS gain FROM named LEFT JOIN splits USING (f) GROUP BY name),
+shares AS (SELECT name, round(gain / sum(gain) OVER (), 6) AS importance FROM gains)""",
+        select="""SELECT CAST(row_number() OVER (ORDER BY importance DESC, name) AS INTEGER) AS rank, name AS feature,
+  importance FROM shares""",
+    ),
+    "boosted_search_cv": statement(
+        FS,
+        LS,
+        SPLIT,
+        boosting(ORDER_ROWS, FEATURES, [(params, fold) for params in FEW_CANDIDATES for fold in range(3)]),
+        """hits AS (
+  SELECT fit, held_out AS fold, y, avg(CASE WHEN (margin > 0) = (y = 1) THEN 1.0 ELSE 0 END) AS rate
+  FROM margins JOIN base USING (rid) JOIN fits USING (fit) WHERE base.fold = held_out GROUP BY fit, held_out, y)""",
+        select="""SELECT CAST(fit // 3 AS INTEGER) AS candidate, CAST(fold AS INTEGER) AS fold, round(avg(rate), 6) AS auc
+FROM hits GROUP BY fit, fold""",
+    ),
+    "batch_score": statement(
+        FS,
+        select=f"""SELECT customer_id, snapshot_date, 'model_2001_06_01' AS model_name,
+  round({probability(boosted_margin(stored_model("model_2001_06_01")))}, 6) AS model_predictions
+FROM fs WHERE snapshot_date = DATE '2001-06-01'""",
+    ),
 }
+ORACLE["psi_history_sink"] = f"""SELECT 'model_2001_06_01' AS model_name, snapshot_date, baseline_date,
+  feature AS feature_name, psi_value, psi_status FROM ({ORACLE["psi_history_upsert"]})"""

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoremill.functions.dates import parse_date
+from scoremill.functions.names import bare_model_name
 from scoremill.operators.scoring import score_snapshot
 from scoremill.schemas import MODEL, SNAPSHOT
 from scoremill.sources.artefacts import load_artefact
-from scoremill.sources.reports import clear_partition, read_predictions, write_predictions
+from scoremill.sources.reports import read_predictions, write_predictions
 from scoremill.sources.stores import at_snapshot
 
 
@@ -20,12 +21,12 @@ def infer(
 ) -> DataFrame:
     """Score the snapshot, replace its partition of the prediction store and return that partition.
 
-    The partition goes first: a rerun without rows leaves no old ones.
+    Rows become visible at one stroke when all are written; a rerun without rows leaves no old ones. Predictions
+    carry the model's bare name, with or without the artefact suffix in ``model_name``.
     """
-    spark = features.sparkSession
-    artefact = load_artefact(spark, bank, model_name)
-    predictions = score_snapshot(features, artefact.model, model_name, day)
-    clear_partition(spark, predictions_root, {MODEL: model_name, SNAPSHOT: parse_date(day)})
-    write_predictions(predictions, predictions_root)
+    spark, name = features.sparkSession, bare_model_name(model_name)
+    artefact = load_artefact(spark, bank, name)
+    predictions = score_snapshot(features, artefact.model, name, day)
+    write_predictions(predictions, predictions_root, [{MODEL: name, SNAPSHOT: parse_date(day)}])
     stored = read_predictions(spark, predictions_root)
-    return at_snapshot(stored.filter(F.col(MODEL) == model_name), day)
+    return at_snapshot(stored.filter(F.col(MODEL) == name), day)

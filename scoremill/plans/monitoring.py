@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoremill.functions.dates import date_literal, months_before, parse_date
+from scoremill.functions.names import bare_model_name
 from scoremill.operators.density import curves_of, series
 from scoremill.operators.drift import non_negative_values, psi_buckets, psi_total
 from scoremill.schemas import (
@@ -24,12 +25,7 @@ from scoremill.schemas import (
     SUMMARY,
 )
 from scoremill.session import materialise
-from scoremill.sources.reports import (
-    clear_partition,
-    summary_text,
-    write_psi_history,
-    write_summary,
-)
+from scoremill.sources.reports import replace_run, summary_text, write_psi_history, write_summary
 from scoremill.sources.stores import at_snapshot
 
 
@@ -147,7 +143,11 @@ def run_monitoring(
     watched: Sequence[str] = (DEBT,),
     current_scope: str = "all",
 ) -> MonitorTables | None:
-    """Compute and write all tables below ``out``; nothing happens without predictions that day."""
+    """Compute and write all tables below ``out``; nothing happens without predictions that day.
+
+    ``model_name`` may carry the artefact suffix; predictions are looked up, and tables stored, by the bare name.
+    """
+    model_name = bare_model_name(model_name)
     scored = predictions.filter(F.col(MODEL) == model_name)
     if at_snapshot(scored, day).isEmpty():
         return None
@@ -156,13 +156,11 @@ def run_monitoring(
     )
     keys = [F.lit(model_name).alias(MODEL), date_literal(day).alias(SNAPSHOT)]
     write_psi_history(tables.psi, os.path.join(out, "psi_results"))
+    run = {MODEL: model_name, SNAPSHOT: parse_date(day)}
     for name, table in (("psi_buckets", tables.buckets), ("kde_curves", tables.curves)):
-        root = os.path.join(out, name)
-        # A run without rows replaces earlier ones, too.
-        clear_partition(predictions.sparkSession, root, {MODEL: model_name, SNAPSHOT: parse_date(day)})
-        _write_run(table.select(*keys, "*"), root)
+        replace_run(table.select(*keys, "*"), os.path.join(out, name), run)
     write_summary(tables.summary, os.path.join(out, "summary"))
-    _write_run(summary_text(tables.summary), os.path.join(out, "summary_text"), "text")
+    replace_run(summary_text(tables.summary), os.path.join(out, "summary_text"), run, "text")
     return tables
 
 
@@ -177,12 +175,3 @@ def _volume(df: DataFrame, metric: str) -> DataFrame:
         F.lit(None).cast("string").alias("feature"), F.lit(metric).alias("metric"), "value"
     )
 
-
-def _write_run(df: DataFrame, root: str, file_format: str = "parquet") -> None:
-    (
-        df.write.partitionBy(MODEL, SNAPSHOT)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .format(file_format)
-        .save(root)
-    )

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from datetime import date
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,13 +16,14 @@ from scoremill.functions.names import model_version
 from scoremill.operators.learners import SPACES, UNMAPPED, Params, Preparation, with_score
 from scoremill.operators.metrics import auc_and_gini, complete
 from scoremill.operators.scaling import fit_scaler
-from scoremill.operators.search import SearchResult, random_search, sample_candidates
+from scoremill.operators.search import SearchResult, boosted_search, random_search, sample_candidates
 from scoremill.operators.splits import split_and_folds
 from scoremill.operators.training_set import (
     feature_columns,
     label_feature_join,
     with_period,
 )
+from scoremill.schemas import CUSTOMER, LOAN
 from scoremill.session import materialise
 from scoremill.sources.artefacts import Artefact
 from scoremill.sources.stores import in_window
@@ -62,11 +64,14 @@ RECORD = T.StructType(
 
 @dataclass(frozen=True)
 class TrainedRun:
-    """What a training run leaves: the artefact, the search scores and the scored splits."""
+    """What a training run leaves: the artefact, the search scores and the scored splits.
+
+    Boosted trees take features as they are, so they have no ``preparation``.
+    """
 
     artefact: Artefact
     search: SearchResult
-    preparation: Preparation
+    preparation: Preparation | None
     scored: DataFrame
 
 
@@ -94,7 +99,7 @@ def train(
     labels: DataFrame,
     features: DataFrame,
     train_date: str | date,
-    learner: str = "gbt",
+    learner: str = "boosted",
     n_iter: int = 100,
     candidates: Sequence[Params] | None = None,
     oot_months: int = 1,
@@ -110,16 +115,16 @@ def train(
     names = feature_columns(features)
     in_train = table.filter(F.col("split") == "train")
 
-    preparation = Preparation(fit_scaler(in_train, names))
-    prepared = preparation.apply(table)
-    search = random_search(
-        prepared.filter(F.col("split") == "train"),
-        learner,
-        candidates or sample_candidates(SPACES[learner], n_iter),
-        folds,
-        parallelism,
-    )
-    model = preparation.with_model(search.model)
+    candidates = candidates or sample_candidates(SPACES[learner], n_iter)
+    if learner == "boosted":
+        preparation = None
+        search = boosted_search(in_train, names, (CUSTOMER, LOAN), candidates, folds)
+        model = PipelineModel([search.model])
+    else:
+        preparation = Preparation(fit_scaler(in_train, names))
+        prepared = preparation.apply(table).filter(F.col("split") == "train")
+        search = random_search(prepared, learner, candidates, folds, parallelism)
+        model = preparation.with_model(search.model)
     scored = with_score(model.transform(table))
     version = model_version(windows.train_date, version_prefix)
     record = _record(version, learner, names, windows, test_percent, scored, search)

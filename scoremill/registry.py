@@ -15,8 +15,11 @@ from scoremill.functions.dates import (
     with_training_windows,
 )
 from scoremill.operators import (
+    backfill,
+    boosting,
     density,
     drift,
+    expressions,
     learners,
     metrics,
     scaling,
@@ -33,13 +36,14 @@ from scoremill.schemas import (
     DEBT,
     LABEL,
     LOAN,
+    MODEL,
     SCORE,
     SNAPSHOT,
     feature_store_schema,
 )
 from scoremill.session import materialise, run_folder
 from scoremill.sources import reports, stores
-from scoremill.sources.artefacts import save_artefact
+from scoremill.sources.artefacts import boosted_artefact, save_artefact, stored_model
 
 RUN_DATE = parse_date("2001-06-01")
 BASELINE_DATE = months_before(RUN_DATE, 1)
@@ -194,6 +198,37 @@ def hp_grid_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.withColumn("reg_param", F.round(penalty, 9))
 
 
+@query
+def training_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and label rates of the training sets of every month and both calendars, in one plan."""
+    labels = testdata.label_store(spark, sf_dir)
+    return backfill.backfill_stats(labels, _all_periods(labels))
+
+
+@query
+def training_backfill_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels of every month's training set."""
+    labels = testdata.label_store(spark, sf_dir)
+    periods = backfill.training_periods(_train_dates(labels))
+    rows = backfill.in_periods(labels, periods)
+    return rows.select("train_date", "period", CUSTOMER, LOAN, LABEL, SNAPSHOT)
+
+
+def _train_dates(labels: DataFrame) -> DataFrame:
+    """The middle of each month that has labels, and the end of each second one: windows that cut months."""
+    month = labels.select(SNAPSHOT).distinct()
+    middle = month.select(F.date_add(SNAPSHOT, 14).alias("train_date"))
+    ends = month.filter(F.month(SNAPSHOT) % 2 == 0).select(F.last_day(SNAPSHOT).alias("train_date"))
+    return month.select(F.col(SNAPSHOT).alias("train_date")).union(middle).union(ends)
+
+
+def _all_periods(labels: DataFrame) -> DataFrame:
+    script = backfill.training_periods(_train_dates(labels), 1, 3)
+    notebook = backfill.training_periods(_train_dates(labels), 2, 4)
+    named = F.concat(F.lit("notebook "), F.col("period"))
+    return script.unionByName(notebook.withColumn("period", named))
+
+
 # Scaling
 
 
@@ -368,6 +403,77 @@ def _fit_on_quality(spark: SparkSession, sf_dir: str, learner: str, params: dict
     return model, preparation.scaler, learners.with_score(model.transform(prepared))
 
 
+#: One boosting round whose tree is checked node by node, and a small model with every parameter in use.
+ROUND = {"n_estimators": 1, "max_depth": 2, "learning_rate": 0.3, "reg_lambda": 1, "min_child_weight": 5}
+SMALL_BOOSTED = {
+    "n_estimators": 8, "max_depth": 2, "learning_rate": 0.3, "subsample": 0.8, "colsample_bytree": 0.8,
+    "gamma": 0.1, "min_child_weight": 3, "reg_alpha": 0.1, "reg_lambda": 1.5,
+}
+FEW_CANDIDATES = [
+    {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.3, "subsample": 0.8, "colsample_bytree": 0.6},
+    {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.3, "subsample": 0.8, "colsample_bytree": 0.6},
+    {"n_estimators": 2, "max_depth": 1, "learning_rate": 0.1, "reg_alpha": 1, "reg_lambda": 2},
+]
+
+
+def _boosted_on_quality(spark: SparkSession, sf_dir: str) -> tuple[boosting.BoostedModel, DataFrame]:
+    rows = materialise(splits.stratified_split(testdata.quality_table(spark, sf_dir)), "quality")
+    in_train = rows.filter(F.col("split") == "train")
+    matrix = boosting.binned(in_train, testdata.TEXT_FEATURES, (CUSTOMER, LOAN))
+    model = boosting.boost(matrix, [boosting.Fit(boosting.Params.of(SMALL_BOOSTED))])[0]
+    scored = expressions.scored(rows, expressions.boosted_margin(model))
+    return model, scored.withColumn("score", F.round("score", 9))
+
+
+@query
+def boosted_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of one boosting round on the training rows: splits with their gain, leaves with their weight."""
+    rows = _training_table(spark, sf_dir).filter(F.col("split") == "train")
+    matrix = boosting.binned(rows, testdata.FEATURES, (CUSTOMER, LOAN))
+    model = boosting.boost(matrix, [boosting.Fit(boosting.Params.of(ROUND))])[0]
+    return rounded(boosting.tree_nodes(spark, model))
+
+
+@query
+def boosted_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC and Gini of boosted trees on the labelled documents, scored by the model's own expression."""
+    return rounded(metrics.complete(metrics.auc_and_gini(_boosted_on_quality(spark, sf_dir)[1])))
+
+
+@query
+def boosted_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard labels of the boosted trees against the true ones."""
+    return metrics.confusion_matrix(_boosted_on_quality(spark, sf_dir)[1])
+
+
+@query
+def boosted_importance_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean gain by feature, as shares, in descending order."""
+    model, _ = _boosted_on_quality(spark, sf_dir)
+    shares = {name: round(share, 6) for name, share in model.importances().items()}
+    return metrics.feature_importance(spark, shares)
+
+
+@query
+def boosted_search_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few candidates in three folds, all grown in the same passes."""
+    scores = _train_on_orders(spark, sf_dir, "boosted", candidates=FEW_CANDIDATES).search.scores
+    return rounded(scores.drop("params"))
+
+
+@query
+def tree_search_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole search of the original: 100 candidates of nine parameters in three folds, refit and evaluation."""
+    return _train_on_orders(spark, sf_dir, "boosted", n_iter=100).search.scores
+
+
+@query
+def hp_grid_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 300 fits of that search."""
+    train = _training_table(spark, sf_dir).filter(F.col("split") == "train")
+    return search.search_plan(train, search.sample_candidates(learners.BOOSTED_SPACE, 100, 42))
+
+
 @query
 def gbt_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, scored = _fit_on_quality(spark, sf_dir, "gbt", SMALL_GBT)
@@ -400,10 +506,32 @@ def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train, save, load and score one snapshot."""
     one = [{"C": 1, "penalty": "l2", "max_iter": 100}]
     artefact = _train_on_orders(spark, sf_dir, "logreg", candidates=one).artefact
     bank = run_folder(spark, "model-bank")
     save_artefact(artefact, bank)
     features = testdata.feature_store(spark, sf_dir)
     return infer(features, bank, artefact.version, RUN_DATE, run_folder(spark, "model-predictions"))
+
+
+@query
+def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score one snapshot with the stored model; nothing is trained."""
+    bank = run_folder(spark, "model-bank")
+    save_artefact(boosted_artefact(spark, stored_model(MODEL_NAME), MODEL_NAME), bank)
+    features = testdata.feature_store(spark, sf_dir)
+    predictions = run_folder(spark, "model-predictions")
+    return rounded(infer(features, bank, f"{MODEL_NAME}.pkl", RUN_DATE, predictions))
+
+
+@query
+def psi_history_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drift history of every date through its sink, one date written again with another scope."""
+    root, store = run_folder(spark, "psi-history"), testdata.feature_store(spark, sf_dir)
+    rerun = drift.psi_history(stores.in_window(store, BASELINE_DATE, RUN_DATE), current_scope="snapshot")
+    for history in (drift.psi_history(store, current_scope="all"), rerun):
+        rows = history.withColumnRenamed("feature", "feature_name").withColumn(MODEL, F.lit(MODEL_NAME))
+        reports.write_psi_history(rows, root)
+    return rounded(reports.read_psi_history(spark, root))

@@ -9,6 +9,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from scoremill.functions.names import bare_model_name
+from scoremill.operators.boosting import BoostedModel
+from scoremill.operators.expressions import boosted_margin, scoring_stage
+
+#: Models that come with the package, as text.
+MODELS = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "models")
 
 
 @dataclass(frozen=True)
@@ -37,3 +42,16 @@ def load_artefact(spark: SparkSession, bank: str, name: str) -> Artefact:
         model=PipelineModel.load(os.path.join(folder, "pipeline")),
         record=spark.read.parquet(os.path.join(folder, "record")),
     )
+
+
+def stored_model(name: str) -> BoostedModel:
+    """A model that comes with the package, by its version."""
+    with open(os.path.join(MODELS, f"{bare_model_name(name)}.json"), encoding="utf-8") as file:
+        return BoostedModel.from_json(file.read())
+
+
+def boosted_artefact(spark: SparkSession, model: BoostedModel, version: str) -> Artefact:
+    """An artefact that scores by the model's own expression; its record holds the trees as text."""
+    record = spark.createDataFrame([(version, "boosted", model.features, model.to_json())],
+                                   "model_version string, learner string, features array<string>, trees string")
+    return Artefact(version, PipelineModel([scoring_stage(boosted_margin(model))]), record)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,25 +10,41 @@ from pyspark.sql import functions as F
 from scoremill.functions.dates import formatted_date
 from scoremill.schemas import MODEL, PREDICTIONS, PSI_RESULTS, SNAPSHOT, SUMMARY
 from scoremill.session import materialise
-from scoremill.sources.stores import scan_store
+from scoremill.sources.versions import partition_path, publish, read
 
 BY_RUN = (MODEL, SNAPSHOT)
 
 
-def write_predictions(df: DataFrame, root: str) -> None:
-    """Predictions by model and snapshot; a rerun replaces its own partition only."""
-    _overwrite_partitions(df.select(PREDICTIONS.fieldNames()), root, BY_RUN, "parquet")
+def write_predictions(df: DataFrame, root: str, replaced: Sequence[Mapping[str, object]] = ()) -> None:
+    """Predictions by model and snapshot; a rerun replaces its own partition only, at one stroke."""
+    publish(df.select(PREDICTIONS.fieldNames()), root, BY_RUN, replaced)
 
 
-def clear_partition(spark: SparkSession, root: str, values: dict[str, object]) -> None:
-    """Remove one partition of a store, so that a run that has no rows leaves none behind."""
-    folder = "/".join([root, *(f"{name}={value}" for name, value in values.items())])
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def read_predictions(spark: SparkSession, root: str) -> DataFrame:
+    return read(spark, root, PREDICTIONS)
 
 
-def read_predictions(spark: SparkSession, root: str) -> DataFrame:
-    return scan_store(spark, root, PREDICTIONS, missing_ok=True)
+def replace_run(
+    df: DataFrame, root: str, run: Mapping[str, object], file_format: str = "parquet"
+) -> None:
+    """Replace the files of one run in a plain folder that any reader can open.
+
+    The rows are stored apart first. The old partition goes only when the new one is complete, or when there are no
+    rows to put in its place.
+    """
+    spark = df.sparkSession
+    df = materialise(df, "run")
+    if df.isEmpty():
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{partition_path(spark, run)}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        return
+    (
+        df.write.partitionBy(*run)
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .format(file_format)
+        .save(root)
+    )
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -41,26 +57,25 @@ def write_psi_history(df: DataFrame, root: str) -> None:
     """Add drift rows to the CSV history, replacing rows of the same model, feature and date.
 
     Partitions are runs, a model and a date, so the files don't grow with the number of features. What
-    the run's partitions hold for other features is stored apart first, since they are rewritten.
+    the run's partitions hold for other features is written again beside the new rows.
     """
     runs = df.select(*BY_RUN).distinct()
     earlier = read_psi_history(df.sparkSession, root).join(runs, list(BY_RUN), "left_semi")
     merged = upsert(earlier, df.select(PSI_RESULTS.fieldNames()), [*BY_RUN, "feature_name"])
     # The file format knows columns by their place only.
-    merged = materialise(merged.select(PSI_RESULTS.fieldNames()), "psi-history")
-    _overwrite_partitions(merged, root, BY_RUN, "csv", header=True)
+    publish(merged.select(PSI_RESULTS.fieldNames()), root, BY_RUN, file_format="csv", header=True)
 
 
 def read_psi_history(spark: SparkSession, root: str) -> DataFrame:
-    return scan_store(spark, root, PSI_RESULTS, "csv", missing_ok=True, header=True)
+    return read(spark, root, PSI_RESULTS, "csv", header=True)
 
 
 def write_summary(df: DataFrame, root: str) -> None:
-    _overwrite_partitions(df.select(SUMMARY.fieldNames()), root, BY_RUN, "parquet")
+    publish(df.select(SUMMARY.fieldNames()), root, BY_RUN)
 
 
 def read_summary(spark: SparkSession, root: str) -> DataFrame:
-    return scan_store(spark, root, SUMMARY, missing_ok=True)
+    return read(spark, root, SUMMARY)
 
 
 def summary_text(summary: DataFrame) -> DataFrame:
@@ -102,16 +117,3 @@ def summary_text(summary: DataFrame) -> DataFrame:
         MODEL, SNAPSHOT, F.array_join(F.concat(head, drift, volumes), "\n").alias("text")
     )
 
-
-def _overwrite_partitions(
-    df: DataFrame, root: str, by: Sequence[str], file_format: str, **options: object
-) -> None:
-    (
-        df.hint("rebalance", *by)
-        .write.partitionBy(*by)
-        .format(file_format)
-        .options(**options)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .save(root)
-    )

@@ -19,7 +19,8 @@ FITTED = {
     "feature_importance_rank",
     "random_search_cv",
     "run_record",
-    "batch_score",
+    "train_and_score",
+    "tree_search_cv",
 }
 JAN = date(2024, 1, 1)
 
