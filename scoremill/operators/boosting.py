@@ -320,6 +320,8 @@ def histograms(matrix: Matrix, fits: Sequence[Fit], forests: dict[int, Forest],
             yield pa.RecordBatch.from_arrays(arrays, ["fit", "node", "feature", "bin", "g", "h"])
 
     found = matrix.blocks.mapInArrow(add_up, "fit int, node int, feature int, bin int, g double, h double")
+    # Tasks have summed up already; the windows behind need the bins of a feature together.
+    found = found.repartition("fit", "node", "feature")
     return found.groupBy("fit", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
 
 

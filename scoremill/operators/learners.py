@@ -1,8 +1,10 @@
 """The classifiers, addressed by the parameter names users know from their Python originals.
 
 ``boosted`` are the package's own second-order trees with all nine parameters of the original search
-(``operators/boosting.py``). ``gbt`` are MLlib's gradient-boosted trees, which behave alike but have no
-counterpart of the parameters named in ``UNMAPPED``.
+(``operators/boosting.py``), ``logistic`` its own logistic regression with the penalised intercept of the
+original (``operators/logistic.py``); both grow all fits of a search in the same passes. ``gbt`` and
+``logreg`` are MLlib's: trees that behave alike but have no counterpart of the parameters named in
+``UNMAPPED``, and a logistic regression whose intercept is not penalised.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ LOGREG_SPACE: dict[str, list] = {
     "penalty": ["l1", "l2"],
     "max_iter": [100, 200, 300],
 }
-UNMAPPED = {"boosted": [], "gbt": ["reg_alpha", "reg_lambda"], "logreg": ["solver"]}
+UNMAPPED = {"boosted": [], "gbt": ["reg_alpha", "reg_lambda"], "logistic": ["solver"], "logreg": ["solver"]}
 
 
 def gbt(params: Params, n_rows: int) -> Estimator:
@@ -77,7 +79,7 @@ def logreg(params: Params, n_rows: int) -> Estimator:
 
 
 LEARNERS = {"gbt": gbt, "logreg": logreg}
-SPACES = {"boosted": BOOSTED_SPACE, "gbt": GBT_SPACE, "logreg": LOGREG_SPACE}
+SPACES = {"boosted": BOOSTED_SPACE, "gbt": GBT_SPACE, "logistic": LOGREG_SPACE, "logreg": LOGREG_SPACE}
 
 
 @dataclass(frozen=True)

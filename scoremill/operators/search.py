@@ -11,14 +11,16 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.base import Model
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from scoremill.operators import boosting
+from scoremill.operators import boosting, logistic
 from scoremill.operators.boosting import BoostedModel, Fit
-from scoremill.operators.expressions import boosted_margin, scoring_stage
+from scoremill.operators.expressions import boosted_margin, logistic_margin, scoring_stage
 from scoremill.operators.learners import INPUTS, LEARNERS, Params
+from scoremill.operators.logistic import LogisticFit
 from scoremill.operators.metrics import hard_label_auc
+from scoremill.operators.scaling import Scaler
 from scoremill.schemas import LABEL
 
 
@@ -166,14 +168,57 @@ def boosted_search(
         whole = grown[replace(params, n_estimators=0), fold]
         models.append(BoostedModel(whole.features, params, whole.trees[: params.n_estimators]))
     counted = boosting.held_out_counts(matrix, [Fit(wanted[n], fold) for n, fold in tasks], models).collect()
+    scored = _from_counts(tasks, counted)
+    best, mean = _best(scored, len(wanted), folds)
+    trees = boosting.boost(matrix, [Fit(wanted[best])])[0]
+    stage = scoring_stage(boosted_margin(trees))
+    return SearchResult(stage, dict(candidates[best]), mean, _scores(train, scored, candidates), trees)
+
+
+def _from_counts(tasks: Sequence[tuple[int, int]], counted: Sequence[Row]) -> list[tuple[int, int, float]]:
+    """Candidate, fold and AUC of hard predictions of each fit, not a number where a class is absent."""
     counts = {(row["fit"], row["y"], row["predicted"]): row["n"] for row in counted}
 
     def hit_rate(fit: int, label: int) -> float:
         hit, missed = (counts.get((fit, label, p), 0) for p in (label, 1 - label))
         return hit / (hit + missed) if hit + missed else math.nan
 
-    scored = [(n, fold, (hit_rate(i, 0) + hit_rate(i, 1)) / 2) for i, (n, fold) in enumerate(tasks)]
-    best, mean = _best(scored, len(wanted), folds)
-    trees = boosting.boost(matrix, [Fit(wanted[best])])[0]
-    stage = scoring_stage(boosted_margin(trees))
-    return SearchResult(stage, dict(candidates[best]), mean, _scores(train, scored, candidates), trees)
+    return [(n, fold, (hit_rate(i, 0) + hit_rate(i, 1)) / 2) for i, (n, fold) in enumerate(tasks)]
+
+
+def logistic_search(
+    train: DataFrame, scaler: Scaler, candidates: Sequence[Params], folds: int = 3, penalise_intercept: bool = True
+) -> SearchResult:
+    """Cross-validate logistic regressions on ``train(label, fold, inputs of the scaler)`` and refit the best.
+
+    All candidates and folds take their Newton steps in the same passes; those that differ in ``max_iter`` only are
+    one fit as long as it converges within the smaller number.
+    """
+    inputs = scaler.inputs()
+    blocks = logistic.design(train, inputs, "fold")
+
+    def made(params: Params, fold: int | None) -> LogisticFit:
+        return LogisticFit(float(params.get("C", 1)), str(params.get("penalty", "l2")),
+                           int(params.get("max_iter", 100)), fold, penalise_intercept)
+
+    tasks = [(number, fold) for number in range(len(candidates)) for fold in range(folds)]
+    fits = [made(candidates[number], fold) for number, fold in tasks]
+    shared: dict[tuple, LogisticFit] = {}
+    for fit in sorted(fits, key=lambda f: f.max_iter):
+        shared.setdefault((fit.C, fit.penalty, fit.held_out), fit)
+    logistic.fit_all(blocks, list(shared.values()), len(inputs) + 1)
+    again = []
+    for i, fit in enumerate(fits):
+        known = shared[fit.C, fit.penalty, fit.held_out]
+        if known.converged or known.max_iter == fit.max_iter:
+            fits[i] = known
+        else:
+            again.append(fit)
+    logistic.fit_all(blocks, again, len(inputs) + 1)
+    scored = _from_counts(tasks, logistic.held_out_counts(blocks, fits).collect())
+    best, mean = _best(scored, len(candidates), folds)
+    final = made(candidates[best], None)
+    logistic.fit_all(blocks, [final], len(inputs) + 1)
+    weights = dict(zip(inputs, map(float, final.weights[1:]), strict=True))
+    stage = scoring_stage(logistic_margin(weights, float(final.weights[0]), scaler))
+    return SearchResult(stage, dict(candidates[best]), mean, _scores(train, scored, candidates))

@@ -267,6 +267,47 @@ QUALITY_SCORED = """scored AS (
          CAST(1 / (1 + exp(-margin)) > 0.5 AS INTEGER) AS prediction
   FROM margins JOIN quality_rows USING (rid))"""
 
+# Newton steps of a logistic regression on two features, by Cramer's rule
+
+NEWTON_C = 0.1
+
+
+def newton(steps: int) -> str:
+    def minor(a: str, b: str, c: str, d: str) -> str:
+        return f"({a} * {d} - {b} * {c})"
+
+    def determinant(m: list[list[str]]) -> str:
+        (a, b, c), (d, e, f), (g, h, i) = m
+        return f"({a} * {minor(e, f, h, i)} - {b} * {minor(d, f, g, i)} + {c} * {minor(d, e, g, h)})"
+
+    parts = [
+        """points AS MATERIALIZED (SELECT label AS y, 1.0::DOUBLE AS x0,
+    (total_price - avg(total_price) OVER ()) / stddev_pop(total_price) OVER () AS x1,
+    (sum_quantity - avg(sum_quantity) OVER ()) / stddev_pop(sum_quantity) OVER () AS x2
+  FROM rows_split WHERE split = 'train' AND total_price IS NOT NULL AND sum_quantity IS NOT NULL)""",
+        "w0 AS (SELECT own, 0.0::DOUBLE AS a0, 0.0::DOUBLE AS a1, 0.0::DOUBLE AS a2 FROM (VALUES (1), (0)) AS v(own))",
+    ]
+    matrix = [[f"h{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
+    for step in range(steps):
+        sums = [f"sum({NEWTON_C} * (p - y) * x{i}) + {'own * ' if i == 0 else ''}any_value(a{i}) AS g{i}" for i in range(3)]
+        for i in range(3):
+            for j in range(i, 3):
+                ridge = "" if i != j else " + own" if i == 0 else " + 1"
+                sums.append(f"sum({NEWTON_C} * p * (1 - p) * x{i} * x{j}){ridge} AS h{i}{j}")
+        solved = []
+        for k in range(3):
+            replaced = [[f"g{i}" if j == k else matrix[i][j] for j in range(3)] for i in range(3)]
+            solved.append(f"a{k} - {determinant(replaced)} / {determinant(matrix)} AS a{k}")
+        parts.append(
+            f"s{step} AS MATERIALIZED (SELECT own, any_value(a0) AS a0, any_value(a1) AS a1, any_value(a2) AS a2, "
+            f"{', '.join(sums)} FROM (SELECT *, 1 / (1 + exp(-(a0 * x0 + a1 * x1 + a2 * x2))) AS p "
+            f"FROM points CROSS JOIN w{step}) GROUP BY own)"
+        )
+        parts.append(f"w{step + 1} AS (SELECT own, {', '.join(solved)} FROM s{step})")
+    union = " UNION ALL ".join(f"SELECT {step} AS step, * FROM w{step}" for step in range(steps + 1))
+    return ",\n".join([*parts, f"steps AS ({union})"])
+
+
 # Training dates
 
 BACKFILL = """months AS (SELECT DISTINCT snapshot_date AS d FROM ls),
@@ -627,6 +668,14 @@ FROM hits GROUP BY fit, fold""",
   round({probability(boosted_margin(stored_model("model_2001_06_01")))}, 6) AS model_predictions
 FROM fs WHERE snapshot_date = DATE '2001-06-01'""",
     ),
+    "logistic_newton": statement(
+        FS,
+        LS,
+        SPLIT,
+        newton(3),
+        select="""SELECT own = 1 AS penalised, CAST(step AS INTEGER) AS step, round(a0, 6) AS intercept,
+  round(a1, 6) AS total_price, round(a2, 6) AS sum_quantity FROM steps""",
+    ),
 }
 ORACLE["psi_history_sink"] = f"""SELECT 'model_2001_06_01' AS model_name, snapshot_date, baseline_date,
   feature AS feature_name, psi_value, psi_status FROM ({ORACLE["psi_history_upsert"]})"""

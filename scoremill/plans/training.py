@@ -16,7 +16,7 @@ from scoremill.functions.names import model_version
 from scoremill.operators.learners import SPACES, UNMAPPED, Params, Preparation, with_score
 from scoremill.operators.metrics import auc_and_gini, complete
 from scoremill.operators.scaling import fit_scaler
-from scoremill.operators.search import SearchResult, boosted_search, random_search, sample_candidates
+from scoremill.operators.search import SearchResult, boosted_search, logistic_search, random_search, sample_candidates
 from scoremill.operators.splits import split_and_folds
 from scoremill.operators.training_set import (
     feature_columns,
@@ -66,7 +66,8 @@ RECORD = T.StructType(
 class TrainedRun:
     """What a training run leaves: the artefact, the search scores and the scored splits.
 
-    Boosted trees take features as they are, so they have no ``preparation``.
+    Boosted trees take features as they are, so they have no ``preparation``; logistic models hold the scaler in their
+    expression.
     """
 
     artefact: Artefact
@@ -120,6 +121,11 @@ def train(
         preparation = None
         search = boosted_search(in_train, names, (CUSTOMER, LOAN), candidates, folds)
         model = PipelineModel([search.model])
+    elif learner == "logistic":
+        preparation = Preparation(fit_scaler(in_train, names))
+        prepared = preparation.scaler.stage().transform(in_train)
+        search = logistic_search(prepared, preparation.scaler, candidates, folds)
+        model = PipelineModel([search.model])
     else:
         preparation = Preparation(fit_scaler(in_train, names))
         prepared = preparation.apply(table).filter(F.col("split") == "train")

@@ -21,6 +21,7 @@ from scoremill.operators import (
     drift,
     expressions,
     learners,
+    logistic,
     metrics,
     scaling,
     search,
@@ -467,6 +468,29 @@ def tree_search_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _train_on_orders(spark, sf_dir, "boosted", n_iter=100).search.scores
 
 
+@query
+def logistic_newton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three Newton steps from zero on two scaled features, with both penalties of the intercept."""
+    rows = _training_table(spark, sf_dir).filter(F.col("split") == "train")
+    names = ["total_price", "sum_quantity"]
+    rows = rows.filter(" AND ".join(f"{name} IS NOT NULL" for name in names))
+    scaled = scaling.fit_scaler(rows, names).transform(rows)
+    fits = [logistic.LogisticFit(C=0.1, max_iter=3, penalise_intercept=own) for own in (True, False)]
+    logistic.fit_all(logistic.design(scaled, names), fits, 3, tolerance=0.0)
+    steps = [
+        (fit.penalise_intercept, step, *map(float, weights))
+        for fit in fits for step, weights in enumerate(fit.path)
+    ]
+    columns = "penalised boolean, step int, intercept double, total_price double, sum_quantity double"
+    return rounded(spark.createDataFrame(steps, columns))
+
+
+@query
+def logistic_search_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 72 fits of the logistic search in shared passes."""
+    return _train_on_orders(spark, sf_dir, "logistic", n_iter=24).search.scores
+
+
 @query
 def hp_grid_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 300 fits of that search."""

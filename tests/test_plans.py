@@ -19,6 +19,7 @@ FITTED = {
     "feature_importance_rank",
     "random_search_cv",
     "run_record",
+    "logistic_search_cv",
     "train_and_score",
     "tree_search_cv",
 }
