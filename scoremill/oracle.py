@@ -374,6 +374,20 @@ FROM ls LEFT JOIN fs ON fs.customer_id = ls.customer_id WHERE ls.{WINDOW}""",
         select=f"""SELECT CAST(ls.o_custkey AS VARCHAR) AS customer_id, loan_id, label, label_def,
   ls.snapshot_date, {ROUNDED}
 FROM ls LEFT JOIN fs ON fs.o_custkey = ls.o_custkey WHERE ls.{WINDOW}""",
+    ),
+    "train_join_asof": statement(
+        FS,
+        LS,
+        f"""dated AS (
+  SELECT o_custkey, CAST(snapshot_date + INTERVAL 14 DAY AS DATE) AS feature_date, {", ".join(FEATURES)},
+         row_number() OVER (PARTITION BY o_custkey, snapshot_date
+           ORDER BY {", ".join(f"{name} DESC NULLS LAST" for name in FEATURES)}) AS place
+  FROM fs)""",
+        select=f"""SELECT CAST(ls.o_custkey AS VARCHAR) AS customer_id, loan_id, label, label_def,
+  ls.snapshot_date, feature_date, {ROUNDED}
+FROM ls LEFT JOIN dated ON dated.o_custkey = ls.o_custkey AND place = 1 AND feature_date = (
+  SELECT max(feature_date) FROM dated d WHERE d.o_custkey = ls.o_custkey AND d.feature_date <= ls.snapshot_date)
+WHERE ls.{WINDOW}""",
     ),
     "stratified_split": statement(
         LS,

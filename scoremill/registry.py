@@ -156,6 +156,16 @@ def train_join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(label_feature_join(labels, features))
 
 
+@query
+def train_join_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels with the last features known at their date, customers with several snapshots."""
+    labels = _windowed_labels(spark, sf_dir, "o_custkey")
+    features = testdata.feature_store(spark, sf_dir, "o_custkey")
+    # Features are dated a fortnight into their month, so those of a label's own month come too late for it.
+    later = features.withColumn(SNAPSHOT, F.date_add(SNAPSHOT, 14))
+    return rounded(training_set.label_feature_asof_join(labels, later))
+
+
 @query
 def split_folds_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes of splits and folds where a label has several joined rows."""
