@@ -57,4 +57,14 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = run_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._scoremill_path = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete what ``materialise`` wrote, once nothing that is still to be computed reads it."""
+    for df in stored:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._scoremill_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
