@@ -21,6 +21,8 @@ from scoremill.session import materialise
 MIN_WORDS, MAX_REPEATED, MAX_SYMBOLS, MAX_DUP_LINES = 50, 50, 10, 30
 #: A host is distrusted from this shrunk failure rate on.
 DISTRUST = 0.5
+#: Weight of the prior where nothing tells hosts apart.
+ONE_RATE = 1e6
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 WINDOW = 3
@@ -88,21 +90,33 @@ def soft_failed():
     return symbols | (100 * F.col("n_dup_lines") > MAX_DUP_LINES * F.col("n_lines"))
 
 
+def prior_weight(mean: float, spread: float, n: int, hosts: int, n_squared: float) -> float:
+    """Documents that the beta prior is worth; ``spread`` is the sum of ``n * (rate - mean) ** 2`` over hosts.
+
+    If hosts differ by the share ``r`` of the largest variance possible, the spread expected is
+    ``mean * (1 - mean) * (hosts - 1 + r * (n - n_squared / n - hosts + 1))``: solved for ``r``, worth ``1 / r - 1``.
+    """
+    informative = n - n_squared / n - (hosts - 1)
+    if informative < 1e-9:
+        return ONE_RATE
+    share = (spread / (mean * (1 - mean)) - (hosts - 1)) / informative
+    return max(1.0, 1 / share - 1) if share > 1 / ONE_RATE else ONE_RATE
+
+
 def host_verdicts(checked: DataFrame, host: str) -> DataFrame:
     """``host, host_documents, host_rate, distrusted`` of checked documents; a null host is one host."""
     by_host = checked.groupBy(F.col(host).alias("host")).agg(
         F.count("*").alias("n"), F.sum(F.col("failed").cast("long")).alias("bad")
     )
     by_host = materialise(by_host, "host-rules")
-    sums = by_host.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    total = sums.first()
-    if not total.n:
-        mean, weight = 0.0, 0.0
-    else:
-        mean = total.bad / total.n
+    total = by_host.agg(
+        F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.count("*").alias("hosts"), F.sum(F.col("n") ** 2).alias("n2")
+    ).first()
+    mean = total.bad / total.n if total.n else 0.0
+    weight = ONE_RATE
+    if 0 < mean < 1:
         spread = by_host.agg(F.sum(F.col("n") * (F.col("bad") / F.col("n") - mean) ** 2)).first()[0]
-        spread /= total.n
-        weight = max(1.0, mean * (1 - mean) / spread - 1) if spread > 1e-12 else 1e6
+        weight = prior_weight(mean, spread, total.n, total.hosts, total.n2)
     rate = (F.col("bad") + F.lit(mean * weight)) / (F.col("n") + F.lit(weight))
     return by_host.select(
         "host", F.col("n").alias("host_documents"), rate.alias("host_rate"), (rate >= DISTRUST).alias("distrusted")
@@ -145,6 +159,7 @@ def filter_documents(docs: DataFrame, host: str = "source", text: str = "text")
 
 
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and verdict of all ``documents``; nulls, repeats and empty tables as in ``judge``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return judge(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -183,11 +198,16 @@ WITH texts AS (
 ), hosts AS (
   SELECT source, count(*) AS n, count(*) FILTER (failed) AS bad FROM checked GROUP BY source
 ), overall AS (
-  SELECT sum(bad) / sum(n) AS mean FROM hosts
+  SELECT sum(bad) / sum(n) AS mean, sum(n) AS total, count(*) AS k, sum(CAST(n AS DOUBLE) ** 2) AS n2 FROM hosts
 ), spread AS (
-  SELECT any_value(mean) AS mean, sum(n * (bad / n - mean) ** 2) / sum(n) AS v FROM hosts, overall
+  SELECT any_value(mean) AS mean, any_value(k) AS k, any_value(total - n2 / total - (k - 1)) AS room,
+         sum(n * (bad / n - mean) ** 2) AS s
+  FROM hosts, overall
+), shares AS (
+  SELECT mean, CASE WHEN mean > 0 AND mean < 1 AND room >= 1e-9
+                    THEN (s / (mean * (1 - mean)) - (k - 1)) / room ELSE 0 END AS r FROM spread
 ), prior AS (
-  SELECT mean, CASE WHEN v > 1e-12 THEN greatest(1, mean * (1 - mean) / v - 1) ELSE 1e6 END AS weight FROM spread
+  SELECT mean, CASE WHEN r > 1e-6 THEN greatest(1, 1 / r - 1) ELSE 1e6 END AS weight FROM shares
 ), verdicts AS (
   SELECT source, (bad + mean * weight) / (n + weight) >= 0.5 AS distrusted FROM hosts, prior
 ), judged AS (

@@ -1,6 +1,7 @@
 import os
 
 import duckdb
+import numpy as np
 import pytest
 
 from scoremill.llm import decontamination as D
@@ -52,6 +53,26 @@ def test_distrusted_host_drops_soft_failures_only(docs, prose):
     assert kept == {*range(100, 120), 200, 201}
 
 
+def test_prior_takes_chance_out(docs, prose):
+    """A failure on a host of one document says nothing about the host."""
+    rows = [(i, prose(i) + (" ###" * 60 if i < 20 else ""), "en", f"h{i}") for i in range(200)]
+    assert all(r["kept"] for r in H.judge(docs(rows)).collect())
+
+
+def test_prior_is_found_again():
+    """Moments of hosts drawn from a beta distribution give its weight back."""
+    draw = np.random.default_rng(1)
+    for weight in (3.0, 12.0, 60.0):
+        size = draw.integers(1, 60, 6000)
+        bad = draw.binomial(size, draw.beta(0.3 * weight, 0.7 * weight, 6000))
+        n, mean = size.sum(), bad.sum() / size.sum()
+        spread = (size * (bad / size - mean) ** 2).sum()
+        assert H.prior_weight(mean, spread, n, 6000, (size**2).sum()) == pytest.approx(weight, rel=0.15)
+    alike = draw.binomial(size, 0.2)
+    mean = alike.sum() / n
+    assert H.prior_weight(mean, (size * (alike / size - mean) ** 2).sum(), n, 6000, (size**2).sum()) > 1000
+
+
 LICENSED = [
     (1, "x.\nReleased under the MIT License.\ny"), (2, "Licensed under the Apache License, Version 2.0."), (3, None), (4, ""),
     (5, "All rights reserved. Licensed under CC BY-NC 4.0!  All rights reserved."), (5, "no licence"),
