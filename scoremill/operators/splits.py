@@ -1,28 +1,32 @@
 """Seeded, stratified train/test split and cross-validation folds.
 
 Rows are put in the order of the md5 of their key and the seed; a split is then a set of cut-off
-hashes per label. Finding a cut-off takes one count per label and hash prefix, and a look inside the
-one prefix in which the cut falls. Both read the keys only and leave a few hashes on the driver.
+hashes per label. Cut-offs are found by refining prefixes: each pass counts the rows of every cut's cell by
+the next digits of their hash, for all labels and cuts at once, until a cell holds one hash. Passes read the
+keys only, shuffle counts, and leave a few prefixes on the driver; two or three do for any number of rows.
 Assigning rows then compares strings, so the rows themselves are never sorted or shuffled.
 
 Rows that share a key (one label joined to several feature rows) follow each other in the order of the
 md5 of their other columns, so shares are exact after such a join, too. With ``grouped`` they have one
 hash and stay on one side, whatever that does to the shares. Rows that are equal in every column are told
-apart, by numbering, only where a cut falls between them.
+apart only where a cut falls between them: they are stored, counted by partition and numbered where they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from scoremill.schemas import CUSTOMER, LABEL, LOAN
+from scoremill.session import materialise
 
 ROW_KEYS = (CUSTOMER, LOAN)
 LABEL_VALUES = (0, 1)
 PREFIX_DIGITS = 4
+#: Low bits of a row's generated id: its place in the partition.
+ID_BITS = 33
 
 
 def row_hash(keys: Sequence[str], seed: int, others: Sequence[str] = ()) -> Column:
@@ -113,7 +117,7 @@ def _block(
     hashed = df.withColumn("row_hash", row_hash(keys, seed, others))
     counted = hashed.filter(f"`{label}` IS NOT NULL AND {within}").select(label, "row_hash")
     # One row per label value and cut: a handful of hashes, put into the expression as literals.
-    found = _cut_offs(counted, label, targets).collect()
+    found = _cut_offs(counted, label, targets)
     unknown = {row[label] for row in found} - set(LABEL_VALUES)
     if unknown:
         raise ValueError(f"labels must be 0 or 1, found {sorted(unknown)}")
@@ -137,36 +141,86 @@ def _numbered(hashed: DataFrame, label: str, within: str, shared: Sequence) -> D
     """Number the rows that are equal to the last row before a cut; there are seldom any."""
     if not shared:
         return hashed
-    hashes = ", ".join(sorted({f"'{row['row_hash']}'" for row in shared}))
-    equal = f"`{label}` IS NOT NULL AND {within} AND row_hash IN ({hashes})"
-    order = Window.partitionBy(label, "row_hash").orderBy(F.lit(1))
-    there = hashed.filter(equal).withColumn("copy", F.row_number().over(order))
-    return hashed.filter(f"NOT coalesce({equal}, false)").withColumn("copy", F.lit(0)).unionByName(there)
-
-
-def _cut_offs(rows: DataFrame, label: str, targets: Sequence[str]) -> DataFrame:
+    parts, equal = [], []
+    for value, name in sorted({(row[label], row["row_hash"]) for row in shared}):
+        own = f"`{label}` <=> {value} AND {within} AND row_hash = '{name}'"
+        equal.append(f"({own})")
+        stored = materialise(hashed.filter(own), "equal-rows").withColumn("id", F.monotonically_increasing_id())
+        # Ids are the partition's number and the row's place in it: a row per partition says where it starts.
+        place = f"shiftright(id, {ID_BITS})"
+        sizes = stored.groupBy(F.expr(place).alias("part")).agg(F.count(F.lit(1)).alias("size"))
+        before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+        met = stored.join(F.broadcast(starts), F.expr(place) == F.col("part"))
+        copy = F.expr(f"CAST(start + (id & {(1 << ID_BITS) - 1}) + 1 AS INT)")
+        parts.append(met.select(*hashed.columns, copy.alias("copy")))
+    rest = hashed.filter(f"NOT coalesce({' OR '.join(equal)}, false)").withColumn("copy", F.lit(0))
+    for part in parts:
+        rest = rest.unionByName(part)
+    return rest
+
+
+def _cut_offs(rows: DataFrame, label: str, targets: Sequence[str]) -> list[dict]:
     """The last row before each cut: its hash, how many rows share it and how many of them are before.
+
+    ``open_`` maps the cells under refinement to their cuts: label and prefix to cut and rank within the cell.
     """
-    prefixed = rows.selectExpr("*", f"left(row_hash, {PREFIX_DIGITS}) AS prefix")
+    found: list[dict] = []
+    open_: dict[tuple, list[tuple[int, int]]] = {}
+    for row in _cells(rows, label, PREFIX_DIGITS, targets).collect():
+        _settle(row, label, found, open_)
+    digits = PREFIX_DIGITS
+    while open_:
+        digits += PREFIX_DIGITS
+        asked, open_ = open_, {}
+        for row in _refined(rows, label, digits, asked).collect():
+            _settle(row, label, found, open_)
+    return found
+
+
+def _settle(row: Row, label: str, found: list[dict], open_: dict) -> None:
+    if row["low"] == row["high"]:
+        found.append({label: row[label], "cut": row["cut"], "row_hash": row["low"], "copies": row["n_cell"],
+                      "rank": row["rank"]})
+    else:
+        open_.setdefault((row[label], row["prefix"]), []).append((row["cut"], row["rank"]))
+
+
+CELL = ["count(1) AS n_cell", "min(row_hash) AS low", "max(row_hash) AS high"]
+
+
+def _cells(rows: DataFrame, label: str, digits: int, targets: Sequence[str]) -> DataFrame:
+    """The cells of the first prefix that the cuts of each label fall in, with the cut's rank there."""
     # At most 16**PREFIX_DIGITS counts per label reach the windows, at any input size.
     of_label = Window.partitionBy(label)
     counts = (
-        prefixed.groupBy(label, "prefix")
-        .agg(F.expr("count(1) AS n_cell"))
+        rows.groupBy(label, F.expr(f"left(row_hash, {digits}) AS prefix"))
+        .agg(*map(F.expr, CELL))
         .withColumn("upto", F.sum("n_cell").over(of_label.orderBy("prefix")))
         .withColumn("n", F.sum("n_cell").over(of_label))
     )
-    cut_cells = (
-        counts.selectExpr("*", f"posexplode(array({', '.join(targets)})) AS (cut, target)")
-        .filter("target > upto - n_cell AND target <= upto")
-        .selectExpr(label, "prefix", "cut", "target - (upto - n_cell) AS rank")
+    wanted = counts.selectExpr("*", f"posexplode(array({', '.join(targets)})) AS (cut, target)")
+    return wanted.filter("target > upto - n_cell AND target <= upto").selectExpr(
+        label, "prefix", "cut", "target - (upto - n_cell) AS rank", "n_cell", "low", "high"
+    )
+
+
+def _refined(rows: DataFrame, label: str, digits: int, asked: dict[tuple, list[tuple[int, int]]]) -> DataFrame:
+    """The same for the cells asked for, by a longer prefix: one pass for all of them."""
+    cells = " OR ".join(f"(`{label}` <=> {value} AND startswith(row_hash, '{prefix}'))" for value, prefix in asked)
+    ranks = ", ".join(
+        f"struct({value} AS of_label, '{prefix}' AS of_prefix, {cut} AS cut, {rank}L AS wanted)"
+        for (value, prefix), cuts in asked.items()
+        for cut, rank in cuts
+    )
+    inside = Window.partitionBy(label, F.expr(f"left(prefix, {digits - PREFIX_DIGITS})")).orderBy("prefix")
+    counts = (
+        rows.filter(cells)
+        .groupBy(label, F.expr(f"left(row_hash, {digits}) AS prefix"))
+        .agg(*map(F.expr, CELL))
+        .withColumn("upto", F.sum("n_cell").over(inside))
     )
-    in_cell = Window.partitionBy(label, "cut").orderBy("row_hash")
-    return (
-        prefixed.join(F.broadcast(cut_cells), [label, "prefix"])
-        .groupBy(label, "cut", "rank", "row_hash")
-        .agg(F.expr("count(1) AS copies"))
-        .withColumn("upto", F.sum("copies").over(in_cell))
-        .filter("rank > upto - copies AND rank <= upto")
-        .selectExpr(label, "cut", "row_hash", "copies", "rank - (upto - copies) AS rank")
+    met = counts.selectExpr("*", f"inline(array({ranks}))").filter(
+        f"of_label <=> `{label}` AND startswith(prefix, of_prefix) AND wanted > upto - n_cell AND wanted <= upto"
     )
+    return met.selectExpr(label, "prefix", "cut", "wanted - (upto - n_cell) AS rank", "n_cell", "low", "high")
