@@ -94,9 +94,20 @@ def _by_key(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     return docs.join(keys, same, how)
 
 
+_holders: list[dict] = []
+
+
 def per_batch(kept: dict, make: Callable, *key):
-    """One object for each Python worker and key: models are loaded once, not for each batch."""
+    """One object for each Python worker and key: models are loaded once, not for each batch.
+
+    Workers outlive stages. What an earlier stage's module has loaded is dropped when another one's is made.
+    """
     if key not in kept:
+        for other in _holders:
+            if other is not kept:
+                other.clear()
+        if not any(other is kept for other in _holders):
+            _holders.append(kept)
         kept[key] = make(*key)
     return kept[key]
 

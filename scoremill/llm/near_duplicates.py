@@ -22,14 +22,14 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scoremill.llm.common import HashOfWord, matching, per_batch, shingle_set, table, without, word_hashes
-from scoremill.session import materialise
+from scoremill.session import discard, materialise
 
 TOKENS, TREES, SMALL, DEPTH = 128, 32, 12, 3
 #: Columns of the sketch, 64 bits each.
@@ -37,6 +37,8 @@ SKETCH = [f"s{k}" for k in range(TOKENS // 64)]
 SPREAD = 1_000_003
 #: Classes whose texts are fetched by a broadcast of their ids; beyond it the join is shuffled.
 BROADCAST_CLASSES = 200_000
+#: Texts that are Python objects at a time, and word hashes a worker keeps.
+TEXTS_AT_ONCE, WORDS_KEPT = 256, 100_000
 
 _loaded: dict = {}
 
@@ -72,29 +74,39 @@ def set_name(members: np.ndarray) -> bytes:
 
 
 def _known() -> HashOfWord:
-    return per_batch(_loaded, HashOfWord)
+    return per_batch(_loaded, HashOfWord, WORDS_KEPT)
 
 
 def describe(docs: DataFrame, size: int) -> DataFrame:
     """``doc_id, text_key, n_shingles, set_id, tokens, sketch`` of each document; no set without words."""
 
-    def describe_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def describe_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minwise = Minwise()
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
+        for part in _parts(batches):
+            counts, names, tokens, sketches = [], [], [], []
+            for text in part.column("text").to_pylist():
                 members = shingle_set(word_hashes(text, _known()), size)
-                if len(members):
-                    tokens = minwise(members)
-                    rows.append((len(members), set_name(members), tokens.view(np.int32), sketch(tokens)))
-                else:
-                    rows.append((0, None, None, None))
-            out = pd.DataFrame(rows, columns=["n_shingles", "set_id", "tokens", "sketch"])
-            yield pd.concat([batch[["doc_id", "text_key"]].reset_index(drop=True), out], axis=1)
+                lowest = minwise(members) if len(members) else None
+                counts.append(len(members))
+                names.append(set_name(members) if len(members) else None)
+                tokens.append(None if lowest is None else lowest.view(np.int32))
+                sketches.append(None if lowest is None else sketch(lowest))
+            columns = [*(part.column(k) for k in range(2)), pa.array(counts, pa.int64()), pa.array(names, pa.binary()),
+                       pa.array(tokens, pa.list_(pa.int32())), pa.array(sketches, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, DESCRIBED)
 
     schema = "doc_id long, text_key long, n_shingles long, set_id binary, tokens array<int>, sketch array<long>"
     named = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
-    return named.mapInPandas(describe_all, schema)
+    return named.mapInArrow(describe_all, schema)
+
+
+DESCRIBED = ["doc_id", "text_key", "n_shingles", "set_id", "tokens", "sketch"]
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            yield batch.slice(at, TEXTS_AT_ONCE)
 
 
 # Links
@@ -108,7 +120,11 @@ class Join:
         described = materialise(describe(docs, size), "shingles")
         self.members = described.select("doc_id", "text_key", "n_shingles", "set_id")
         classes = described.where(F.col("set_id").isNotNull()).groupBy("set_id")
-        classes = classes.agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"), *[F.first("sketch")[k].alias(s) for k, s in enumerate(SKETCH)])
+        one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
+        classes = classes.agg(
+            one.alias("one"), F.first("tokens").alias("tokens"), *[F.first("sketch")[k].alias(s) for k, s in enumerate(SKETCH)]
+        )
+        classes = classes.select("set_id", "one.doc_id", "one.text_key", "tokens", *SKETCH)
         # The ids are those of the written rows: a class has the same one in every later pass.
         self.classes = materialise(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
         self.tested = self.edges = self.spark.createDataFrame([], "a long, b long")
@@ -120,13 +136,16 @@ class Join:
 
     def run(self) -> DataFrame:
         """``set_id, component`` of classes with links; the component is a class number."""
-        rows = self.roots()
+        rows, spent = self.roots(), []
         for depth in range(1, DEPTH + 1):
-            nodes = self.grouped(rows)
-            self.link(self.first_pivots(nodes))
-            nodes = self.open_nodes(nodes)
+            members = self.grouped(rows)
+            discard(*spent)
+            self.link(self.first_pivots(members))
+            nodes = self.open_nodes(members)
+            discard(members)
             self.link(self.small_and_pivot_pairs(nodes))
             large = self.open_nodes(nodes.where(F.col("n") > SMALL))
+            discard(nodes)
             if large.isEmpty():
                 break
             if depth == DEPTH:
@@ -135,6 +154,7 @@ class Join:
                 self.link(self.rare_pairs(self.open_nodes(large), ranked))
             else:
                 rows = self.branches(large)
+                spent = [large, rows]
         return self.labels.join(self.classes.select("c", "set_id"), "c").select("set_id", F.col("label").alias("component"))
 
     def chance(self) -> float:
@@ -154,14 +174,18 @@ class Join:
         )
         rows = large.select("node", "c", *SKETCH).join(self.classes.select("c", "tokens"), "c")
         rows = rows.select("node", "c", *SKETCH, "tokens", F.explode(chosen).alias("i"))
-        return rows.select(F.expr("xxhash64(node, i, tokens[i])").alias("node"), "c", *SKETCH)
+        rows = rows.select(F.expr("xxhash64(node, i, tokens[i])").alias("node"), "c", *SKETCH)
+        return materialise(rows, "branches")  # read twice, and the join sends all tokens around
 
     def grouped(self, rows: DataFrame) -> DataFrame:
         """Rows of nodes with several classes, with the node's size and pivot."""
         nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("c").alias("pivot")).where(F.col("n") > 1)
         own = self.classes.select(F.col("c").alias("pivot"), *[F.col(s).alias(f"pivot_{s}") for s in SKETCH])
-        nodes = materialise(materialise(nodes, "nodes").join(own, "pivot"), "pivots")
-        return materialise(rows.join(nodes, "node"), "node-members")
+        counted = materialise(nodes, "nodes")
+        nodes = materialise(counted.join(own, "pivot"), "pivots")
+        members = materialise(rows.join(nodes, "node"), "node-members")
+        discard(counted, nodes)
+        return members
 
     def open_nodes(self, nodes: DataFrame) -> DataFrame:
         """Nodes that hold several components, with each class's component."""
@@ -171,7 +195,9 @@ class Join:
         placed = materialise(placed, "placed")
         several = placed.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         several = materialise(several.where(F.col("low") < F.col("high")).select("node"), "open-nodes")
-        return materialise(placed.join(several, "node"), "open-members")
+        members = materialise(placed.join(several, "node"), "open-members")
+        discard(placed, several)
+        return members
 
     # Pairs that may be linked
 
@@ -264,7 +290,8 @@ class Join:
         both = F.size(F.array_intersect("of_a", "of_b"))
         sizes = pairs.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), (F.size("of_a") + F.size("of_b")).alias("sum"))
         similar = sizes.where(100 * F.col("both") >= self.percent * (F.col("sum") - F.col("both")))
-        found = materialise(similar.select("a", "b").distinct(), "edges")
+        found = materialise(similar.select("a", "b"), "edges")
+        discard(*self.spent)
         if found.isEmpty():
             return
         self.edges = self.edges.unionByName(found)
@@ -272,25 +299,31 @@ class Join:
 
     def sets(self, wanted: DataFrame) -> DataFrame:
         """``c, members`` of classes, from the text of one document of each."""
-        wanted = wanted.join(self.classes.select("c", "set_id", F.col("doc_id").alias("_d")), "c")
-        wanted = materialise(wanted, "wanted")
-        if wanted.count() <= BROADCAST_CLASSES:
-            wanted = F.broadcast(wanted)
+        keys = self.classes.select("c", "set_id", F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"))
+        wanted = materialise(wanted.join(keys, "c"), "wanted")
+        n_wanted = wanted.count()
+        named = F.broadcast(wanted) if n_wanted <= BROADCAST_CLASSES else wanted
         texts = self.docs.select(F.col("doc_id").cast("long"), "text")
-        texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d"))).select("c", "set_id", "text")
+        same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_k"))
+        texts = texts.join(named, same).select("c", "set_id", "text")
         size = self.size
 
-        def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                rows = []
-                for c, name, text in zip(batch["c"], batch["set_id"], batch["text"], strict=True):
+        def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in _parts(batches):
+                keys, sets = [], []
+                for c, name, text in zip(*(column.to_pylist() for column in part.columns), strict=True):
                     found = shingle_set(word_hashes(text, _known()), size)
-                    if len(found) and set_name(found) == bytes(name):  # another row may have the same id
-                        rows.append((c, found.view(np.int64)))
-                yield pd.DataFrame(rows, columns=["c", "members"])
+                    if len(found) and set_name(found) == name:  # another text may have the same key
+                        keys.append(c)
+                        sets.append(found.view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["c", "members"]
+                )
 
-        made = texts.mapInPandas(members, "c long, members array<long>")
-        return materialise(made, "sets").dropDuplicates(["c"])
+        made = materialise(texts.mapInArrow(members, "c long, members array<long>"), "sets")
+        self.spent = [made, wanted]
+        # Only rows that repeat an id and a text make a set twice.
+        return made if made.count() == n_wanted else made.dropDuplicates(["c"])
 
 
 def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -321,30 +354,40 @@ def find(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     linked with nothing and kept. Rows that repeat an id are judged each; a null id is never the smallest
     unless there is no other. Other columns are ignored.
     """
+    placed = _placed(docs, size, percent).drop("component")
+    return placed.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _placed(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id, text_key, n_shingles, component_id, component``; the last one is a number, null without words."""
     join = Join(docs.select("doc_id", "text"), size, percent)
     linked = materialise(join.run(), "linked")
     by_class = join.classes.select("set_id", "doc_id", "c").join(linked, "set_id", "left")
     by_class = materialise(by_class.select("set_id", "doc_id", F.coalesce("component", "c").alias("component")), "by-class")
     lowest = by_class.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     lowest = materialise(lowest, "components")
-    by_class = by_class.select("set_id", "component").join(lowest, "component").select("set_id", "component_id")
+    by_class = by_class.select("set_id", "component").join(lowest, "component").select("set_id", "component_id", "component")
     by_class = materialise(by_class, "class-components")
+    columns = ["doc_id", "text_key", "n_shingles", "component_id", "component"]
     alone = join.members.where(F.col("set_id").isNull())
-    alone = alone.select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = alone.withColumns({"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")})
     placed = join.members.where(F.col("set_id").isNotNull()).join(by_class, "set_id")
-    placed = placed.select("doc_id", "text_key", "n_shingles", "component_id").unionByName(alone)
-    return placed.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return placed.select(*columns).unionByName(alone.select(*columns))
 
 
 def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component: the one of the smallest id, one row of it.
+    """``docs`` with one row of each component: that of the smallest id, of equal ids that of the smallest text hash.
 
-    Documents without words all stay, and so do those of a component without any id.
+    A null id counts as larger than any other. Documents without words all stay.
     """
-    found = materialise(find(docs, size, percent), "found")
-    repeated = found.where("kept AND n_shingles > 0").groupBy("doc_id", "text_key").count().where("count > 1")
+    found = materialise(_placed(docs, size, percent).where(F.col("component").isNotNull()), "found")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    chosen = found.groupBy(F.col("component").alias("of")).agg(F.min(order).alias("chosen"))
+    found = found.join(chosen, F.col("component") == F.col("of"))
+    found = materialise(found.select("doc_id", "text_key", order.eqNullSafe(F.col("chosen")).alias("stays")), "chosen")
+    repeated = found.where("stays").groupBy("doc_id", "text_key").count().where("count > 1")
     repeated = materialise(repeated.select("doc_id", "text_key"), "repeated")
-    kept = without(docs, found.where("NOT kept").select("doc_id", "text_key").distinct())
+    kept = without(docs, found.where("NOT stays").select("doc_id", "text_key").distinct())
     if repeated.isEmpty():
         return kept
     again = matching(kept, repeated).dropDuplicates(["doc_id", "text"])
@@ -352,5 +395,6 @@ def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all ``documents`` by 4-word shingles; nulls, repeats and empty tables as in ``find``."""
     found = find(table(spark, sf_dir, "documents"), size=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")

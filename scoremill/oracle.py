@@ -693,3 +693,4 @@ FROM fs WHERE snapshot_date = DATE '2001-06-01'""",
 }
 ORACLE["psi_history_sink"] = f"""SELECT 'model_2001_06_01' AS model_name, snapshot_date, baseline_date,
   feature AS feature_name, psi_value, psi_status FROM ({ORACLE["psi_history_upsert"]})"""
+ORACLE["psi_incremental"] = ORACLE["psi_features"]

@@ -19,6 +19,7 @@ from scoremill.operators import (
     boosting,
     density,
     drift,
+    drift_state,
     expressions,
     learners,
     logistic,
@@ -297,6 +298,19 @@ def psi_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(drift.psi_total(drift.psi_buckets(*sides)))
 
 
+@query
+def psi_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift of all features from a state that was built of most months at once and then month by month."""
+    root = run_folder(spark, "drift-state")
+    store = materialise(testdata.feature_store(spark, sf_dir), "store")
+    days = sorted(row[0] for row in store.select(SNAPSHOT).distinct().collect())
+    late = [day for day in days if day in (BASELINE_DATE, RUN_DATE)]
+    for some in ([day for day in days if day not in late], *([day] for day in reversed(late))):
+        drift_state.update_state(store, root, some, testdata.FEATURES)
+    terms = drift_state.psi_from_state(drift_state.read_state(spark, root), RUN_DATE)
+    return rounded(drift.psi_total(terms))
+
+
 @query
 def psi_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(drift.psi_history(testdata.feature_store(spark, sf_dir)))
