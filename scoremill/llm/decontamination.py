@@ -1,14 +1,15 @@
 """Benchmark questions in documents, also with other numbers, names and units in them.
 
-Texts become templates: numbers, units behind a number, and capitalised words inside a sentence turn
-into typed placeholders, the rest into lower-case words without punctuation. Runs of ``WINDOW`` template
+Texts become templates: numbers, units behind a number, and capitalised words turn into typed placeholders,
+wherever they stand, the rest into lower-case words without punctuation. Runs of ``WINDOW`` template
 words are hashed and joined with those of the benchmark. Where a matched run holds placeholders, the
 document's values are laid beside the item's along the same alignment: where one value of the item stands
 for two in the document, the runs that hold it don't count. Scripts without spaces are cut into characters.
 
-An item is found in a document when ``SHARE`` of its runs are. Items without a run of enough literal words are
-looked for as they stand, by runs of their words, values and arithmetic signs, and found when all of these are. Only built-in functions are used. The
-benchmark's runs are broadcast if there are at most ``BROADCAST_ROWS`` of them, else the join is shuffled.
+An item is found in a document when ``SHARE`` of its runs are. Items of one run at most, or without a run of enough
+literal words, are looked for as they stand, too, by runs of their lower-case words, values and arithmetic signs, and
+found when all of these are. A document's words are made once for templates and, if there are such items, once as
+they stand; runs of all lengths come from them in one pass. Only built-in functions are used. The benchmark's runs are broadcast if there are at most ``BROADCAST_ROWS`` of them, else the join is shuffled.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ WINDOW = 8
 #: Items of fewer words have no templates: so few words occur anywhere.
 SHORTEST = 5
 #: Words, values and signs of an item that is looked for as it stands, at least.
-SHORTEST_EXACT = 3
+SHORTEST_EXACT = 1
 #: Words in a run that are no placeholders, at least.
 LITERALS = 4
 SHARE = 0.3
@@ -81,7 +82,7 @@ def template(text: Column, values: bool = False) -> Column:
     """Template words of a text; with ``values`` each placeholder is followed by what it replaced."""
     kept = "$0" if values else ""
     out = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{MARKS}{POINT}]+", " ")
-    out = F.regexp_replace(out, r"(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{Ll}+(?!\p{L})", NAME + kept)
+    out = F.regexp_replace(out, r"(?<!\p{L})\p{Lu}\p{Ll}+(?!\p{L})", NAME + kept)
     out = F.lower(out)
     out = F.regexp_replace(out, r"(?<=\p{N})[.,:/](?=\p{N})", POINT)
     out = F.regexp_replace(out, rf"\p{{N}}[\p{{N}}{POINT}]*", f" {NUMBER}{kept} ")
@@ -140,11 +141,14 @@ def benchmark_runs(benchmark: DataFrame) -> DataFrame:
     items = materialise(items.distinct(), "items")
     runs = _own_runs(items, "_w", SHORTEST, False)
     runs = runs.where(F.col("size") - F.col("slots") >= F.least(F.lit(LITERALS), F.col("size")))
-    templates = runs.select(F.col("item_id").alias("_i"), F.col("item_key").alias("_k")).distinct()
+    templates = runs.where(F.col("size") == WINDOW).groupBy(F.col("item_id").alias("_i"), F.col("item_key").alias("_k"))
+    several = templates.count().where("count > 1")
     same = F.col("item_id").eqNullSafe(F.col("_i")) & (F.col("item_key") == F.col("_k"))
-    runs = runs.unionByName(_own_runs(items.join(templates, same, "left_anti"), "_e", SHORTEST_EXACT, True))
-    counts = runs.groupBy(F.col("item_id").alias("_i"), F.col("item_key").alias("_k")).agg(F.countDistinct("run").alias("n_runs"))
-    return materialise(runs.join(counts, same).drop("_i", "_k"), "benchmark")
+    runs = runs.unionByName(_own_runs(items.join(several, same, "left_anti"), "_e", SHORTEST_EXACT, True))
+    counts = runs.groupBy(F.col("item_id").alias("_i"), F.col("item_key").alias("_k"), F.col("exact").alias("_x"))
+    counts = counts.agg(F.countDistinct("run").alias("n_runs"))
+    runs = runs.join(counts, same & (F.col("exact") == F.col("_x"))).drop("_i", "_k", "_x")
+    return materialise(runs, "benchmark")
 
 
 def matched_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
@@ -152,11 +156,20 @@ def matched_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
     shapes = [(r["exact"], r["size"]) for r in runs.select("exact", "size").distinct().collect()]  # a handful
     small = runs.count() <= BROADCAST_ROWS
     found = None
-    for exact, size in sorted(shapes) or [(False, WINDOW)]:
+    for exact in sorted({exact for exact, _ in shapes} or {False}):
+        sizes = sorted(size for kind, size in shapes if kind == exact) or [WINDOW]
         words = docs.select("doc_id", _key(docs), (exact_words if exact else template)(F.col("text")).alias("_w"))
-        placed = words.select("doc_id", "text_key", F.posexplode(_runs("_w", size)).alias("at", "run"))
-        wanted = runs.where((F.col("exact") == exact) & (F.col("size") == size))
-        joined = placed.join(F.broadcast(wanted) if small else wanted, "run")
+        if len(sizes) == 1:
+            placed = words.select("doc_id", "text_key", F.posexplode(_runs("_w", sizes[0])).alias("at", "run"))
+            placed = placed.withColumn("_size", F.lit(sizes[0]))
+        else:
+            each = [F.struct(F.lit(size).alias("_size"), _runs("_w", size).alias("_runs")) for size in sizes]
+            placed = words.select("doc_id", "text_key", F.inline(F.array(*each)))
+            placed = placed.select("doc_id", "text_key", "_size", F.posexplode("_runs").alias("at", "run"))
+        wanted = runs.where(F.col("exact") == exact)
+        wanted = F.broadcast(wanted) if small else wanted
+        joined = placed.join(wanted, (placed["run"] == wanted["run"]) & (F.col("_size") == F.col("size")))
+        joined = joined.drop("_size").drop(placed["run"])
         found = joined if found is None else found.unionByName(joined)
     return found
 
@@ -213,7 +226,10 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     good = found.join(bad, same & holds & (F.col("slots") > 0), "left_anti")
     each = good.groupBy("doc_id", "text_key", "item_id", "item_key", "exact", "n_runs").agg(F.countDistinct("run").alias("n_found"))
     each = each.where(F.col("n_found") >= F.when(F.col("exact"), 1.0).otherwise(SHARE) * F.col("n_runs"))
-    return each.select("doc_id", "text_key", "item_id", "n_found", "n_runs")
+    # An item found both ways is one row, with the larger share.
+    best = F.max(F.struct(F.col("n_found") / F.col("n_runs"), "n_found", "n_runs")).alias("best")
+    each = each.groupBy("doc_id", "text_key", "item_id", "item_key").agg(best)
+    return each.select("doc_id", "text_key", "item_id", "best.n_found", "best.n_runs")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -222,5 +238,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of ``benchmark`` found in all ``documents``; nulls, repeats and empty tables as in ``find``."""
     found = find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_found", "n_runs").distinct()

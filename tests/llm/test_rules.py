@@ -191,11 +191,12 @@ def test_finds_copies_and_other_values(docs, items, prose):
     ]
     found = {(r["doc_id"], r["item_id"]) for r in D.find(docs(rows), items).collect()}
     assert {(1, 1), (2, 1), (4, 2), (8, 6), (9, None), (None, 2), (11, 2)} <= found
-    assert not {d for d, _ in found} & {5, 6, 7, 10}
+    assert (10, 5) in found
+    assert not {d for d, _ in found} & {5, 6, 7}
     share = {r["doc_id"]: r["n_found"] for r in D.find(docs(rows), items).where("item_id = 1").collect()}
     assert share.get(3, 0) < share[2]
     kept = [r["doc_id"] for r in D.decontaminate(docs(rows), items).collect()]
-    assert {5, 6, 7, 10} <= set(kept) and not {1, 2, 4, 8, 9, 11, None} & set(kept)
+    assert {5, 6, 7} <= set(kept) and not {1, 2, 4, 8, 9, 10, 11, None} & set(kept)
 
 
 def test_joins_beyond_the_broadcast_bound(docs, items, monkeypatch):
@@ -238,3 +239,35 @@ def test_slots_are_refused_one_by_one(spark, docs, prose):
     runs = D.benchmark_runs(benchmark).where("item_id = 3")
     held = runs.where("place <= 5").count()
     assert whole[4] == (whole[4][1] - held, runs.select("run").distinct().count())
+
+
+SHORT = ["What is the largest planet in the system", "Compute the sum of all odd numbers", "Why now",
+         "Name the capital city of France", "Paris is the capital of France", "Zugzwang"]
+SETTINGS = ["{}", "some prose here {} and so on", "as said, {}; then more", "First. {}. Last", "x\n{}\ny"]
+
+
+def test_items_of_any_length_are_found_in_any_setting(spark, docs, prose):
+    """Against a plain search for the item's words, one to twenty of them, as they stand and in capitals."""
+    items = [*SHORT, *(" ".join(prose(50 + n, n).split()) for n in range(1, 21)),
+             *("The " + prose(90 + n, n).capitalize() for n in range(2, 9))]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts, expected = [], set()
+    for i, item in enumerate(items):
+        for k, setting in enumerate(SETTINGS):
+            texts.append((100 * i + k, setting.format(item)))
+            expected.add((100 * i + k, i))
+            if len(item.split()) <= D.WINDOW:
+                texts.append((100 * i + 50 + k, setting.format(item.upper())))
+                expected.add((100 * i + 50 + k, i))
+    letters = np.random.default_rng(7)
+    clean = [" ".join("".join(letters.choice(list("abcdefgh"), 5)) for _ in range(60)) for _ in range(20)]
+    texts += [(9000 + i, text) for i, text in enumerate(clean)]
+    found = {(r["doc_id"], r["item_id"]) for r in D.find(docs(texts), benchmark).collect()}
+    assert expected <= found
+    # What else is found holds the words of a shorter item, or another value in the same template.
+    words = {d: t.lower().replace(".", " ").replace(",", " ").replace(";", " ").split() for d, t in texts}
+    for d, i in found - expected:
+        item = items[i].lower().split()
+        runs = [words[d][a : a + len(item)] for a in range(len(words[d]))]
+        assert item in runs or 2 * len(item) >= D.SHORTEST, (d, i)  # a word with a number in it is two
+    assert not {d for d, _ in found if d >= 9000}
