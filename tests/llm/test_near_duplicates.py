@@ -85,3 +85,36 @@ def test_minwise_tokens_agree_as_sets_do():
     share = (minwise(a) == minwise(b)).mean()
     assert share == pytest.approx(1600 / 2400, abs=0.15)
     assert N.sketch(minwise(a)).shape == (N.TOKENS // 64,)
+
+
+def test_one_row_of_a_group_stays_whatever_its_ids(docs, prose):
+    rows = [(5, prose(1)), (5, prose(1) + " tail"), (None, prose(2)), (None, prose(2) + " tail"), (None, None)]
+    kept = N.deduplicate(docs(rows)).collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == ["5", "None", "None"]
+    assert sum(r["text"] is None for r in kept) == 1
+
+
+def test_many_texts_of_one_id_are_read_once(spark, docs, prose, monkeypatch):
+    """Sets are made from the text of a class, not from all texts of its id."""
+    rows = [(7, prose(i, 40)) for i in range(200)] + [(7, prose(i, 40) + " tail") for i in range(200)]
+    made = []
+
+    def counted(join, wanted, sets=N.Join.sets):
+        found = sets(join, wanted)
+        made.append((found.count(), wanted.count()))
+        return found
+
+    monkeypatch.setattr(N.Join, "sets", counted)
+    out = N.find(docs(rows), 5, 80).collect()
+    assert {r["component_id"] for r in out} == {7} and len(out) == 400
+    assert made and all(sets == wanted for sets, wanted in made)
+
+
+def test_recall_over_the_given_documents(spark, data):
+    """All similar pairs of ids divisible by 20 with any document are in one component."""
+    rows = [tuple(r) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()]
+    component = {r["doc_id"]: r["component_id"] for r in N.op10_near_duplicates(spark, data).collect()}
+    sets = {key: shingles(text, 4) for key, text in rows}
+    pairs = [(a, b) for a in sets if a % 20 == 0 for b in sets
+             if a != b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert pairs and all(component[a] == component[b] for a, b in pairs)
