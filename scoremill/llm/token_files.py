@@ -109,58 +109,55 @@ class WordwiseTokenizer:
         """Ids of each text, packed; null is the empty text."""
         split = [text.split(" ") if text else [""] for text in texts]
         starts = [parts.pop(0) for parts in split]
-        found = [list(map(self.known.get, parts)) for parts in split]
-        gaps = [[i for i, ids in enumerate(packed) if ids is None] for packed in found]
-        new = {parts[i] for parts, own in zip(split, gaps, strict=True) for i in own}
+        new = set().union(*split).difference(self.known)
         if new:
             if len(self.known) + len(new) > self.limit:
                 self.known.clear()
-            self._learn(list(new))
-            for parts, packed, own in zip(split, found, gaps, strict=True):
-                for i in own:
-                    packed[i] = self.known[parts[i]]
-        out = []
-        for text, start, first, packed in zip(texts, starts, self._whole(starts), found, strict=True):
+                new = set().union(*split)
+            self._learn(new)
+        known, out = self.known.__getitem__, []
+        for text, start, first, parts in zip(texts, starts, self._whole(starts), split, strict=True):
             try:
-                rest = b"".join(packed)
+                rest = b"".join(map(known, parts))
             except TypeError:  # an unsafe word stands as a str
                 rest = None
-            if packed and (rest is None or not start or start[-1].isspace()):
+            if parts and (rest is None or not start or start[-1].isspace()):
                 out += self._whole([text])
             else:
                 out.append(first + rest)
         return out
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: set[str]) -> None:
         """Encode words as one text; ids that begin with a space tell where each of them starts.
 
         Punctuation behind letters starts a token, so it is encoded apart: fewer words are new then.
         """
-        plain, cut = set(), []
-        for word in new:
+        known = self.known
+        safe, cut = [word for word in new if word.isalpha()], []
+        stems = set(safe)
+        for word in new.difference(stems):
             letters = word.rstrip(PUNCTUATION)
-            if len(letters) < len(word) and letters.isalpha():
+            if letters.isalpha():
                 cut.append((word, letters, word[len(letters) :]))
-                if letters not in self.known:
-                    plain.add(letters)
             elif word and not word[0].isspace() and not word[-1].isspace():
-                plain.add(word)
+                safe.append(word)
             else:
-                self.known[word] = UNSAFE
-        safe = list(plain)
+                known[word] = UNSAFE
+        safe += {letters for _, letters, _ in cut}.difference(stems, known)
+        size = self.kind.itemsize
         for at in range(0, len(safe), 2_000):
             some = safe[at : at + 2_000]
-            ids = np.frombuffer(self._whole([" " + " ".join(some)])[0], self.kind)
-            borders = np.flatnonzero(self.after_space[ids])
+            raw = self._whole([" " + " ".join(some)])[0]
+            borders = np.flatnonzero(self.after_space[np.frombuffer(raw, self.kind)]) * size
             if len(borders) == len(some):
-                found = [ids[a:b].tobytes() for a, b in zip(borders, [*borders[1:], None], strict=True)]
+                ends = borders.tolist()
+                found = [raw[a:b] for a, b in zip(ends, [*ends[1:], len(raw)], strict=True)]
             else:  # a special token among them took a space
                 found = self._whole([f" {w}" for w in some])
-            self.known.update(zip(some, found, strict=True))
+            known.update(zip(some, found, strict=True))
         tails = {tail for _, _, tail in cut} - self.tails.keys()
         self.tails.update(zip(tails, self._whole(list(tails)), strict=True))
-        for word, letters, tail in cut:
-            self.known[word] = self.known[letters] + self.tails[tail]
+        known.update((word, known[letters] + self.tails[tail]) for word, letters, tail in cut)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
