@@ -3,24 +3,26 @@
 Windows of ``LENGTH`` bytes pass filters of several widths; the strongest response of each filter in the
 window goes to a softmax over languages. A text's probabilities are the mean over all its windows.
 
-Training uses a bounded sample: about ``PER_LANGUAGE`` texts of each language, chosen by a hash of their
-id, of each at most the first ``SAMPLE_CHARS`` characters. Prediction reads every text whole. There, the
-embedding is folded into the filters, and neighbouring bytes are looked up as pairs.
+Training uses a bounded sample: at most ``PER_LANGUAGE`` rows of each language, chosen by a hash of id and
+text, and of each ``WINDOWS_PER_TEXT`` windows from anywhere in the text. Prediction reads every text whole.
+There, the embedding is folded into the filters, and neighbouring bytes are looked up as pairs.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from scoremill.llm.common import fold, per_batch, table
 
 LENGTH, EMBEDDED, FILTERS, WIDTHS = 128, 8, 16, (2, 3, 4)
-PER_LANGUAGE, SAMPLE_CHARS, WINDOWS_PER_TEXT = 500, 6_000, 8
+PER_LANGUAGE, WINDOWS_PER_TEXT = 500, 8
 EPOCHS, BATCH, RATE = 10, 64, 0.01
 UNKNOWN = "und"
 #: Windows that are looked up at a time.
@@ -50,17 +52,22 @@ def windows(text: str) -> np.ndarray:
 
 def train(texts: list[str], languages: list[str], seed: int = 7) -> Model | None:
     """A network fitted by Adam on windows of the texts; none without texts."""
+    return train_on_windows([drawn_windows(text) for text in texts], languages, seed)
+
+
+def drawn_windows(text: str) -> np.ndarray:
+    """Some windows of a text, from anywhere in it; the same ones each time."""
+    own = windows(text)
+    return own[np.random.default_rng(zlib.crc32(text.encode())).permutation(len(own))[:WINDOWS_PER_TEXT]]
+
+
+def train_on_windows(drawn: list[np.ndarray], languages: list[str], seed: int = 7) -> Model | None:
     names = tuple(sorted(set(languages)))
     if not names:
         return None
     random = np.random.default_rng(seed)
-    rows, marks = [], []
-    for text, language in zip(texts, languages, strict=True):
-        own = windows(text)
-        own = own[random.permutation(len(own))[:WINDOWS_PER_TEXT]]
-        rows.append(own)
-        marks += [names.index(language)] * len(own)
-    inputs, marks = np.concatenate(rows), np.array(marks)
+    marks = np.repeat([names.index(language) for language in languages], [len(own) for own in drawn])
+    inputs = np.concatenate(drawn)
     draw = lambda *shape: random.normal(0, shape[0] ** -0.5, shape).astype(np.float32)
     params = [random.normal(0, 1, (256, EMBEDDED)).astype(np.float32)]
     params += [draw(width * EMBEDDED, FILTERS) for width in WIDTHS]
@@ -179,20 +186,29 @@ class Network:
 
 
 def learn(docs: DataFrame, held_out_fold: int = 2, folds: int = 4) -> Model | None:
-    """Train on ``docs (doc_id, text, lang)`` with a language and a text, but for the held-out fold."""
+    """Train on ``docs (doc_id, text, lang)`` with a language and a text, but for the held-out fold.
+
+    Of each language at most ``PER_LANGUAGE`` rows are taken, by a hash of id and text, and of each text some windows
+    from anywhere in it. Rows equal in id, text and language are one; a null id is in no fold and left out.
+    """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", folds) != held_out_fold))
-    counts = dict(usable.groupBy("lang").count().collect())  # as many rows as languages
-    if not counts:
-        return None
-    spread = 1 << 30
-    share = F.when(F.lit(False), 0)
-    for language, count in counts.items():
-        share = share.when(F.col("lang") == language, int(min(1, PER_LANGUAGE / count) * spread))
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(spread)).alias("chance")
-    rows = usable.where(chance < share)
-    rows = rows.select("lang", chance, "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
-    rows = sorted(rows, key=lambda r: (r["chance"], r["doc_id"], r["lang"], r["text"]))
-    return train([r["text"] for r in rows], [r["lang"] for r in rows])
+    key = F.xxhash64("text").alias("_key")
+    rows = usable.select("lang", "doc_id", key).distinct()
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "_key"), "doc_id", "_key")
+    chosen = rows.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= PER_LANGUAGE)
+    chosen = chosen.select(F.col("lang").alias("_lang"), F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), "_place")
+    same = (usable["lang"] == F.col("_lang")) & (usable["doc_id"] == F.col("_id")) & (F.xxhash64(usable["text"]) == F.col("_k"))
+
+    @F.pandas_udf("binary")
+    def drawn(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: drawn_windows(text).tobytes())
+
+    # At most PER_LANGUAGE rows of each language, a kilobyte of windows each.
+    found = usable.join(F.broadcast(chosen), same).select("lang", "_place", "doc_id", drawn("text").alias("own")).distinct()
+    kept = sorted(found.collect(), key=lambda r: (r["lang"], r["_place"], r["doc_id"], bytes(r["own"])))
+    return train_on_windows(
+        [np.frombuffer(r["own"], np.uint8).reshape(-1, LENGTH) for r in kept], [r["lang"] for r in kept]
+    )
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -224,6 +240,7 @@ def filter_documents(docs: DataFrame, model: Model | None, least: float = 0.4) -
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all ``documents``; nulls, repeats and empty tables as in ``learn`` and ``predict``."""
     docs = table(spark, sf_dir, "documents")
     model = learn(docs.select("doc_id", "text", "lang"))
     held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out")

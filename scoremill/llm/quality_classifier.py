@@ -6,8 +6,8 @@ difference grows like that), becomes a probability by a logistic curve fitted to
 neither dictionary has seen. The curve also knows how far the good dictionary shortens the text: both
 dictionaries shorten endless repetition alike, so their difference alone says little about it.
 
-Fitting uses a bounded sample: about ``PER_LABEL`` texts of each label, chosen by a hash of their id, of
-each at most the first ``SAMPLE_CHARS`` characters. Scoring uses every text whole.
+Fitting uses a bounded sample: at most ``PER_LABEL`` rows of each label, chosen by a hash of id and text, each
+text whole. Scoring uses every text whole.
 """
 
 from __future__ import annotations
@@ -20,11 +20,11 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from scoremill.llm.common import fold, per_batch, table
 
 PER_LABEL = 2_400
-SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
 #: Added to the length, so that the difference counts less in very short texts.
@@ -107,23 +107,24 @@ def fit(texts: list[str], labels: list[int]) -> Model | float:
 
 
 def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int = 0, folds: int = 5) -> Model | float:
-    """Fit on rows of ``docs (doc_id, text)`` with a label 0 or 1, but for those of the held-out fold."""
+    """Fit on rows of ``docs (doc_id, text)`` with a label 0 or 1, but for those of the held-out fold.
+
+    Rows without a text play no part. An id with both labels gives a row of each; rows equal in id, text and label
+    are one. Ties of the hash go by id and label, so the choice is the same in every run.
+    """
     usable = labels.where(F.col("quality").isin(0, 1) & (fold("doc_id", folds) != held_out_fold))
     usable = usable.select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_label"))
-    counts = dict(usable.groupBy("_label").count().collect())  # two rows
-    spread = 1 << 30
-    chance = F.pmod(F.xxhash64("_id"), F.lit(spread))
-    share = F.when(F.lit(False), 0)
-    for label, count in counts.items():
-        share = share.when(F.col("_label") == label, int(min(1, PER_LABEL / count) * spread))
+    keys = docs.where(F.col("text") != "").select("doc_id", F.xxhash64("text").alias("_key"))
+    rows = keys.join(usable, F.col("doc_id") == F.col("_id")).select("_id", "_key", "_label")
+    counts = dict(rows.groupBy("_label").count().collect())  # two rows
     if not counts:
         return 0.5
-    # About 2 * PER_LABEL ids, whatever the size of the tables.
-    chosen = F.broadcast(usable.where(chance < share).withColumn("_chance", chance))
-    rows = docs.join(chosen, docs["doc_id"] == chosen["_id"]).where(F.col("text") != "")
-    rows = rows.select("_label", "_chance", "_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    got = sorted(rows.collect(), key=lambda r: (r["_chance"], r["_id"], r["text"]))
-    kept = [r for label in (0, 1) for r in [x for x in got if x["_label"] == label][:PER_LABEL]]
+    order = Window.partitionBy("_label").orderBy(F.xxhash64("_id", "_key"), "_id", "_key")
+    chosen = rows.distinct().withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= PER_LABEL)
+    # 2 * PER_LABEL keys at most, and as many texts.
+    same = (docs["doc_id"] == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key"))
+    texts = docs.join(F.broadcast(chosen), same).select("_label", "_place", "_id", "text").distinct()
+    kept = sorted(texts.collect(), key=lambda r: (r["_label"], r["_place"], r["text"]))
     model = fit([r["text"] for r in kept], [r["_label"] for r in kept])
     if isinstance(model, float):
         return model
@@ -134,7 +135,10 @@ def learn(docs: DataFrame, labels: DataFrame, held_out_fold: int = 0, folds: int
 
 
 def score(docs: DataFrame, model: Model | float, text: str = "text") -> DataFrame:
-    """``docs`` with ``score``: the probability of label 1. Null and empty texts are scored too."""
+    """``docs`` with ``score``: the probability of label 1.
+
+    Null and empty texts are scored alike, repeated rows each; a ``score`` column is replaced, others stay.
+    """
     if isinstance(model, float):
         return docs.withColumn("score", F.lit(model))
 
@@ -148,6 +152,7 @@ def score(docs: DataFrame, model: Model | float, text: str = "text") -> DataFram
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all ``documents`` by what ``labels`` mark; nulls, repeats and empty tables as in ``learn``, ``score``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = learn(docs, table(spark, sf_dir, "labels"))
     held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out")
