@@ -104,8 +104,83 @@ for _kind, _id in (("attribution", "ccby"), ("attribution sharealike", "ccbysa")
         for _short in ("", f" {'cc by' + (_id[4:] and ' ' + _id[4:])} 4 0")
     }
 
-#: Rules of identifiers that only ``FULL_SENTENCES`` has, tried after ``RULES``.
-FULL_RULES = [("GPL-3.0", ["gpl_terms", "gpl3_either"]), ("GPL-2.0", ["gpl_terms", "gpl2_either"])]
+#: The other GNU licences as (name, licence, identifier, version, date of its title).
+GNU = [
+    ("lesser", "LGPL-3.0", "lgpl", "3", "29 june 2007"),
+    ("lesser", "LGPL-2.1", "lgpl", "2 1", "february 1999"),
+    ("affero", "AGPL-3.0", "agpl", "3", "19 november 2007"),
+]
+_gnu_rules = []
+for _name, _licence, _id, _n, _date in GNU:
+    _title = f"gnu {_name} general public license"
+    _terms = f"you can redistribute it and or modify it under the terms of the {_title}"
+    _by = "as published by the free software foundation"
+    _later = f"either version {_n} of the license or at your option any later version"
+    _whole, _either = f"{_id}{_n.replace(' ', '')}_under", f"gpl{_n.replace(' ', '')}_either"
+    FULL_SENTENCES |= {
+        f"{_title} version {_n} {_date}": _whole,
+        f"licensed under the {_title} version {_n}": _whole,
+        f"{_terms} {_by}": f"{_id}_terms",
+        f"{_terms} {_by} {_later}": _whole,
+        f"{_terms} {_by} version {_n} of the license": _whole,
+        f"{_terms} {_by} version {_n}": _whole,
+        _later: _either,
+        f"version {_n} of the license": _either,
+    }
+    _gnu_rules += [(_licence, [f"{_id}_terms", _either]), (_licence, [_whole])]
+
+#: Sentences of further licences, each of which names its licence alone or with the next one.
+FULL_SENTENCES |= {
+    "mozilla public license version 2 0": "mpl_under",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl_under",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+    "provided that the above copyright notice and this permission notice appear in all copies": "isc_grant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted "
+    "provided that the above copyright notice and this permission notice appear in all copies": "isc_grant",
+    "cc0 1 0 universal": "cc0_under",
+    "creative commons legal code cc0 1 0 universal": "cc0_under",
+    "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to "
+    "this software to the public domain worldwide": "cc0_under",
+    "this software is provided as is without any express or implied warranty": "zlib_as_is",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter "
+    "it and redistribute it freely subject to the following restrictions": "zlib_grant",
+    "eclipse public license v 2 0": "epl_under",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 "
+    "which is available at https www eclipse org legal epl 2 0": "epl_under",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v2 0 "
+    "which accompanies this distribution": "epl_under",
+    "boost software license version 1 0 august 17th 2003": "boost_under",
+    "distributed under the boost software license version 1 0": "boost_under",
+    "licensed under the mozilla public license version 2 0": "mpl_under",
+    "licensed under the isc license": "isc_grant",
+}
+
+#: Short names of licences in identifier lines, beside the licence that rules call them by.
+SPDX = {
+    "MIT": "MIT", "Apache-2.0": "Apache-2.0", "BSD-2-Clause": "BSD-2-Clause", "BSD-3-Clause": "BSD-3-Clause",
+    "MPL-2.0": "MPL-2.0", "ISC": "ISC", "CC0-1.0": "CC0-1.0", "Zlib": "Zlib", "EPL-2.0": "EPL-2.0", "BSL-1.0": "BSL-1.0",
+    "Unlicense": "Public-Domain", "CC-BY-4.0": "CC-BY-4.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0", "CC-BY-NC-4.0": "CC-BY-NC-4.0",
+}
+for _gpl in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"):
+    SPDX |= {_gpl + _ending: _gpl for _ending in ("", "-only", "-or-later")}
+IDENTIFIER = "spdx license identifier "
+SPDX_SENTENCES = {
+    IDENTIFIER + name.lower().replace("-", " ").replace(".", " "): f"spdx_{licence}" for name, licence in SPDX.items()
+}
+
+#: Rules of identifiers that ``SENTENCES`` doesn't have, tried after ``RULES``.
+FULL_RULES = [
+    ("GPL-3.0", ["gpl_terms", "gpl3_either"]),
+    ("GPL-2.0", ["gpl_terms", "gpl2_either"]),
+    *_gnu_rules,
+    ("MPL-2.0", ["mpl_under"]),
+    ("ISC", ["isc_grant"]),
+    ("CC0-1.0", ["cc0_under"]),
+    ("Zlib", ["zlib_as_is", "zlib_grant"]),
+    ("EPL-2.0", ["epl_under"]),
+    ("BSL-1.0", ["boost_under"]),
+    *((licence, [f"spdx_{licence}"]) for licence in dict.fromkeys(SPDX.values())),
+]
 
 #: The BSD endorsement clause has a name in it, which may end its first half with a full stop (``Inc.``).
 ENDORSEMENT = (
@@ -125,7 +200,7 @@ LEAD_IN = (
 HEAD = r"^(?:[^a-z0-9\n]*(?:copyright|\(c\)|\u00a9|all rights reserved)[^\n]*\n)+"
 
 #: No known sentence is shorter.
-SHORTEST = min(map(len, SENTENCES))
+SHORTEST = min(map(len, SENTENCES | FULL_SENTENCES))
 
 #: Sentences end at blank lines (of a comment, too) and at a full stop, question or exclamation mark before white space.
 SENTENCE_END = r"\n(?:[ \t\r\x0b\f*#/;%|-]*\n)+|[.!?:;]+(?=\s|$)"
@@ -138,7 +213,8 @@ def _plain(sentence: Column) -> Column:
 def sentence_ids(text: Column) -> Column:
     """Identifiers of a text's licence sentences, in order; empty for null."""
     short, known = (
-        F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair]) for sentences in (SENTENCES, SENTENCES | FULL_SENTENCES)
+        F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
+        for sentences in (SENTENCES | SPDX_SENTENCES, SENTENCES | FULL_SENTENCES | SPDX_SENTENCES)
     )
 
     def of_lines(part: Column) -> Column:
@@ -158,7 +234,9 @@ def sentence_ids(text: Column) -> Column:
             F.transform(found, lambda x: F.when(x["id"].isNotNull(), F.concat(head, F.array(x["id"]))).otherwise(of_lines(sentence)))
         )
 
-    sentences = F.split(F.lower(F.coalesce(text, F.lit(""))), SENTENCE_END)
+    # The colon of an identifier line ends no sentence.
+    plain = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("spdx-license-identifier: "), F.lit(IDENTIFIER))
+    sentences = F.split(plain, SENTENCE_END)
     long_enough = F.filter(sentences, lambda s: F.length(s) >= SHORTEST)
     return F.flatten(F.transform(long_enough, of_sentence))
 
@@ -191,6 +269,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and licences of all ``documents``; nulls, repeats and empty tables as in ``scan``."""
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 

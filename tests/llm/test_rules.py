@@ -167,6 +167,41 @@ def test_unabridged_licenses(docs):
     assert {r["doc_id"]: (r["licenses"], r["sentences"]) for r in found} == {i: t[1:] for i, t in texts.items()}
 
 
+FURTHER = {
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this file""",
+    "LGPL-2.1": GPL.replace("General", "Lesser General").format(";", ";", 2.1),
+    "LGPL-3.0": GPL.replace("General", "Lesser General").format(":", ",", 3),
+    "AGPL-3.0": "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007\n\nCopyright",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "CC0-1.0": "CC0 1.0 Universal\n\n    CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM",
+    "Zlib": """This software is provided 'as-is', without any express or implied
+warranty.  In no event will the authors be held liable.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:""",
+    "EPL-2.0": "Eclipse Public License - v 2.0\n\n    THE ACCOMPANYING PROGRAM IS PROVIDED",
+    "BSL-1.0": "Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission is hereby granted",
+}
+
+
+def test_further_licenses_and_identifier_lines(docs):
+    rows = list(enumerate(f"Some prose before.\n\n{text}\n\nand after" for text in FURTHER.values()))
+    lines = {"MIT": "MIT", "GPL-2.0-or-later": "GPL-2.0", "LGPL-2.1-only": "LGPL-2.1", "BSD-3-Clause": "BSD-3-Clause",
+             "Unlicense": "Public-Domain", "Apache-2.0": "Apache-2.0", "Unknown-1.0": ""}
+    settings = ["// SPDX-License-Identifier: {}\n#include <x>", "# SPDX-License-Identifier: {}", "x = 1\n/* SPDX-License-Identifier: {} */\n"]
+    expected = dict(enumerate(FURTHER))
+    for name, licence in lines.items():
+        for setting in settings:
+            expected[len(rows)] = licence
+            rows.append((len(rows), setting.format(name)))
+    found = {r["doc_id"]: r["licenses"] for r in L.scan(docs(rows)).collect()}
+    assert found == expected
+
+
 ITEMS = [
     (1, "If a farmer sells 12 eggs for 3.50 dollars and buys 12 hens, how many eggs can be sold for the hens"),
     (2, "Name the capital city of the largest country that lies wholly in the southern half of the world"),
