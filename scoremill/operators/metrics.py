@@ -86,10 +86,17 @@ def auc_and_gini(
 def hard_label_auc(
     df: DataFrame, by: Sequence[str] = (), label: str = LABEL, prediction: str = "prediction"
 ) -> DataFrame:
-    """AUC of 0/1 predictions, which is the mean of the two class hit rates; one plain aggregate."""
+    """AUC of 0/1 predictions, which is the mean of the two class hit rates; one plain aggregate.
+
+    Running it fails on labels and predictions other than 0 and 1, null and NaN included.
+    """
     hit_rate = "avg(CASE WHEN {0} = {1} THEN CAST({2} = {1} AS DOUBLE) END)".format
     rates = (hit_rate(label, value, prediction) for value in (0, 1))
-    return df.groupBy(*by).agg(F.expr(f"({' + '.join(rates)}) / 2 AS auc"))
+    inside = f"{label} IN (0, 1) AND {prediction} IN (0, 1)"
+    outside = f"count_if(NOT coalesce({inside}, false))"
+    refused = f"raise_error(concat({outside}, ' rows have a label or prediction other than 0 and 1'))"
+    auc_of = f"({' + '.join(rates)}) / 2"
+    return df.groupBy(*by).agg(F.expr(f"CASE WHEN {outside} > 0 THEN CAST({refused} AS DOUBLE) ELSE {auc_of} END AS auc"))
 
 
 def confusion_matrix(

@@ -102,3 +102,12 @@ def test_confusion_matrix_keeps_empty_cells(spark):
 def test_importances_are_ranked(spark):
     ranked = metrics.feature_importance(spark, {"b": 0.2, "a": 0.2, "c": 0.6}).collect()
     assert [(r["rank"], r["feature"]) for r in ranked] == [(1, "c"), (2, "a"), (3, "b")]
+
+
+def test_hard_label_auc_refuses_rows_that_it_has_no_place_for(spark):
+    schema = "label int, prediction double"
+    good = [(0, 0.0), (1, 1.0), (1, 0.0)]
+    assert metrics.hard_label_auc(spark.createDataFrame(good, schema)).first()["auc"] == 0.75
+    for bad in ((None, 1.0), (1, None), (2, 1.0), (1, float("nan"))):
+        with pytest.raises(Exception, match="1 rows have a label or prediction"):
+            metrics.hard_label_auc(spark.createDataFrame([*good, bad], schema)).collect()
