@@ -51,6 +51,12 @@ _loaded: dict = {}
 # Files
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, as Spark takes it: a path without scheme is on the default one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _store(folder: str) -> tuple[arrow_fs.FileSystem, str]:
     if folder.startswith("file:"):
         return arrow_fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
@@ -199,6 +205,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
                 rows = {"doc_id": batch["doc_id"], "copy": copies, "shard": shard}
                 yield pd.DataFrame(rows | {"offset": starts, "n_tokens": lengths})
 
+    folder = _qualified(docs.sparkSession, folder)
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id")
     entries = ordered.sortWithinPartitions("doc_id", "text").mapInPandas(
         encode, "doc_id long, copy long, shard long, offset long, n_tokens long"
@@ -318,6 +325,7 @@ def _write_index(spark: SparkSession, folder: str) -> None:
 
 def locate(keys: DataFrame, folder: str) -> DataFrame:
     """Shard, offset and length of each ``(doc_id, copy)``, by the index; unknown keys get no row."""
+    folder = _qualified(keys.sparkSession, folder)
     counted = keys.sparkSession.read.parquet(f"{folder}/parts").agg(F.max("parts")).first()[0] or 1
 
     def look_up(group: pd.DataFrame) -> pd.DataFrame:
@@ -357,6 +365,7 @@ def read_ids(folder: str, shard: int, offsets, lengths) -> Iterator[np.ndarray]:
 def digests(located: DataFrame, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of located documents, from the payload itself."""
     spark = located.sparkSession
+    folder = _qualified(spark, folder)
 
     def fetch(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("offset")
@@ -386,6 +395,7 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all ``documents``, read back by key; nulls, repeats and empty tables as in ``write_token_files``."""
     folder = run_folder(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer_file())
     keys = spark.read.parquet(f"{folder}/entries").select("doc_id", "copy")
