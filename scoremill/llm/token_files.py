@@ -174,7 +174,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     """Encode the whole text of every row of ``docs (doc_id, text)`` and write shards and index.
 
     Null and empty texts hold only ``end_id``. Rows are in ascending order of ``doc_id`` (nulls first,
-    repeated ids in order of their text). Empty input writes no shard and an empty entry table.
+    repeated ids in order of their text); an id with very many different texts is dealt over several shards. Empty input writes no shard and an empty entry table.
     """
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -205,13 +205,45 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
                 rows = {"doc_id": batch["doc_id"], "copy": copies, "shard": shard}
                 yield pd.DataFrame(rows | {"offset": starts, "n_tokens": lengths})
 
-    folder = _qualified(docs.sparkSession, folder)
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id")
-    entries = ordered.sortWithinPartitions("doc_id", "text").mapInPandas(
+    spark = docs.sparkSession
+    folder = _qualified(spark, folder)
+    # A text's beginning is in the order of the text, and keeps the sample for the ranges small.
+    start = F.substring("text", 1, 64).alias("start")
+    ordered = docs.select(F.col("doc_id").cast("long"), "text", start).repartitionByRange("doc_id", "start")
+    drafts = ordered.sortWithinPartitions("doc_id", "start", "text").select("doc_id", "text").mapInPandas(
         encode, "doc_id long, copy long, shard long, offset long, n_tokens long"
     )
-    entries.write.parquet(f"{folder}/entries")
-    _write_index(docs.sparkSession, folder)
+    drafts.write.parquet(f"{folder}/drafts")
+    _numbered(spark.read.parquet(f"{folder}/drafts")).write.parquet(f"{folder}/entries")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/drafts")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _write_index(spark, folder)
+
+
+def _numbered(drafts: DataFrame) -> DataFrame:
+    """Entries whose copies are numbered over all shards of an id, not from 0 in each.
+
+    Shards follow each other in order, so only the first and last id of a shard can go on in another one: lists as
+    long as the number of shards.
+    """
+    spark = drafts.sparkSession
+    ends = drafts.groupBy("shard").agg(F.min_by("doc_id", "offset").alias("first"), F.max_by("doc_id", "offset").alias("last"))
+    ends = sorted(map(tuple, ends.collect()))
+    shared = {left[2] for left, right in zip(ends, ends[1:], strict=False) if left[2] == right[1]}
+    if not shared:
+        return drafts
+    known = sorted(shared - {None})
+    own = F.col("doc_id").isin(known) if known else F.lit(False)
+    own = own | F.col("doc_id").isNull() if None in shared else own
+    counts = drafts.filter(own).groupBy("doc_id", "shard").count().collect()
+    starts, passed = [], {}
+    for key, shard, n in sorted(map(tuple, counts), key=lambda row: row[1]):
+        starts.append((key, shard, passed.get(key, 0)))
+        passed[key] = passed.get(key, 0) + n
+    starts = F.broadcast(spark.createDataFrame(starts, "_id long, _shard long, _start long"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("shard") == F.col("_shard"))
+    joined = drafts.join(starts, same, "left").withColumn("copy", F.col("copy") + F.coalesce("_start", F.lit(0)))
+    return joined.select(*drafts.columns)
 
 
 def _slices(texts: list) -> Iterator[list]:

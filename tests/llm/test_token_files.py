@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -56,3 +57,28 @@ def test_empty(docs, spark):
     T.write_token_files(docs([]), folder, T.tokenizer_file())
     keys = spark.read.parquet(f"{folder}/entries").select("doc_id", "copy")
     assert T.digests(T.locate(keys, folder), folder).count() == 0
+
+
+def test_a_third_of_rows_on_one_id_is_dealt_over_shards(spark, docs, tmp_path, monkeypatch):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(7 if i % 3 else i, f"text number {i} of many") for i in range(600)] + [(None, f"none {i}") for i in range(90)]
+        folder = str(tmp_path / "hot")
+        T.write_token_files(docs(rows), folder, T.tokenizer_file())
+        entries = spark.read.parquet(f"{folder}/entries")
+        assert entries.filter("doc_id = 7").select("shard").distinct().count() > 1
+        keys = [(r["doc_id"], r["copy"]) for r in entries.collect()]
+        assert sorted(k for d, k in keys if d == 7) == list(range(400)) and len(set(keys)) == len(rows)
+        out = T.digests(T.locate(entries.select("doc_id", "copy"), folder), folder).collect()
+        library = tokenizers.Tokenizer.from_file(T.tokenizer_file())
+        expected = Counter((d, zlib.crc32(np.array([*library.encode(t).ids, 2], "<u4").tobytes())) for d, t in rows)
+        assert Counter((r["doc_id"], r["ids_crc32"]) for r in out) == expected
+        assert sorted(r["start"] for r in out)[0] == 0 and len({r["start"] for r in out}) == len(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_a_path_without_scheme_is_on_the_default_file_system(spark, docs, tmp_path):
+    assert T._qualified(spark, str(tmp_path)).startswith("file:/")
+    assert T._qualified(spark, f"file://{tmp_path}").startswith("file:/")
