@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoremill.llm.common import table, without
+from scoremill.llm.common import matching, table, without
 from scoremill.session import materialise
 
 WINDOW = 8
@@ -183,9 +183,8 @@ def inconsistent_slots(docs: DataFrame, benchmark: DataFrame, found: DataFrame)
     shift = (F.col("at") - F.col("place")).alias("shift")
     slotted = found.where(F.col("slots") > 0).select("doc_id", "text_key", "item_id", "item_key", shift, "place", "size").distinct()
     slotted = materialise(slotted, "slots")
-    keys = slotted.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct()
-    own = docs.select("doc_id", _key(docs), "text")
-    own = own.join(keys, own["doc_id"].eqNullSafe(F.col("_d")) & (own["text_key"] == F.col("_t")), "left_semi")
+    own = matching(docs.select("doc_id", "text"), slotted.select("doc_id", "text_key").distinct())
+    own = own.select("doc_id", _key(own), "text")
     own = own.dropDuplicates(["doc_id", "text_key"]).select(
         F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), template(F.col("text"), True).alias("_w")
     )
