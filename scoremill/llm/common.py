@@ -94,6 +94,17 @@ def _by_key(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     return docs.join(keys, same, how)
 
 
+#: Rows that go to a Python worker at a time: whole texts, so the library's default is some 30 MB on both sides.
+ROWS_PER_BATCH = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's limit of rows in an Arrow batch; a lower one that is set already stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ROWS_PER_BATCH:
+        spark.conf.set(key, str(ROWS_PER_BATCH))
+
+
 _holders: list[dict] = []
 
 
