@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoremill.functions.dates import date_literal, months_before, parse_date
-from scoremill.functions.names import bare_model_name
+from scoremill.functions.names import ARTEFACT_SUFFIX, bare_model_name
 from scoremill.operators.density import curves_of, series
 from scoremill.operators.drift import non_negative_values, psi_buckets, psi_total
 from scoremill.schemas import (
@@ -148,11 +148,12 @@ def run_monitoring(
     ``model_name`` may carry the artefact suffix; predictions are looked up, and tables stored, by the bare name.
     """
     model_name = bare_model_name(model_name)
-    scored = predictions.filter(F.col(MODEL) == model_name)
+    both = F.col(MODEL).isin(model_name, model_name + ARTEFACT_SUFFIX)  # older runs stored it with the suffix
+    scored = predictions.filter(both).withColumn(MODEL, F.lit(model_name))
     if at_snapshot(scored, day).isEmpty():
         return None
     tables = monitor(
-        predictions, features, labels, model_name, day, watched, current_scope, keep=materialise
+        scored, features, labels, model_name, day, watched, current_scope, keep=materialise
     )
     keys = [F.lit(model_name).alias(MODEL), date_literal(day).alias(SNAPSHOT)]
     write_psi_history(tables.psi, os.path.join(out, "psi_results"))
