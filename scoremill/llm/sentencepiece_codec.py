@@ -29,6 +29,9 @@ from scoremill.llm.common import per_batch, table
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
+#: Words and parts of words a worker keeps, and four times as many pairs of pieces; some 250 MB.
+FRAGMENTS = 250_000
+
 _loaded: dict = {}
 
 
@@ -46,7 +49,7 @@ class Codec:
     with a character map, or with pieces set by the user.
     """
 
-    def __init__(self, model_path: str, fragments: int = 250_000):
+    def __init__(self, model_path: str, fragments: int = FRAGMENTS):
         from sentencepiece import sentencepiece_model_pb2
 
         with open(model_path, "rb") as file:
@@ -86,6 +89,7 @@ class Codec:
         #: A space sign can only start a piece: then words can be encoded one by one.
         self.by_word = not any(pair[1] == SPACE and pair[0] != SPACE for pair in self.inside)
         self.fits: dict[tuple[str, str], bool] = {}
+        self.most_fits = 4 * fragments
         self.shorter: dict[str, str] = {}
         self.words = _Fragments(self._word, fragments)
         self.parts = _Fragments(self._packed, fragments)
@@ -168,7 +172,7 @@ class Codec:
 
     def _agree(self, left: str, right: str) -> bool:
         """Whether merging both afresh gives back these two (or ``right`` alone at the start)."""
-        if len(self.fits) > 1_000_000:
+        if len(self.fits) > self.most_fits:
             self.fits.clear()
         agreed = self.fits[left, right] = self._merged(left + right) == ([left, right] if left else [right])
         return agreed
@@ -239,17 +243,17 @@ def decode_documents(encoded: DataFrame, model_path: str, ids: str = "token_ids"
     return encoded.withColumn("decoded", decoded(F.col(ids)))
 
 
-def round_trip(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, model_path: str, text: str = "text", fragments: int = FRAGMENTS) -> DataFrame:
     """Encode and decode each text: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
     The ids don't leave the worker, so nothing larger than a digest is written. Null texts are empty;
-    rows of an equal ``doc_id`` each give a row, null ids too.
+    rows of an equal ``doc_id`` each give a row, null ids too. ``fragments`` bounds what a worker keeps.
     """
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
     @F.pandas_udf(schema)
     def digests(texts: pd.Series) -> pd.DataFrame:
-        codec = per_batch(_loaded, Codec, model_path)
+        codec = per_batch(_loaded, Codec, model_path, fragments)
         begin, end = struct.pack("<I", codec.begin), struct.pack("<I", codec.end)
         rows = []
         for value in texts:
