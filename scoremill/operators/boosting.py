@@ -7,7 +7,8 @@ passes as its largest candidate has levels, not as many as it has fits.
 
 - The matrix is binned once: one byte per value, in blocks of rows, in the shared folder. Passes read it from there.
 - Tasks add up blocks before the shuffle; what is shuffled is bounded by fits, nodes, features and bins per task.
-- Margins are computed from the trees at each pass, so a lost executor costs its share of one pass and nothing else.
+- Margins are written beside the blocks every few trees; a pass adds up the trees since, not all that are finished.
+  A lost executor costs its share of one pass and nothing else.
 - A missing value takes the direction that is better at its node.
 
 Formulas (second-order gain with L1 and L2 terms, leaf weight, least child weight, least gain) and parameter names
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from scoremill.functions.numeric import nan_to_null
 from scoremill.schemas import LABEL
-from scoremill.session import materialise
+from scoremill.session import discard, materialise
 
 SEED = 88
 #: Rows are drawn by a linear hash modulo this prime.
@@ -40,6 +41,10 @@ CUT_ACCURACY = 10_000
 #: A split has to gain more than this; gains are compared after rounding to so many places.
 LEAST_GAIN, GAIN_DIGITS = 1e-6, 9
 NO_FOLD = -1
+#: Rows of a block at most, and trees that passes add up before margins are written again.
+ROWS_PER_BLOCK, TREES_PER_STEP = 10_000, 4
+#: Trees of more splits are walked level by level, not split by split.
+FEW_SPLITS = 15
 
 
 @dataclass(frozen=True)
@@ -212,9 +217,8 @@ def binned(
     edges = [np.array(c) for c in cuts]
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        parts = (b.slice(at, ROWS_PER_BLOCK) for b in batches for at in range(0, b.num_rows, ROWS_PER_BLOCK))
+        for batch in parts:
             bins = np.empty((len(edges), batch.num_rows), np.uint8)
             for i, edge in enumerate(edges):
                 column = batch.column(i)
@@ -254,9 +258,17 @@ class Forest:
 
     def nodes(self, tree: int, bins: np.ndarray, missing: int) -> np.ndarray:
         """The node of a tree that each row ends in."""
+        feature, cut, to_left = self.feature[tree], self.bin[tree], self.missing_left[tree]
+        inner = np.flatnonzero(feature >= 0)
+        if len(inner) <= FEW_SPLITS:
+            at = np.zeros(bins.shape[1], np.min_scalar_type(len(feature)))
+            for i in inner:
+                value = bins[feature[i]]
+                right = np.where(value == missing, not to_left[i], value > cut[i])
+                at += (at == i) * (right + at.dtype.type(i + 1))
+            return at.astype(np.int64)
         at = np.zeros(bins.shape[1], np.int64)
         rows = np.arange(bins.shape[1])
-        feature, cut, to_left = self.feature[tree], self.bin[tree], self.missing_left[tree]
         for _ in range(self.depth):
             of = feature[at]
             value = bins[of, rows]
@@ -264,51 +276,94 @@ class Forest:
             at = np.where(of >= 0, 2 * at + 2 - left, at)
         return at
 
-    def margin(self, bins: np.ndarray, missing: int) -> np.ndarray:
-        total = np.zeros(bins.shape[1])
+    def margin(self, bins: np.ndarray, missing: int, before: np.ndarray | None = None) -> np.ndarray:
+        """Sum of the trees' leaves, on top of the margin of the trees ``before``."""
+        total = np.zeros(bins.shape[1]) if before is None else before.copy()
         for tree in range(len(self.feature)):
             total += self.value[tree][self.nodes(tree, bins, missing)]
         return total
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+#: Columns of a block as arrays: bins, label, fold, key, and the margins of fits where they are written.
+KINDS = (np.uint8, np.int8, np.int32, np.int64, np.float64)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        for bins, y, fold, key in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            labels = np.frombuffer(y, np.int8)
-            codes = np.frombuffer(bins, np.uint8).reshape(-1, len(labels))
-            yield codes, labels, np.frombuffer(fold, np.int32), np.frombuffer(key, np.int64)
+        for row in range(batch.num_rows):
+            columns = zip(batch.columns, KINDS, strict=False)
+            bins, y, fold, key, *known = (np.frombuffer(c[row].as_buffer(), kind) for c, kind in columns)
+            yield bins.reshape(-1, len(y)), y, fold, key, known[0].reshape(-1, len(y)) if known else None
+
+
+@dataclass(frozen=True)
+class Margins:
+    """Blocks with the margins of some fits after their first ``n_trees`` trees."""
+
+    blocks: DataFrame
+    fits: list[int]
+    n_trees: int
+
+    def of(self, known: np.ndarray | None, fit: int) -> np.ndarray | None:
+        return None if known is None else known[self.fits.index(fit)]
+
+
+def with_margins(matrix: Matrix, before: Margins, forests: dict[int, Forest], n_trees: int) -> Margins:
+    """Margins of the fits of ``forests``, which hold their trees from ``before`` up to ``n_trees``; written once."""
+    missing, placed = matrix.max_bins, Margins(None, before.fits, before.n_trees)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bins, y, fold, key, known in _unpacked(batches):
+            margins = np.stack([forest.margin(bins, missing, placed.of(known, i)) for i, forest in forests.items()])
+            packed = zip(("bins", "y", "fold", "key", "margins"), (bins, y, fold, key, margins), strict=True)
+            yield pa.RecordBatch.from_pydict({name: pa.array([part.tobytes()], pa.binary()) for name, part in packed})
+
+    added = before.blocks.mapInArrow(add, "bins binary, y binary, fold binary, key binary, margins binary")
+    # A block is megabytes here: row groups are cut by size at each row, not after a hundred.
+    sizes = {"parquet.block.size": 32 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
+    return Margins(materialise(added, "margins", **sizes), list(forests), n_trees)
 
 
 def histograms(matrix: Matrix, fits: Sequence[Fit], forests: dict[int, Forest], growing: dict[int, Forest],
-               open_: dict[int, list[int]], tree: int) -> DataFrame:
+               open_: dict[int, list[int]], tree: int, margins: Margins | None = None) -> DataFrame:
     """``fit, node, feature, bin, g, h``: sums of gradients and hessians over the rows of each open node.
 
-    ``forests`` hold the finished trees of each live fit, ``growing`` the tree at work. Each task gives its sums once.
+    ``forests`` hold the finished trees of each live fit that aren't in ``margins``, ``growing`` the tree at work.
+    Each task gives its sums once.
     """
+    margins = margins or Margins(matrix.blocks, [], 0)
+    placed = Margins(None, margins.fits, margins.n_trees)
     features, missing = matrix.features, matrix.max_bins
     factor, offset = row_draw(tree)
     live = {i: (fits[i].params, NO_FOLD - 1 if fits[i].held_out is None else fits[i].held_out) for i in open_}
     columns = {i: drawn_features(features, tree, params.colsample_bytree) for i, (params, _) in live.items()}
     width = missing + 1
+    alike: dict[tuple, list[int]] = {}  # fits that see the same rows
+    for i, (params, held_out) in live.items():
+        alike.setdefault((held_out, int(params.subsample * PRIME)), []).append(i)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {i: np.zeros((2, len(columns[i]), len(open_[i]) * width)) for i in live}
-        for bins, y, fold, key in _unpacked(batches):
+        for bins, y, fold, key, known in _unpacked(batches):
             draw = (key * factor + offset) % PRIME
-            for i, (params, held_out) in live.items():
-                used = (fold != held_out) & (draw < int(params.subsample * PRIME))
+            for (held_out, drawn), own in alike.items():
+                used = np.flatnonzero((fold != held_out) & (draw < drawn))
                 some, labels = bins[:, used], y[used]
-                p = 1 / (1 + np.exp(-forests[i].margin(some, missing)))
-                g, h = p - labels, p * (1 - p)
-                place = np.full(len(growing[i].value[0]), -1)
-                place[open_[i]] = np.arange(len(open_[i]))
-                node = place[growing[i].nodes(0, some, missing)]
-                inside = node >= 0
-                start, g, h = node[inside] * width, g[inside], h[inside]
-                for k, f in enumerate(columns[i]):
-                    at = start + some[f][inside]
-                    sums[i][0, k] += np.bincount(at, g, sums[i].shape[2])
-                    sums[i][1, k] += np.bincount(at, h, sums[i].shape[2])
+                for i in own:
+                    before = placed.of(known, i)
+                    before = None if before is None else before[used]
+                    p = 1 / (1 + np.exp(-forests[i].margin(some, missing, before)))
+                    g, h = p - labels, p * (1 - p)
+                    place = np.full(len(growing[i].value[0]), -1)
+                    place[open_[i]] = np.arange(len(open_[i])) * width
+                    start = place[growing[i].nodes(0, some, missing)]
+                    inside = np.flatnonzero(start >= 0)
+                    every = len(inside) == len(start)
+                    start, g, h = (start, g, h) if every else (start[inside], g[inside], h[inside])
+                    for k, f in enumerate(columns[i]):
+                        at = start + (some[f] if every else some[f][inside])
+                        sums[i][0, k] += np.bincount(at, g, sums[i].shape[2])
+                        sums[i][1, k] += np.bincount(at, h, sums[i].shape[2])
         parts = []
         for i, both in sums.items():
             k, at = np.nonzero(both[1])
@@ -319,7 +374,7 @@ def histograms(matrix: Matrix, fits: Sequence[Fit], forests: dict[int, Forest],
             arrays = [pa.array(c.astype(np.int32)) for c in merged[:4]] + [pa.array(c) for c in merged[4:]]
             yield pa.RecordBatch.from_arrays(arrays, ["fit", "node", "feature", "bin", "g", "h"])
 
-    found = matrix.blocks.mapInArrow(add_up, "fit int, node int, feature int, bin int, g double, h double")
+    found = margins.blocks.mapInArrow(add_up, "fit int, node int, feature int, bin int, g double, h double")
     # Tasks have summed up already; the windows behind need the bins of a feature together.
     found = found.repartition("fit", "node", "feature")
     return found.groupBy("fit", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
@@ -379,14 +434,20 @@ def boost(matrix: Matrix, fits: Sequence[Fit]) -> list[BoostedModel]:
         ],
         "fit int, l1 double, l2 double, child double",
     )
+    margins = Margins(matrix.blocks, [], 0)
     for round_ in range(max((fit.params.n_estimators for fit in fits), default=0)):
         live = [i for i, fit in enumerate(fits) if round_ < fit.params.n_estimators]
-        forests = {i: Forest(models[i].trees, fits[i].params.max_depth) for i in live}
+        forests = {i: Forest(models[i].trees[margins.n_trees :], fits[i].params.max_depth) for i in live}
+        if round_ - margins.n_trees >= TREES_PER_STEP:
+            spent, margins = margins, with_margins(matrix, margins, forests, round_)
+            if spent.n_trees:
+                discard(spent.blocks)
+            forests = {i: Forest([], fits[i].params.max_depth) for i in live}
         trees = {i: Tree() for i in live}
         open_ = {i: [0] for i in live if fits[i].params.max_depth > 0}
         while open_:
             growing = {i: Forest([trees[i]], fits[i].params.max_depth) for i in open_}
-            sums = histograms(matrix, fits, forests, growing, open_, round_)
+            sums = histograms(matrix, fits, forests, growing, open_, round_, margins)
             rows = best_splits(sums, settings, matrix.max_bins).collect()
             deeper: dict[int, list[int]] = {}
             for row in rows:
@@ -410,6 +471,8 @@ def boost(matrix: Matrix, fits: Sequence[Fit]) -> list[BoostedModel]:
             open_ = {i: sorted(nodes) for i, nodes in deeper.items()}
         for i in live:
             models[i].trees.append(trees[i])
+    if margins.n_trees:
+        discard(margins.blocks)
     return models
 
 
@@ -421,7 +484,7 @@ def held_out_counts(matrix: Matrix, fits: Sequence[Fit], models: Sequence[Booste
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros((len(folds), 4), np.int64)
-        for bins, y, fold, _ in _unpacked(batches):
+        for bins, y, fold, *_ in _unpacked(batches):
             for i, held_out in enumerate(folds):
                 if held_out is None:
                     continue

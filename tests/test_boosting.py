@@ -212,3 +212,28 @@ def test_passes_shuffle_sums_not_rows(matrix):
     assert sums.count() <= len(NAMES) * 17
     plan = sums._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_pass_adds_up_few_trees_and_finds_the_same(matrix, monkeypatch):
+    fits = [Fit(Params(n_estimators=n, max_depth=2, subsample=0.8), fold) for n, fold in ((7, 0), (3, 1), (7, None))]
+    most = []
+
+    def watched(*args, made=boosting.histograms):
+        most.append(max(len(forest.feature) for forest in args[2].values()))
+        return made(*args)
+
+    monkeypatch.setattr(boosting, "histograms", watched)
+    monkeypatch.setattr(boosting, "TREES_PER_STEP", 2, raising=False)
+    stepped = [model.to_json() for model in boosting.boost(matrix, fits)]
+    assert max(most) == 1  # six trees were walked for the last one before
+    monkeypatch.setattr(boosting, "TREES_PER_STEP", 99, raising=False)
+    assert [model.to_json() for model in boosting.boost(matrix, fits)] == stepped
+
+
+def test_nodes_split_by_split_equal_those_level_by_level(monkeypatch):
+    draw = np.random.default_rng(3)
+    tree = Tree({i: Split(int(draw.integers(3)), int(draw.integers(9)), 0.0, bool(i % 2), 1.0) for i in (0, 1, 2, 4, 5)})
+    forest, bins = boosting.Forest([tree], 3), draw.integers(0, 9, (3, 500)).astype(np.uint8)
+    few = forest.nodes(0, bins, 8)
+    monkeypatch.setattr(boosting, "FEW_SPLITS", 0)
+    assert few.tolist() == forest.nodes(0, bins, 8).tolist() and len(set(few.tolist())) > 4
