@@ -149,9 +149,9 @@ class Join:
             if large.isEmpty():
                 break
             if depth == DEPTH:
-                ranked = self.ranked(large)
-                self.link(self.central_pairs(large, ranked))
-                self.link(self.rare_pairs(self.open_nodes(large), ranked))
+                placed = self.set_shingles(large)
+                self.link(self.central_pairs(large, placed))
+                self.link(self.rare_pairs(self.open_nodes(large), placed))
             else:
                 rows = self.branches(large)
                 spent = [large, rows]
@@ -161,30 +161,40 @@ class Join:
         return 100 / (self.percent * TOKENS)
 
     def roots(self) -> DataFrame:
-        """Children of the roots: ``node, c, sketch``, a row for each tree's chosen positions."""
+        """Children of the roots: ``node, c``, a row for each tree's chosen positions."""
         random = np.random.default_rng(5)
         chosen = [(tree, i) for tree in range(TREES) for i in range(TOKENS) if random.random() < self.chance()]
         names = [F.xxhash64(F.lit(tree), F.lit(i), F.col("tokens")[i]) for tree, i in chosen]
-        return self.classes.select(F.explode(F.array(*names)).alias("node"), "c", *SKETCH)
+        return self.classes.select(F.explode(F.array(*names)).alias("node"), "c")
 
     def branches(self, large: DataFrame) -> DataFrame:
         """Children of large nodes."""
         chosen = F.expr(
             f"filter(sequence(0, {TOKENS - 1}), i -> pmod(xxhash64(node, i), {SPREAD}) < {round(self.chance() * SPREAD)})"
         )
-        rows = large.select("node", "c", *SKETCH).join(self.classes.select("c", "tokens"), "c")
-        rows = rows.select("node", "c", *SKETCH, "tokens", F.explode(chosen).alias("i"))
-        rows = rows.select(F.expr("xxhash64(node, i, tokens[i])").alias("node"), "c", *SKETCH)
+        rows = large.select("node", "c").join(self.some_classes(large).select("c", "tokens"), "c")
+        rows = rows.select("node", "c", "tokens", F.explode(chosen).alias("i"))
+        rows = rows.select(F.expr("xxhash64(node, i, tokens[i])").alias("node"), "c")
         return materialise(rows, "branches")  # read twice, and the join sends all tokens around
 
+    def some_classes(self, wanted: DataFrame) -> DataFrame:
+        """Classes that occur in ``wanted``; few are found by a broadcast of their numbers, so the rest isn't shuffled."""
+        numbers = materialise(wanted.select("c").distinct(), "class-numbers")
+        numbers = F.broadcast(numbers) if numbers.count() <= BROADCAST_CLASSES else numbers
+        return self.classes.join(numbers, "c", "left_semi")
+
     def grouped(self, rows: DataFrame) -> DataFrame:
-        """Rows of nodes with several classes, with the node's size and pivot."""
+        """Rows of nodes with several classes, with the node's size and pivot.
+
+        Most rows are alone in their node, so sketches are fetched for those that are left.
+        """
         nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("c").alias("pivot")).where(F.col("n") > 1)
         own = self.classes.select(F.col("c").alias("pivot"), *[F.col(s).alias(f"pivot_{s}") for s in SKETCH])
         counted = materialise(nodes, "nodes")
         nodes = materialise(counted.join(own, "pivot"), "pivots")
-        members = materialise(rows.join(nodes, "node"), "node-members")
-        discard(counted, nodes)
+        shared = materialise(rows.select("node", "c").join(nodes, "node"), "shared")
+        members = materialise(shared.join(self.classes.select("c", *SKETCH), "c"), "node-members")
+        discard(counted, nodes, shared)
         return members
 
     def open_nodes(self, nodes: DataFrame) -> DataFrame:
@@ -234,35 +244,42 @@ class Join:
         pairs = pairs.where(F.col("a") != F.col("b"))
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-    def ranked(self, large: DataFrame) -> DataFrame:
-        """``c, n, shingle, common, at`` of classes in large nodes: their shingles, rarest here first."""
+    def set_shingles(self, large: DataFrame) -> DataFrame:
+        """``c, n, shingle, common``: shingles that several classes of large nodes hold, and how many of these do."""
         sets = self.sets(large.select("c").distinct())
         placed = sets.select("c", F.size("members").alias("n"), F.explode("members").alias("shingle"))
         counts = placed.groupBy("shingle").agg(F.count("*").alias("common"))
         counts = materialise(counts.where(F.col("common") > 1), "shingle-counts")
-        ranked = placed.join(counts, "shingle", "left").fillna(1, ["common"])
-        order = Window.partitionBy("c").orderBy("common", "shingle")
-        return ranked.withColumn("at", F.row_number().over(order) - 1)
+        return materialise(placed.join(counts, "shingle"), "set-shingles")
 
-    def central_pairs(self, large: DataFrame, ranked: DataFrame) -> DataFrame:
+    def central_pairs(self, large: DataFrame, placed: DataFrame) -> DataFrame:
         """Each class with the most central one of a node, whose shingles are the most common there.
 
         Unequal copies of one text are closer to it than to each other; this links most of them.
         """
-        weights = materialise(ranked.groupBy("c").agg(F.avg("common").alias("weight")), "weights")
-        weighted = materialise(large.select("node", "c").join(weights, "c"), "weighted")
+        # Shingles of one class only count 1 each.
+        mean = (F.sum("common") + F.first("n") - F.count("*")) / F.first("n")
+        weights = materialise(placed.groupBy("c").agg(mean.alias("weight")), "weights")
+        weighted = large.select("node", "c").join(weights, "c", "left").fillna(1.0, ["weight"])
+        weighted = materialise(weighted, "weighted")
         centres = weighted.groupBy("node").agg(F.max_by("c", F.struct("weight", "c")).alias("centre"))
         pairs = weighted.join(materialise(centres, "centres"), "node").where("c <> centre")
         return pairs.select(F.least("c", "centre").alias("a"), F.greatest("c", "centre").alias("b")).distinct()
 
-    def rare_pairs(self, large: DataFrame, ranked: DataFrame) -> DataFrame:
+    def rare_pairs(self, large: DataFrame, placed: DataFrame) -> DataFrame:
         """All pairs of nodes that stayed large which may be similar, across components, by rare shingles.
 
         With the shingles of each class in one order, rarest first, the first one that a pair shares is
         followed by all others it shares. So a similar pair has one early in both. Under a shingle, classes
         of its largest component meet only those of other components.
         """
-        early = ranked.where((100 * F.col("at") <= (100 - self.percent) * F.col("n")) & (F.col("common") > 1))
+        numbers = materialise(large.select("c").distinct(), "class-numbers")
+        numbers = F.broadcast(numbers) if numbers.count() <= BROADCAST_CLASSES else numbers
+        # Shingles of one class only stand before those that are in ``placed``.
+        own = Window.partitionBy("c")
+        at = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("common", "shingle")) - 1
+        ranked = placed.join(numbers, "c", "left_semi").withColumn("at", at)
+        early = ranked.where(100 * F.col("at") <= (100 - self.percent) * F.col("n"))
         early = early.join(large.select("c", "component").distinct(), "c")
         early = materialise(early.select("shingle", "c", "component", (F.col("n") - F.col("at")).alias("left"), "n"), "early")
         sizes = early.groupBy("shingle", "component").count()

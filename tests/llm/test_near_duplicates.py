@@ -118,3 +118,19 @@ def test_recall_over_the_given_documents(spark, data):
     pairs = [(a, b) for a in sets if a % 20 == 0 for b in sets
              if a != b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     assert pairs and all(component[a] == component[b] for a, b in pairs)
+
+
+def test_rows_of_nodes_are_narrow_and_only_shared_shingles_kept(spark, docs, prose):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f h"), (3, prose(5, 40))]
+    join = N.Join(docs(rows), 4, 80)
+    assert join.roots().columns == ["node", "c"]  # sketches went through the shuffle with all of them
+    large = join.classes.selectExpr("1L AS node", "c")
+    placed = join.set_shingles(large)
+    numbers = {r["doc_id"]: r["c"] for r in join.classes.collect()}
+    held = sorted((r["c"], r["n"], r["common"]) for r in placed.collect())
+    assert held == sorted((numbers[i], 4, 2) for i in (1, 2) for _ in range(3))
+    one = join.some_classes(large.where(f"c = {numbers[3]}"))
+    assert [r["doc_id"] for r in one.collect()] == [3]
+    # The third class holds no shared shingle and still meets the centre.
+    met = {(r["a"], r["b"]) for r in join.central_pairs(large, placed).collect()}
+    assert len(met) == 2 and numbers[3] in {c for pair in met for c in pair}
