@@ -17,6 +17,7 @@ from __future__ import annotations
 import io
 import math
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -24,6 +25,8 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -37,13 +40,20 @@ HEADER = len(MAGIC) + 1
 #: Keys per index file: one is built in the memory of a task.
 KEYS_PER_PART = 200_000
 #: Characters of text that a worker takes apart at a time.
-CHARS_AT_ONCE = 2_000_000
+CHARS_AT_ONCE = 4_000_000
 
 #: What is cut off behind letters: the tokenizer's pattern starts a token there.
 PUNCTUATION = ".,;:!?%|$&*#)"
 
-#: Stands in for the ids of a word next to other white space than one space.
-UNSAFE = ""
+#: White space at which texts are cut, as a tokenizer's pattern does: the last space goes with what follows it.
+#: Texts with other white space or added tokens, which end a text for the pattern, go to the library whole.
+WHITE = " \t\n\r"
+CHUNKS = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[\t\n\r]")
+INNER_WHITE = re.compile(r"[\t\n\r]")
+OTHER_WHITE = r"[^\S \t\n\r]"
+
+#: Longer words are encoded again for each slice of texts, so that what a worker keeps stays small.
+KEPT_LENGTH = 64
 
 _loaded: dict = {}
 
@@ -93,7 +103,8 @@ class WordwiseTokenizer:
     """A byte-level tokenizer of the tokenizers library that encodes each distinct word once.
 
     Its pattern lets a token take a space only at its start, so a text may be cut before a single space
-    between two other characters. Texts with other white space around a cut go to the library whole.
+    between two other characters. Arrow splits the texts there and numbers the distinct words, so that Python
+    sees each of them once for many texts. Texts with other white space around a cut are cut by a pattern.
     """
 
     def __init__(self, path: str, limit: int = 1_400_000):
@@ -106,64 +117,182 @@ class WordwiseTokenizer:
         self.after_space = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.after_space[i] = token.startswith("\u0120")  # how byte-level tokenizers write a space
-        #: Ids of a word with the space before it, by the word; ``UNSAFE`` if it can't be cut off.
-        self.known: dict[str, bytes | str] = {}
-        self.tails: dict[str, bytes] = {}
+        #: Ids of a word with the space before it, by the word, and of what is encoded as it is.
+        self.known: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
         self.limit = limit
+        added = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.uncut = re.compile("|".join([OTHER_WHITE, *added])).search
+        probe = "a.\n\nb,\n\tc  d \n e\r\n 'f\n's\n"
+        #: Whether the tokenizer's pattern cuts at white space as ``CHUNKS`` does.
+        self.cuts = self._whole([probe])[0] == b"".join(self._whole(CHUNKS.findall(probe)))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, packed; null is the empty text."""
-        split = [text.split(" ") if text else [""] for text in texts]
-        starts = [parts.pop(0) for parts in split]
-        new = set().union(*split).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > self.limit:
-                self.known.clear()
-                new = set().union(*split)
-            self._learn(new)
-        known, out = self.known.__getitem__, []
-        for text, start, first, parts in zip(texts, starts, self._whole(starts), split, strict=True):
-            try:
-                rest = b"".join(map(known, parts))
-            except TypeError:  # an unsafe word stands as a str
-                rest = None
-            if parts and (rest is None or not start or start[-1].isspace()):
-                out += self._whole([text])
-            else:
-                out.append(first + rest)
-        return out
+        ids, lengths = self.encode_column(pa.array(texts, pa.string()))
+        raw, ends = ids.tobytes(), (np.cumsum(lengths) * self.kind.itemsize).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has; null is the empty text."""
+        if not len(texts):
+            return np.zeros(0, self.kind), np.zeros(0, np.int64)
+        texts = pc.fill_null(texts, "")
+        split = pc.split_pattern(texts, " ")
+        counts = pc.list_value_length(split).to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        places = coded.indices.to_numpy().astype(np.int64)
+        words = coded.dictionary.to_numpy(zero_copy_only=False)
+        last = np.cumsum(counts) - 1
+        first = last - counts + 1
+        # The first word of a text has no space before it.
+        inner = np.ones(len(places), bool)
+        inner[first] = False
+        own, place = np.unique(places[first], return_inverse=True)
+        starts = words[own].tolist()
+        used = np.unique(places[inner])
+        number = np.zeros(len(words), np.int64)
+        number[used] = np.arange(len(used))
+        places[inner] = number[places[inner]]
+        places[first] = len(used) + place
+        found, opens, closes = self._spaced(words[used].tolist())
+        found += self._bare(starts)
+        opens = np.concatenate([opens, [not word for word in starts]])
+        closes = np.concatenate([closes, [word[-1:].isspace() for word in starts]])
+        # White space beside a space that is no cut: behind it, or before it unless the text ends there.
+        beside = opens[places] & (inner | np.repeat(counts > 1, counts))
+        closing = closes[places]
+        closing[last] = False
+        loose = np.flatnonzero(np.logical_or.reduceat(beside | closing, first))
+        if len(loose):
+            kept = np.ones(len(texts), bool)
+            kept[loose] = False
+            kept = np.repeat(kept, counts)
+            kept[first] = True
+            places[first[loose]] = len(found) + np.arange(len(loose))
+            places = places[kept]
+            counts[loose] = 1
+            first = np.cumsum(counts) - counts
+            found += self._loose(texts.take(pa.array(loose)).to_pylist())
+        pool = np.frombuffer(b"".join(found), self.kind)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        taken = sizes[places]
+        shift = (np.cumsum(sizes) - sizes)[places] - (np.cumsum(taken) - taken)
+        ids = pool[np.repeat(shift, taken) + np.arange(taken.sum())]
+        return ids, np.add.reduceat(taken, first)
+
+    def _loose(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts with other white space than single spaces."""
+        cut = [i for i, text in enumerate(texts) if self.cuts and not self.uncut(text)]
+        split = [CHUNKS.findall(texts[i]) for i in cut]
+        ids = self._chunks(set().union(*split)).__getitem__
+        found: list[bytes | None] = [None] * len(texts)
+        for i, chunks in zip(cut, split, strict=True):
+            found[i] = b"".join(map(ids, chunks))
+        others = [i for i, one in enumerate(found) if one is None]
+        for i, one in zip(others, self._whole([texts[i] for i in others]), strict=True):
+            found[i] = one
+        return found
+
+    def _chunks(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of what ``CHUNKS`` finds."""
+        spaced = [x for x in chunks if x[0] == " " and x[-1] not in WHITE]
+        ids = dict(zip(spaced, self._spaced([x[1:] for x in spaced])[0], strict=True))
+        others = list(chunks.difference(spaced))
+        ids.update(zip(others, self._bare(others), strict=True))
+        return ids
 
-    def _learn(self, new: set[str]) -> None:
-        """Encode words as one text; ids that begin with a space tell where each of them starts.
+    def _spaced(self, words: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Ids of distinct words with a space before each; which are empty or open, and which close, with white space.
 
-        Punctuation behind letters starts a token, so it is encoded apart: fewer words are new then.
+        Punctuation behind letters starts a token, and so do lines: they are encoded apart, so that fewer words are
+        new. Only what words are put together from is kept.
         """
+        if len(self.known) + len(self.bare) > self.limit:
+            self.known.clear()
+            self.bare.clear()
         known = self.known
-        safe, cut = [word for word in new if word.isalpha()], []
-        stems = set(safe)
-        for word in new.difference(stems):
+        found = list(map(known.get, words))
+        opens, closes = np.zeros(len(words), bool), np.zeros(len(words), bool)
+        new, odd, cut, lines, tails = [], [], [], [], set()
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            word = words[i]
+            if word.isalpha():
+                new.append(i)
+                continue
             letters = word.rstrip(PUNCTUATION)
-            if letters.isalpha():
-                cut.append((word, letters, word[len(letters) :]))
-            elif word and not word[0].isspace() and not word[-1].isspace():
-                safe.append(word)
+            if letters.isalpha() and len(word) <= KEPT_LENGTH:
+                tail = word[len(letters) :]
+                cut.append((i, letters, tail))
+                tails.add(tail)
+                continue
+            opens[i] = not word or word[0].isspace()
+            closes[i] = word[-1:].isspace()
+            if opens[i]:
+                found[i] = b""
+            elif self.cuts and INNER_WHITE.search(word) and not self.uncut(word):
+                lines.append((i, CHUNKS.findall(" " + word)))
+            elif closes[i]:
+                odd.append(i)
             else:
-                known[word] = UNSAFE
-        safe += {letters for _, letters, _ in cut}.difference(stems, known)
-        size = self.kind.itemsize
-        for at in range(0, len(safe), 2_000):
-            some = safe[at : at + 2_000]
-            raw = self._whole([" " + " ".join(some)])[0]
-            borders = np.flatnonzero(self.after_space[np.frombuffer(raw, self.kind)]) * size
+                new.append(i)
+        learnt = [words[i] for i in new]
+        stems = list({letters for _, letters, _ in cut}.difference(known, learnt))
+        ids = self._joined([*learnt, *stems], " ", self.after_space)
+        for i, word, one in zip(new, learnt, ids, strict=False):
+            found[i] = one
+            if len(word) <= KEPT_LENGTH:
+                known[word] = one
+        known.update(zip(stems, ids[len(new) :], strict=True))
+        tail_ids = dict(zip(tails, self._bare(list(tails)), strict=True))
+        for i, letters, tail in cut:
+            found[i] = known[letters] + tail_ids[tail]
+        for i, one in zip(odd, self._whole([" " + words[i] for i in odd]), strict=True):
+            found[i] = one
+        if lines:
+            chunk = self._chunks(set().union(*(chunks for _, chunks in lines))).__getitem__
+            for i, chunks in lines:
+                found[i] = b"".join(map(chunk, chunks))
+        return found, opens, closes
+
+    def _bare(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces as they are."""
+        bare = self.bare
+        found = list(map(bare.get, pieces))
+        odd, cut, stems = [], [], set()
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            letters = pieces[i].rstrip(PUNCTUATION)
+            if self.cuts and letters.isalpha() and len(pieces[i]) <= KEPT_LENGTH:
+                cut.append((i, letters, pieces[i][len(letters) :]))
+                stems.update(filter(None, cut[-1][1:]))
+            else:
+                odd.append(i)
+        new = list(stems.difference(bare))
+        line = np.frombuffer(self._whole(["\n"])[0], self.kind)
+        border = np.zeros(len(self.after_space), bool)
+        border[line] = True
+        size = len(line) * self.kind.itemsize
+        bare.update(zip(new, [one[size:] for one in self._joined(new, "\n", border)], strict=True))
+        for i, letters, tail in cut:
+            found[i] = bare[letters] + bare[tail] if tail else bare[letters]
+        for i, one in zip(odd, self._whole([pieces[i] for i in odd]), strict=True):
+            found[i] = one
+            if len(pieces[i]) <= KEPT_LENGTH:
+                bare[pieces[i]] = one
+        return found
+
+    def _joined(self, words: list[str], sign: str, border: np.ndarray) -> list[bytes]:
+        """Ids of ``sign`` and each word, encoded as few texts; ids marked in ``border`` tell where each word starts."""
+        size, out = self.kind.itemsize, []
+        for at in range(0, len(words), 2_000):
+            some = words[at : at + 2_000]
+            raw = self._whole([sign + sign.join(some)])[0]
+            borders = (np.flatnonzero(border[np.frombuffer(raw, self.kind)]) * size).tolist()
             if len(borders) == len(some):
-                ends = borders.tolist()
-                found = [raw[a:b] for a, b in zip(ends, [*ends[1:], len(raw)], strict=True)]
+                out += [raw[a:b] for a, b in zip(borders, [*borders[1:], len(raw)], strict=True)]
             else:  # a special token among them took a space
-                found = self._whole([f" {w}" for w in some])
-            known.update(zip(some, found, strict=True))
-        tails = {tail for _, _, tail in cut} - self.tails.keys()
-        self.tails.update(zip(tails, self._whole(list(tails)), strict=True))
-        known.update((word, known[letters] + self.tails[tail]) for word, letters, tail in cut)
+                out += self._whole([sign + word for word in some])
+        return out
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -177,10 +306,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     repeated ids in order of their text); an id with very many different texts is dealt over several shards. Empty input writes no shard and an empty entry table.
     """
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         coder = per_batch(_loaded, WordwiseTokenizer, tokenizer_path)
-        end = np.array([end_id], coder.kind).tobytes()
         first = next(batches, None)
         if first is None:
             return
@@ -188,29 +316,29 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         with _Published(folder, f"ids-{shard:08d}.bin") as out:
             out.write(MAGIC + bytes([coder.kind.itemsize]))
             for batch in chain([first], batches):
-                lengths = []
-                for texts in _slices(batch["text"].tolist()):
-                    packed = coder.encode_all(texts)
-                    out.write(b"".join([x + end for x in packed]))
-                    lengths += [len(x) // coder.kind.itemsize + 1 for x in packed]
-                ids = batch["doc_id"].tolist()
+                lengths = [np.zeros(0, np.int64)]
+                for texts in _slices(batch["text"]):
+                    ids, sizes = coder.encode_column(texts)
+                    out.write(np.insert(ids, np.cumsum(sizes), end_id).tobytes())
+                    lengths.append(sizes + 1)
+                lengths = np.concatenate(lengths)
                 copies = []
-                for key in ids:
-                    key = None if pd.isna(key) else key
+                for key in batch["doc_id"].to_pylist():
                     copy = copy + 1 if key == before else 0
                     before = key
                     copies.append(copy)
                 ends = offset + np.cumsum(lengths)
-                starts, offset = ends - lengths, int(ends[-1])
-                rows = {"doc_id": batch["doc_id"], "copy": copies, "shard": shard}
-                yield pd.DataFrame(rows | {"offset": starts, "n_tokens": lengths})
+                offset += int(lengths.sum())
+                rows = {"doc_id": batch["doc_id"], "copy": pa.array(copies, pa.int64())}
+                rows |= {"shard": pa.array(np.full(len(copies), shard, np.int64))}
+                yield pa.RecordBatch.from_pydict(rows | {"offset": ends - lengths, "n_tokens": lengths})
 
     spark = docs.sparkSession
     folder = _qualified(spark, folder)
     # A text's beginning is in the order of the text, and keeps the sample for the ranges small.
     start = F.substring("text", 1, 64).alias("start")
     ordered = docs.select(F.col("doc_id").cast("long"), "text", start).repartitionByRange("doc_id", "start")
-    drafts = ordered.sortWithinPartitions("doc_id", "start", "text").select("doc_id", "text").mapInPandas(
+    drafts = ordered.sortWithinPartitions("doc_id", "start", "text").select("doc_id", "text").mapInArrow(
         encode, "doc_id long, copy long, shard long, offset long, n_tokens long"
     )
     drafts.write.parquet(f"{folder}/drafts")
@@ -246,16 +374,13 @@ def _numbered(drafts: DataFrame) -> DataFrame:
     return joined.select(*drafts.columns)
 
 
-def _slices(texts: list) -> Iterator[list]:
-    taken, chars = [], 0
-    for text in texts:
-        taken.append(text)
-        chars += len(text or "")
-        if chars >= CHARS_AT_ONCE:
-            yield taken
-            taken, chars = [], 0
-    if taken:
-        yield taken
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy())
+    start = passed = 0
+    while start < len(texts):
+        stop = min(int(np.searchsorted(ends, passed + CHARS_AT_ONCE)) + 1, len(texts))
+        yield texts.slice(start, stop - start)
+        start, passed = stop, int(ends[stop - 1])
 
 
 # Index

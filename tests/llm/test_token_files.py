@@ -82,3 +82,48 @@ def test_a_third_of_rows_on_one_id_is_dealt_over_shards(spark, docs, tmp_path, m
 def test_a_path_without_scheme_is_on_the_default_file_system(spark, docs, tmp_path):
     assert T._qualified(spark, str(tmp_path)).startswith("file:/")
     assert T._qualified(spark, f"file://{tmp_path}").startswith("file:/")
+
+
+def test_the_library_sees_words_once_whatever_stands_beside_them():
+    coder = T.WordwiseTokenizer(T.tokenizer_file())
+    draw = random.Random(4)
+    words = ["".join(draw.choice("abcdeh") for _ in range(7)) for _ in range(60)]
+    gaps = [" ", " ", " ", ". ", ", ", "\n", ".\n\n", "  ", "\n  ", ".\r\n", "\t", " \n"]
+    texts = ["".join(draw.choice(words) + draw.choice(gaps) for _ in range(60)) for _ in range(300)]
+    taken = []
+    whole = coder._whole
+
+    def counted(some):
+        taken.extend(map(len, some))
+        return whole(some)
+
+    coder._whole = counted
+    found = coder.encode_all(texts)
+    assert sum(taken) < sum(map(len, texts)) / 20
+    ids = [x.ids for x in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, coder.kind).tolist() for x in found] == ids
+    assert not any(" " in word for word in coder.known)
+
+
+def test_white_space_beside_added_tokens_ends_a_text():
+    coder = T.WordwiseTokenizer(T.tokenizer_file())
+    pieces = ["a b{}<|endoftext|>c d", "a{}<|endoftext|>", "<|endoftext|>{}a b", "a <|endoftext|>{}. b", "a{}\x85b c", "a b\x0b{}c"]
+    texts = [p.format(gap) for p in pieces for gap in ("\n", "\n\n", "\t\n", "  ", " \n ", "\r\n")]
+    ids = [x.ids for x in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, coder.kind).tolist() for x in coder.encode_all(texts)] == ids
+
+
+def test_a_pattern_that_joins_line_ends_to_punctuation_is_not_cut_at_lines(tmp_path):
+    tokenizer = tokenizers.Tokenizer.from_file(T.tokenizer_file())
+    pattern = tokenizers.Regex(r"\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+\n*|\s+(?!\S)|\s+".replace(r"\p{L}+", r" ?\p{L}+", 1))
+    tokenizer.pre_tokenizer = tokenizers.pre_tokenizers.Sequence(
+        [
+            tokenizers.pre_tokenizers.Split(pattern, "isolated"),
+            tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ]
+    )
+    tokenizer.save(str(tmp_path / "joins.json"))
+    coder = T.WordwiseTokenizer(str(tmp_path / "joins.json"))
+    texts = ["end.\nNext one.\n\nLast", "a  b.\n c", "plain words, here"]
+    ids = [x.ids for x in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, coder.kind).tolist() for x in coder.encode_all(texts)] == ids
