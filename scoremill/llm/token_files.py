@@ -40,7 +40,7 @@ HEADER = len(MAGIC) + 1
 #: Keys per index file: one is built in the memory of a task.
 KEYS_PER_PART = 200_000
 #: Characters of text that a worker takes apart at a time.
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 8_000_000
 
 #: What is cut off behind letters: the tokenizer's pattern starts a token there.
 PUNCTUATION = ".,;:!?%|$&*#)"
@@ -150,7 +150,7 @@ class WordwiseTokenizer:
         inner[first] = False
         own, place = np.unique(places[first], return_inverse=True)
         starts = words[own].tolist()
-        used = np.unique(places[inner])
+        used = np.flatnonzero(np.bincount(places[inner], minlength=len(words)))
         number = np.zeros(len(words), np.int64)
         number[used] = np.arange(len(used))
         places[inner] = number[places[inner]]
@@ -214,18 +214,19 @@ class WordwiseTokenizer:
         known = self.known
         found = list(map(known.get, words))
         opens, closes = np.zeros(len(words), bool), np.zeros(len(words), bool)
-        new, odd, cut, lines, tails = [], [], [], [], set()
-        for i in [i for i, ids in enumerate(found) if ids is None]:
+        new, odd, lines, cut, stems, tails = [], [], [], [], [], []
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for i, letters in zip(missing, [words[i].rstrip(PUNCTUATION) for i in missing], strict=True):
             word = words[i]
-            if word.isalpha():
-                new.append(i)
-                continue
-            letters = word.rstrip(PUNCTUATION)
-            if letters.isalpha() and len(word) <= KEPT_LENGTH:
-                tail = word[len(letters) :]
-                cut.append((i, letters, tail))
-                tails.add(tail)
-                continue
+            if letters.isalpha():
+                if len(letters) == len(word):
+                    new.append(i)
+                    continue
+                if len(word) <= KEPT_LENGTH:
+                    cut.append(i)
+                    stems.append(letters)
+                    tails.append(word[len(letters) :])
+                    continue
             opens[i] = not word or word[0].isspace()
             closes[i] = word[-1:].isspace()
             if opens[i]:
@@ -237,15 +238,16 @@ class WordwiseTokenizer:
             else:
                 new.append(i)
         learnt = [words[i] for i in new]
-        stems = list({letters for _, letters, _ in cut}.difference(known, learnt))
-        ids = self._joined([*learnt, *stems], " ", self.after_space)
+        new_stems = list(set(stems).difference(known, learnt))
+        ids = self._joined([*learnt, *new_stems], " ", self.after_space)
         for i, word, one in zip(new, learnt, ids, strict=False):
             found[i] = one
             if len(word) <= KEPT_LENGTH:
                 known[word] = one
-        known.update(zip(stems, ids[len(new) :], strict=True))
-        tail_ids = dict(zip(tails, self._bare(list(tails)), strict=True))
-        for i, letters, tail in cut:
+        known.update(zip(new_stems, ids[len(new) :], strict=True))
+        kinds = list(set(tails))
+        tail_ids = dict(zip(kinds, self._bare(kinds), strict=True))
+        for i, letters, tail in zip(cut, stems, tails, strict=True):
             found[i] = known[letters] + tail_ids[tail]
         for i, one in zip(odd, self._whole([" " + words[i] for i in odd]), strict=True):
             found[i] = one
