@@ -107,7 +107,7 @@ class WordwiseTokenizer:
     sees each of them once for many texts. Texts with other white space around a cut are cut by a pattern.
     """
 
-    def __init__(self, path: str, limit: int = 1_400_000):
+    def __init__(self, path: str, limit: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -301,6 +301,12 @@ class WordwiseTokenizer:
         return [np.array(x.ids, self.kind).tobytes() for x in found]
 
 
+def _coder(tokenizer_path: str) -> WordwiseTokenizer:
+    """The worker's tokenizer. A function inside another travels with copies of the globals it names, so each task that
+    named ``_loaded`` itself would begin with an empty one."""
+    return per_batch(_loaded, WordwiseTokenizer, tokenizer_path)
+
+
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2) -> None:
     """Encode the whole text of every row of ``docs (doc_id, text)`` and write shards and index.
 
@@ -310,7 +316,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        coder = per_batch(_loaded, WordwiseTokenizer, tokenizer_path)
+        coder = _coder(tokenizer_path)
         first = next(batches, None)
         if first is None:
             return

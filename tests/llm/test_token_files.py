@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 from scoremill.llm import token_files as T
 from scoremill.session import run_folder
@@ -127,3 +128,20 @@ def test_a_pattern_that_joins_line_ends_to_punctuation_is_not_cut_at_lines(tmp_p
     texts = ["end.\nNext one.\n\nLast", "a  b.\n c", "plain words, here"]
     ids = [x.ids for x in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(x, coder.kind).tolist() for x in coder.encode_all(texts)] == ids
+
+
+def test_tasks_of_a_worker_share_the_tokenizer(monkeypatch):
+    monkeypatch.setattr(T, "_loaded", {})
+    path = T.tokenizer_file()
+
+    def task():
+        return T._coder(path)
+
+    # What Spark does for every task: the function is read anew.
+    sent = cloudpickle.dumps(task)
+    assert cloudpickle.loads(sent)() is cloudpickle.loads(sent)()
+
+
+def test_the_writer_names_no_store_of_its_own():
+    inner = [c for c in T.write_token_files.__code__.co_consts if hasattr(c, "co_names")]
+    assert inner and not any("_loaded" in c.co_names for c in inner)
