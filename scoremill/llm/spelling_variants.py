@@ -15,6 +15,10 @@ pair. Three things keep frontier and levels small:
 
 Nodes, runs and words are 64-bit hashes; pairs are compared as strings in the end, so equal hashes of different
 strings can't add a pair, and equal strings have equal hashes.
+
+Both sides of every join grow with the words, and Spark sizes them too low: some twenty edges of a word count as one
+row, strings as what they take in a compressed file. So joins are merged (``_merged``); only a frontier that was
+counted and is small is broadcast.
 """
 
 from __future__ import annotations
@@ -47,6 +51,9 @@ ROWS_AT_ONCE = 256
 #: Code points of words that are turned into states or edges in one go.
 CODES_AT_ONCE = 50_000
 
+#: Open states of a frontier up to this number are broadcast (some 100 bytes each).
+BROADCAST_STATES = 10_000
+
 LEFT, RIGHT = np.uint64(0x51), np.uint64(0xA7)
 BASE = 0x9E3779B97F4A7C15
 UNBASE = pow(BASE, -1, 1 << 64)
@@ -324,6 +331,11 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumn("key", F.xxhash64("node", "run")).drop("node", "run")
 
 
+def _merged(df: DataFrame) -> DataFrame:
+    """One side of a join of which neither side is to be broadcast, however small Spark takes them for."""
+    return df.hint("merge")
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """``word_id, near_id``: hashes of near words, each pair once, from the distinct words of ``words (word)``."""
     states = _from_words(words, STATE, _states)
@@ -331,7 +343,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     edges = _from_words(words, EDGE, _branches, _plain)
     longest = words.agg(F.max(F.length("word"))).first()[0] or 0
 
-    step, edge = _keyed(states).alias("s"), _keyed(edges).alias("e")
+    step, edge = _keyed(states).alias("s"), _merged(_keyed(edges)).alias("e")
     allowed = F.when(F.col("e.code").isNull(), F.col("s.drops")).otherwise(F.col("s.code") < F.col("e.code"))
     frontier = materialise(
         step.join(edge, (F.col("s.key") == F.col("e.key")) & allowed).select("s.word", "e.child", "s.rest"),
@@ -341,11 +353,14 @@ def near_pairs(words: DataFrame) -> DataFrame:
     # The first join took the highest binary one of each rest, the next ones take those below.
     below = (1 << max(0, (longest // 2).bit_length() - 1)) - 1
     while below > 0:
-        open_ = frontier.filter("size(rest) > 0").distinct()
+        open_ = frontier.filter("size(rest) > 0")
+        few = open_.count() <= BROADCAST_STATES
+        open_ = open_.distinct()
         key = F.xxhash64(F.col("child"), F.element_at("rest", 1))
         open_ = open_.select("word", key.alias("key"), F.expr("slice(rest, 2, size(rest))").alias("rest"))
         reach = below
         plain = _keyed(_from_words(words, EDGE, lambda spans, reach=reach: _plain(spans, reach))).drop("code")
+        open_ = F.broadcast(open_) if few else _merged(open_)
         frontier = materialise(open_.join(plain, "key").select("word", "child", "rest"), "frontier")
         found.append(frontier.filter("size(rest) = 0").select("word", F.col("child").alias("node")))
         below >>= 1
@@ -384,9 +399,9 @@ def spelling_variants(words: DataFrame) -> DataFrame:
     own = known.withColumnRenamed("id", "word_id")
     best = F.min(F.struct((-F.col("near_n")).alias("minus_n"), F.col("near")))
     stats = (
-        both.join(near, "near_id")
+        both.join(_merged(near), "near_id")
         .drop("near_id")
-        .join(own, "word_id")
+        .join(_merged(own), "word_id")
         .filter(F.levenshtein("word", "near", 1) == 1)
         .groupBy("word_id", "word", "n")
         .agg(F.count("*").alias("n_near"), best.alias("best"))
@@ -402,8 +417,8 @@ def spelling_variants(words: DataFrame) -> DataFrame:
     stats = materialise(stats, "near")
     roots = _roots(stats.filter("form IS NOT NULL").select("word", "form"))
     return (
-        known.join(stats, "word", "left")
-        .join(roots, "word", "left")
+        known.join(_merged(stats), "word", "left")
+        .join(_merged(roots), "word", "left")
         .select(
             "word",
             "form",
@@ -420,7 +435,8 @@ def _roots(forms: DataFrame) -> DataFrame:
     reached = forms.select("word", F.col("form").alias("root"))
     while True:
         onward = reached.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        longer = materialise(reached.join(onward, "root", "left").select("word", "root", "next"), "roots")
+        both = reached.join(_merged(onward), "root", "left")
+        longer = materialise(both.select("word", "root", "next"), "roots")
         reached = longer.select("word", F.coalesce("next", "root").alias("root"))
         if longer.filter("next IS NOT NULL").isEmpty():
             return reached

@@ -103,6 +103,35 @@ def test_counts_of_texts_with_nulls_repeats_and_clashes(spark, monkeypatch):
     assert result(S.spelling_variants(S.count_words(docs))) == brute_force(plain_words(rows))
 
 
+def plans_of(spark, counts, monkeypatch):
+    """Each plan of the job before it runs, and what the job finds."""
+    plans, materialise = [], S.materialise
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(S, "materialise", lambda df, purpose: materialise(seen(df), purpose))
+    found = result(seen(S.spelling_variants(spark.createDataFrame(list(counts.items()), "word string, n long"))))
+    return [plan for plan in plans if "Join" in plan], found
+
+
+def test_joins_are_not_broadcast_by_estimated_sizes(spark, monkeypatch):
+    counts = {"a" * i + "b" * (40 - i): 3 * 2**i for i in range(12)}
+    monkeypatch.setattr(S, "BROADCAST_STATES", -1, raising=False)
+    plans, found = plans_of(spark, counts, monkeypatch)
+    assert len(plans) > 6
+    assert not [plan for plan in plans if "Broadcast" in plan or "SortMergeJoin" not in plan]
+    assert found == brute_force(counts)
+
+
+def test_small_frontiers_are_broadcast_after_they_were_counted(spark, monkeypatch):
+    counts = {"a" * i + "b" * (40 - i): 3 * 2**i for i in range(12)}
+    plans, found = plans_of(spark, counts, monkeypatch)
+    assert "Broadcast" not in plans[0] and "BroadcastHashJoin" in plans[1]
+    assert found == brute_force(counts)
+
+
 def test_no_rows_give_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert S.spelling_variants(S.count_words(empty)).collect() == []
